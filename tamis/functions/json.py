@@ -1,4 +1,4 @@
-"""JSON expressions: the contract check of one message, and the error envelope."""
+"""JSON expressions: the parsed message, its outcome, and the error envelope."""
 
 from __future__ import annotations
 
@@ -18,39 +18,43 @@ EXTRA_COLUMNS = "extra_columns"
 TYPE_CAST_ERROR = "type_cast_error"
 
 
-def checked_record(text: Column, contract: Contract) -> Column:
-    """One-element array holding the check result of a JSON message.
+def names_of(contract: Contract) -> Column:
+    return F.array(*[F.lit(name) for name in contract.names])
 
-    The element is ``struct<outcome, extra_fields, original, data>``.  A lambda
-    builds it because a lambda variable binds the parsed record: in plain columns
-    Catalyst copies ``from_json`` into every field test that a pushed-down filter
-    holds, one parse per contract field.
+
+def parsed_message(text: Column, contract: Contract, *, keys: bool = True) -> Column:
+    """The generator of ``original, data, keys`` for one message; ``keys`` is optional.
+
+    It yields exactly one row.  A generator and not plain columns, because
+    Catalyst pushes filters below a projection and then copies ``from_json``
+    into every field test, one parse per contract field.  Nothing that uses a
+    generator's output is pushed below it, so each message is parsed once.
     """
-    names = F.array(*[F.lit(name) for name in contract.names])
-    parsed = F.struct(
-        text.alias("original"),
-        F.from_json(text, contract.bronze).alias("data"),
-        F.array_except(F.json_object_keys(text), names).alias("extra_fields"),
-    )
+    parts = [text.alias("original"), F.from_json(text, contract.bronze).alias("data")]
+    if keys:
+        parts.append(F.json_object_keys(text).alias("keys"))
+    return F.inline(F.array(F.struct(*parts)))
 
-    def judge(record: Column) -> Column:
-        data = record["data"]
-        missing = reduce(or_, [data[name].isNull() for name in contract.names])
-        # The missing test comes first, so a NULL key list (malformed text)
-        # never reaches the size comparison and no row is left undecided.
-        outcome = (
-            F.when(missing, F.lit(MISSING_COLUMNS))
-            .when(F.size(record["extra_fields"]) > 0, F.lit(EXTRA_COLUMNS))
-            .otherwise(F.lit(OK))
-        )
-        return F.struct(
-            outcome.alias("outcome"),
-            record["extra_fields"].alias("extra_fields"),
-            record["original"].alias("original"),
-            data.alias("data"),
-        )
 
-    return F.transform(F.array(parsed), judge)
+def is_missing(contract: Contract) -> Column:
+    """Whether a contract field of ``data`` is absent or null; malformed text has none."""
+    return reduce(or_, [F.col("data")[name].isNull() for name in contract.names])
+
+
+def extra_fields(contract: Contract) -> Column:
+    """The keys outside the contract; null for text that is no JSON object."""
+    return F.array_except("keys", names_of(contract))
+
+
+def outcome(contract: Contract) -> Column:
+    """ok, extra_columns or missing_columns, of the columns ``data`` and ``keys``."""
+    return (
+        F.when(is_missing(contract), F.lit(MISSING_COLUMNS))
+        # No field is missing, so this many keys are just the contract's.
+        .when(F.size("keys") == len(contract.names), F.lit(OK))
+        .when(F.size(extra_fields(contract)) > 0, F.lit(EXTRA_COLUMNS))
+        .otherwise(F.lit(OK))
+    )
 
 
 def error_envelope(original: Column, contract: Contract, error_type: Column) -> Column:
@@ -58,7 +62,7 @@ def error_envelope(original: Column, contract: Contract, error_type: Column) ->
     return F.to_json(
         F.struct(
             original.alias("original"),
-            F.array(*[F.lit(name) for name in contract.names]).alias("expectedSchema"),
+            names_of(contract).alias("expectedSchema"),
             error_type.alias("error_type"),
         )
     )

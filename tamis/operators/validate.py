@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamis.contracts import Contract
@@ -20,8 +20,11 @@ from tamis.functions.json import (
     EXTRA_COLUMNS,
     MISSING_COLUMNS,
     OK,
-    checked_record,
     error_envelope,
+    extra_fields,
+    is_missing,
+    outcome,
+    parsed_message,
 )
 
 #: Outcomes whose messages become bronze rows, and those that reach the error log.
@@ -29,26 +32,24 @@ LANDED = (OK, EXTRA_COLUMNS)
 LOGGED = (MISSING_COLUMNS, EXTRA_COLUMNS)
 
 
-def _text(value: str) -> Column:
-    return F.col(value).cast("string")
+def _parsed(
+    messages: DataFrame, contract: Contract, value: str, keep: Iterable[str], keys: bool = True
+) -> DataFrame:
+    text = F.col(value).cast("string")
+    return messages.select(*keep, parsed_message(text, contract, keys=keys))
 
 
 def validate(
     messages: DataFrame, contract: Contract, *, value: str = "value", keep: Iterable[str] = ()
 ) -> DataFrame:
     """``keep`` columns plus outcome, extra_fields, original and the parsed data struct."""
-    return messages.select(*keep, F.inline(checked_record(_text(value), contract)))
-
-
-def _with_outcome(
-    messages: DataFrame, contract: Contract, outcomes: Iterable[str], value: str, keep: list[str]
-) -> DataFrame:
-    # The selection sits inside the generator.  A plain filter would be pushed
-    # below the parse and parse every message a second time.
-    wanted = tuple(outcomes)
-    record = checked_record(_text(value), contract)
-    return messages.select(
-        *keep, F.inline(F.filter(record, lambda r: r["outcome"].isin(*wanted)))
+    keep = list(keep)
+    return _parsed(messages, contract, value, keep).select(
+        *keep,
+        outcome(contract).alias("outcome"),
+        extra_fields(contract).alias("extra_fields"),
+        "original",
+        "data",
     )
 
 
@@ -61,8 +62,12 @@ def conforming_rows(
     keep: Iterable[str] = (),
 ) -> DataFrame:
     """Contract columns, all strings, of the messages with one of ``outcomes``."""
-    keep = list(keep)
-    return _with_outcome(messages, contract, outcomes, value, keep).select(*keep, "data.*")
+    keep, outcomes = list(keep), set(outcomes)
+    if outcomes == set(LANDED):  # the keys do not matter then, so they are not read
+        complete = _parsed(messages, contract, value, keep, keys=False)
+        return complete.where(~is_missing(contract)).select(*keep, "data.*")
+    checked = validate(messages, contract, value=value, keep=keep)
+    return checked.where(F.col("outcome").isin(*sorted(outcomes))).select(*keep, "data.*")
 
 
 def message_errors(
@@ -73,10 +78,18 @@ def message_errors(
     value: str = "value",
 ) -> DataFrame:
     """``key, value`` error envelopes of the messages with one of ``outcomes``."""
-    found = _with_outcome(messages, contract, outcomes, value, [])
+    outcomes = set(outcomes)
+    if outcomes == {MISSING_COLUMNS}:
+        found = _parsed(messages, contract, value, [], keys=False)
+        found = found.where(is_missing(contract))
+        kind = F.lit(MISSING_COLUMNS)
+    else:
+        found = validate(messages, contract, value=value)
+        found = found.where(F.col("outcome").isin(*sorted(outcomes)))
+        kind = F.col("outcome")
     return found.select(
         F.lit(None).cast("string").alias("key"),
-        error_envelope(F.col("original"), contract, F.col("outcome")).alias("value"),
+        error_envelope(F.col("original"), contract, kind).alias("value"),
     )
 
 
@@ -101,10 +114,9 @@ def missing_flags(
 ) -> DataFrame:
     """One boolean ``missing_<field>`` per contract field, plus has_missing and has_extra."""
     keep = list(keep)
-    checked = validate(messages, contract, value=value, keep=keep)
-    return checked.select(
+    return _parsed(messages, contract, value, keep).select(
         *keep,
         *[F.col("data")[name].isNull().alias(f"missing_{name}") for name in contract.names],
-        (F.col("outcome") == MISSING_COLUMNS).alias("has_missing"),
-        (F.coalesce(F.size("extra_fields"), F.lit(0)) > 0).alias("has_extra"),
+        is_missing(contract).alias("has_missing"),
+        (F.coalesce(F.size(extra_fields(contract)), F.lit(0)) > 0).alias("has_extra"),
     )

@@ -24,7 +24,7 @@ from tamis.sources.files import (
     read_delimited_rows,
     write_csv,
 )
-from tamis.sources.topics import ERROR_TOPIC, Topics, read_topic, write_topic
+from tamis.sources.topics import ERROR_TOPIC, Topics, read_topic, spread, write_topic
 
 log = logging.getLogger("tamis")
 
@@ -127,7 +127,7 @@ def ingest_topics(
     """Ingest each topic; with ``error_topics`` also publish its envelopes there."""
 
     def job(contract: Contract) -> dict[str, int]:
-        counts = ingest(read_topic(spark, topics, contract.topic), contract, lake, run=run)
+        counts = ingest(spread(read_topic(spark, topics, contract.topic)), contract, lake, run=run)
         if error_topics is not None:
             publish_errors(spark, contract, lake, BRONZE, error_topics, run=run)
         return counts

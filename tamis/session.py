@@ -1,4 +1,4 @@
-"""Session settings and the shared scratch folder."""
+"""Sessions and the shared scratch folder."""
 
 from __future__ import annotations
 
@@ -8,31 +8,15 @@ from functools import cache
 
 from pyspark.sql import SparkSession
 
-#: Runtime settings the pipelines rely on; a value the cluster has set wins.
-DEFAULTS = {
-    # One open file per outcome in each write task, instead of a sort by outcome.
-    "spark.sql.maxConcurrentOutputFileWriters": "8",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-}
-
 
 def build(app: str = "tamis", master: str | None = None, **conf: str) -> SparkSession:
+    """A session with the web page off; AQE and its skew handling are Spark's defaults."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return prepare(builder.getOrCreate())
-
-
-def prepare(spark: SparkSession) -> SparkSession:
-    """Apply ``DEFAULTS`` where the session holds no explicit value."""
-    explicit = spark.conf.getAll
-    for key, value in DEFAULTS.items():
-        if key not in explicit:
-            spark.conf.set(key, value)
-    return spark
+    return builder.getOrCreate()
 
 
 @cache

@@ -16,6 +16,7 @@ __all__ = [
     "read_delimited_rows",
     "read_parquet_or_none",
     "read_topic",
+    "spread",
     "stream_topic",
     "write_csv",
     "write_topic",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, IntegerType, StringType
 
 from tamis.contracts import DIM_AFFILIE, DIM_ASSURE, FACT_DECLARATION, Contract
+from tamis.sources.topics import spread
 
 EVENT_MESSAGE = Contract.of(
     "EventMessage",
@@ -78,7 +79,7 @@ class Feed:
         )
 
     def read(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return self.messages(spark.read.parquet(f"{sf_dir}/{self.table}.parquet"))
+        return spread(self.messages(spark.read.parquet(f"{sf_dir}/{self.table}.parquet")))
 
     def stream(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         schema = spark.read.parquet(f"{sf_dir}/{self.table}.parquet").schema

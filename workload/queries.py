@@ -26,7 +26,7 @@ from tamis.plans.jobs import ingest, ingest_topics, promote_topic, publish_error
 from tamis.plans.lake import BRONZE, SILVER, Lake
 from tamis.plans.medallion import medallion_total
 from tamis.plans.warehouse import materialise
-from tamis.session import prepare, scratch
+from tamis.session import scratch
 from tamis.sources.files import (
     read_csv_infer,
     read_csv_strings,
@@ -64,7 +64,7 @@ def _orders_as_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lake(spark: SparkSession) -> Lake:
-    return Lake(scratch(prepare(spark), "lake"))
+    return Lake(scratch(spark, "lake"))
 
 
 # --- topic and contract check -------------------------------------------------
@@ -118,7 +118,7 @@ def bronze_append(spark, sf_dir):
 
 def ingest_three_topics(spark, sf_dir):
     """Three file topics through the topic loop; the unknown fourth is skipped."""
-    topics, lake = Topics(scratch(prepare(spark), "topics"), "parquet"), _lake(spark)
+    topics, lake = Topics(scratch(spark, "topics"), "parquet"), _lake(spark)
     for feed in (DECLARATIONS, INSURED, AFFILIATES):
         write_topic(feed.read(spark, sf_dir), topics, feed.contract.topic)
     ingest_topics(spark, [*CONTRACTS, "Unknown"], topics, lake)
