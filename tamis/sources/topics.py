@@ -58,8 +58,8 @@ def read_topic(spark: SparkSession, topics: Topics, topic: str) -> DataFrame:
 def spread(messages: DataFrame) -> DataFrame:
     """Use the whole cluster where the input has fewer partitions than it has cores.
 
-    Checking messages is CPU work, a hundred times the cost of moving them.  An
-    input of many partitions, any large one, stays as it is, without a shuffle.
+    Checking messages is CPU work and costs more than moving them.  An input with
+    enough partitions, as any large one has, stays as it is, without a shuffle.
     """
     cores = messages.sparkSession.sparkContext.defaultParallelism
     return messages.repartition(cores) if messages.rdd.getNumPartitions() < cores else messages

@@ -79,7 +79,7 @@ class Feed:
         )
 
     def read(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return spread(self.messages(spark.read.parquet(f"{sf_dir}/{self.table}.parquet")))
+        return self.messages(spread(spark.read.parquet(f"{sf_dir}/{self.table}.parquet")))
 
     def stream(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         schema = spark.read.parquet(f"{sf_dir}/{self.table}.parquet").schema
