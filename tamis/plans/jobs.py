@@ -81,6 +81,7 @@ def publish_errors(
 
 
 def _for_each_topic(
+    spark: SparkSession,
     topics: Iterable[str],
     contracts: Mapping[str, Contract],
     job: Callable[[Contract], Any],
@@ -108,8 +109,9 @@ def _for_each_topic(
             log.error("topic %s failed: %s", contract.topic, error)
             return error
 
+    start = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(known)))) as pool:
-        pending = {c.topic: pool.submit(inheritable_thread_target(guarded), c) for c in known}
+        pending = {c.topic: pool.submit(start(guarded), c) for c in known}
         return {topic: future.result() for topic, future in pending.items()}
 
 
@@ -132,7 +134,7 @@ def ingest_topics(
             publish_errors(spark, contract, lake, BRONZE, error_topics, run=run)
         return counts
 
-    return _for_each_topic(names, contracts, job, parallel)
+    return _for_each_topic(spark, names, contracts, job, parallel)
 
 
 def promote_topics(
@@ -156,7 +158,7 @@ def promote_topics(
             publish_errors(spark, contract, lake, SILVER, error_topics, run=run)
         return counts
 
-    return _for_each_topic(names, contracts, job, parallel)
+    return _for_each_topic(spark, names, contracts, job, parallel)
 
 
 def map_csv(

@@ -1,0 +1,187 @@
+from __future__ import annotations
+
+import logging
+
+import pytest
+from pyspark.sql.types import IntegerType, StringType
+
+from tamis.contracts import Contract, Contracts, UnknownTopic
+from tamis.operators.envelope import from_envelope
+from tamis.plans.jobs import (
+    ingest,
+    ingest_topics,
+    map_csv,
+    map_csv_sql,
+    promote_topic,
+    promote_topics,
+    publish_csv,
+    publish_errors,
+)
+from tamis.plans.lake import BRONZE, SILVER, Lake
+from tamis.plans.warehouse import materialise
+from tamis.sources.files import read_parquet_or_none
+from tamis.sources.topics import ERROR_TOPIC, Topics, read_topic, spread, write_topic
+from tests.conftest import physical
+from workload.queries import YEAR_TOTAL
+
+NUM = Contract.of("Num", {"n": IntegerType(), "t": StringType()})
+TEXT = Contract.of("Text", {"t": StringType()})
+MESSAGES = [
+    '{"n":"1","t":"a"}',
+    '{"n":"x","t":"b"}',
+    '{"n":"3","t":"c","more":1}',
+    '{"n":"4"}',
+    "bad",
+]
+
+
+@pytest.fixture
+def messages(spark):
+    return spark.createDataFrame([(None, m) for m in MESSAGES], "key string, value string")
+
+
+def _sorted(frame):
+    return sorted(map(tuple, frame.collect()), key=repr)
+
+
+def test_ingest_and_promote(spark, messages, folder):
+    lake = Lake(folder)
+    counts = ingest(messages, NUM, lake)
+    assert counts == {"ok": 2, "extra_columns": 1, "missing_columns": 2}
+    assert _sorted(lake.rows(spark, BRONZE, NUM)) == [("1", "a"), ("3", "c"), ("x", "b")]
+    assert lake.errors(spark, BRONZE, NUM).count() == 3
+    assert promote_topic(spark, NUM, lake) == {"ok": 2, "type_cast_error": 1}
+    silver = lake.rows(spark, SILVER, NUM)
+    assert _sorted(silver) == [(1, "a"), (3, "c")]
+    assert [f.dataType for f in silver.schema] == [f.dataType for f in NUM.silver]
+    errors = from_envelope(lake.errors(spark, SILVER, NUM)).collect()
+    assert [(e.original, e.error_type) for e in errors] == [
+        ('{"n":"x","t":"b"}', "type_cast_error")
+    ]
+
+
+def test_runs_append_and_repeats_replace(spark, messages, folder):
+    lake = Lake(folder)
+    for run in ("1", "2", "2", "1"):
+        ingest(messages, NUM, lake, run=run)
+    assert lake.rows(spark, BRONZE, NUM).count() == 6
+    assert lake.rows(spark, BRONZE, NUM, "2").count() == 3
+    for _ in range(2):
+        assert promote_topic(spark, NUM, lake) == {"ok": 4, "type_cast_error": 2}
+    assert promote_topic(spark, NUM, lake, run="2") == {"ok": 2, "type_cast_error": 1}
+    assert lake.rows(spark, SILVER, NUM).count() == 4
+    assert lake.errors(spark, SILVER, NUM, "1").count() == 1
+
+
+def test_repeat_drops_outcomes_that_are_gone(spark, messages, folder):
+    lake = Lake(folder)
+    ingest(messages, NUM, lake)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        ingest(messages.where("value LIKE '%\"a\"%'"), NUM, lake)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert lake.table(spark, BRONZE, NUM).count() == 1
+
+
+def test_empty_topic(spark, messages, folder):
+    lake = Lake(folder)
+    assert sum(ingest(messages.limit(0), NUM, lake).values()) == 0
+    assert lake.rows(spark, BRONZE, NUM).count() == 0
+    assert sum(promote_topic(spark, NUM, lake).values()) == 0
+
+
+def test_scans_prune_partitions_and_columns(spark, messages, folder):
+    lake = Lake(folder)
+    ingest(messages, NUM, lake)
+    rows = physical(lake.rows(spark, BRONZE, NUM).select("t"))
+    assert "ReadSchema: struct<t:string>" in rows
+    assert "outcome" in rows.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    errors = physical(lake.errors(spark, BRONZE, NUM))
+    assert "ReadSchema: struct<envelope:string>" in errors
+
+
+def test_absent_tables(spark, folder):
+    lake = Lake(folder)
+    assert lake.rows(spark, BRONZE, NUM) is None
+    assert lake.errors(spark, SILVER, NUM) is None
+    assert promote_topic(spark, NUM, lake) is None
+    assert promote_topic(spark, NUM, lake, run="7") is None
+    assert read_parquet_or_none(spark, f"{folder}/nothing") is None
+
+
+def test_topic_loop(spark, messages, folder, caplog):
+    topics, lake = Topics(f"{folder}/topics", "parquet"), Lake(f"{folder}/lake")
+    contracts = Contracts(NUM, TEXT)
+    write_topic(messages, topics, "Num")
+    with caplog.at_level(logging.WARNING, "tamis"):
+        done = ingest_topics(
+            spark, ["Num", "Other", "Text"], topics, lake, contracts=contracts, error_topics=topics
+        )
+    assert "Other" in caplog.text and "Other" not in done
+    assert done["Num"]["ok"] == 2
+    assert isinstance(done["Text"], Exception)  # no such topic; Num is not affected
+    assert read_topic(spark, topics, ERROR_TOPIC).count() == 3
+    done = promote_topics(
+        spark, ["Text", "Num"], lake, contracts=contracts, error_topics=topics
+    )
+    assert done == {"Text": None, "Num": {"ok": 2, "type_cast_error": 1}}
+    assert read_topic(spark, topics, ERROR_TOPIC).count() == 4
+
+
+def test_nothing_is_published_without_errors(spark, messages, folder):
+    topics, lake = Topics(f"{folder}/topics", "parquet"), Lake(f"{folder}/lake")
+    ingest(messages.where("value LIKE '%\"a\"%'"), NUM, lake)
+    publish_errors(spark, NUM, lake, BRONZE, topics)
+    assert read_topic(spark, topics, ERROR_TOPIC).count() == 0
+
+
+def test_spread(spark):
+    assert spread(spark.range(8, numPartitions=1)).rdd.getNumPartitions() == 4
+    assert "Exchange" not in physical(spread(spark.range(8, numPartitions=9)))
+
+
+def test_map_csv(spark, folder):
+    source, target = f"{folder}/in.csv", f"{folder}/out"
+    with open(source, "w") as file:
+        file.write("ID,NumAff,NumImm,IDPeriode,MontantDeclaration\n1,a,b,202001,-2.5\n")
+    map_csv(spark, "FactDeclaration", source, target)
+    assert [r.value for r in spark.read.text(target).collect()] == ["1,a,b,202001,2.5"]
+    with pytest.raises(Exception, match="(?i)already.exists"):
+        map_csv(spark, "FactDeclaration", source, target)
+    with pytest.raises(UnknownTopic):
+        map_csv(spark, "DimAffilie", source, f"{folder}/other")
+
+
+def test_map_csv_sql(spark, folder):
+    source, target = f"{folder}/in.csv", f"{folder}/out"
+    with open(source, "w") as file:
+        file.write("IDPeriode,MontantDeclaration\n202001,1.5\n202002,2\n202101,4\n")
+    for _ in range(2):  # the target is replaced
+        map_csv_sql(spark, "FactDeclaration", source, YEAR_TOTAL, target)
+    got = spark.read.option("header", True).csv(target).orderBy("Year").collect()
+    assert [tuple(r) for r in got] == [("2020", "3.5"), ("2021", "4.0")]
+
+
+def test_publish_csv_goes_on_after_a_bad_file(spark, folder):
+    with open(f"{folder}/good.csv", "w") as file:
+        file.write("n,t\n1,\n")
+    topics = Topics(f"{folder}/topics", "parquet")
+    done = publish_csv(
+        spark, {f"{folder}/none.csv": "None", f"{folder}/good.csv": "Num"}, topics
+    )
+    assert isinstance(done[f"{folder}/none.csv"], Exception)
+    assert done[f"{folder}/good.csv"] is None
+    got = read_topic(spark, topics, "Num").collect()
+    assert [(r.key, bytes(r.value)) for r in got] == [(None, b'{"n":"1","t":""}')]
+
+
+def test_materialise_replaces_the_table(spark, folder):
+    result = spark.range(20).selectExpr("id % 3 AS part", "id AS v")
+    for path in ("one", "two"):
+        table = materialise(
+            spark, result, "totals", partition_by=["part"], path=f"{folder}/{path}"
+        )
+        assert table.count() == 20
+    assert "PartitionFilters: [isnotnull(part" in physical(table.where("part = 1"))
+    spark.sql("DROP TABLE totals")
