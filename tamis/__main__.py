@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m tamis`` style jobs, one subcommand per job.
+"""Command line, ``python -m tamis``: one subcommand per job.
 
 Exit code 1 for a usage error, an unknown mapping, a missing SQL file or a
 failed topic; unknown topics of ``ingest`` and ``promote`` are only warned about.
@@ -22,7 +22,7 @@ from tamis.plans import jobs
 from tamis.plans.lake import Lake
 from tamis.session import build
 from tamis.sources.topics import ERROR_TOPIC, Topics, stream_topic
-from tamis.streaming.errors import stream_error_records
+from tamis.streaming.errors import show_error_records
 
 QUERIES = Path(__file__).parent / "queries"
 
@@ -115,9 +115,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
         return _failures(jobs.publish_csv(spark, files, _topics(args)))
     log = stream_topic(spark, _topics(args), ERROR_TOPIC)
     trigger = {"processingTime": "10 seconds"} if args.follow else None
-    stream_error_records(
-        log, args.checkpoint, trigger=trigger, truncate="false"
-    ).awaitTermination()
+    show_error_records(log, args.checkpoint, trigger=trigger).awaitTermination()
     return 0
 
 

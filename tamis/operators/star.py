@@ -69,5 +69,5 @@ def period_dimension(spark: SparkSession, first: str, last: str) -> DataFrame:
 
 def period_dimension_of(fact: DataFrame, date: Column) -> DataFrame:
     """The period dimension covering every month from the fact's first to its last date."""
-    day = date.cast("date")
-    return _periods(fact.agg(F.min(day).alias("first"), F.max(day).alias("last")))
+    first, last = F.min(date).cast("date"), F.max(date).cast("date")
+    return _periods(fact.agg(first.alias("first"), last.alias("last")))

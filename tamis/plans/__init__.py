@@ -11,7 +11,7 @@ from tamis.plans.jobs import (
     publish_errors,
 )
 from tamis.plans.lake import BRONZE, SILVER, Lake
-from tamis.plans.medallion import medallion_total
+from tamis.plans.medallion import medallion_errors, medallion_total
 from tamis.plans.warehouse import materialise
 
 __all__ = [
@@ -23,6 +23,7 @@ __all__ = [
     "map_csv",
     "map_csv_sql",
     "materialise",
+    "medallion_errors",
     "medallion_total",
     "promote_topic",
     "promote_topics",

@@ -16,6 +16,9 @@ _QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
 # A line that starts outside quotes and ends inside a quoted cell.
 _ENDS_OPEN = rf'^(?:(?:{_QUOTED}"[^,]*+|[^",][^,]*+)?+,)*+{_QUOTED}$'
 
+# A line the CSV reader skips.
+_BLANK = r"^[\x00-\x20]*$"
+
 
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header, every column a string."""
@@ -59,7 +62,7 @@ def read_delimited_rows(
 
     Quoted line breaks need Spark's multi-line reader, which takes a file as one
     task.  By default one split text scan finds the files that have any, so all
-    others stay splittable.  Pass ``multiline`` where the answer is known.  The
+    others stay splittable; it also finds the files with empty lines.  Pass ``multiline`` where the answer is known.  The
     multi-line reader skips empty lines.
     """
     reader = (
@@ -75,23 +78,31 @@ def read_delimited_rows(
         frame = reader.schema(schema).option("multiLine", multi).csv(list(paths))
         return frame.select(*[_cell(frame, names, i) for i in range(len(names))])
 
-    def split_rows(*paths: str) -> DataFrame:
-        lines = spark.read.text(list(paths))
-        return rows(False, *paths).unionByName(_blank_rows(lines, names))
+    def split_rows(paths: list[str], blank_paths: list[str]) -> DataFrame:
+        frame = rows(False, *paths)
+        if not blank_paths:
+            return frame
+        return frame.unionByName(_blank_rows(spark.read.text(blank_paths), names))
 
     if multiline is not None:
-        return rows(True, path) if multiline else split_rows(path)
-    lines = spark.read.text(path)
-    by_file = lines.groupBy("_metadata.file_path").agg(
-        F.bool_or(F.col("value").rlike(_ENDS_OPEN)).alias("broken")
+        return rows(True, path) if multiline else split_rows([path], [path])
+    line = F.col("value")
+    files = (  # two flags per file
+        spark.read.text(path)
+        .groupBy("_metadata.file_path")
+        .agg(
+            F.bool_or(line.rlike(_ENDS_OPEN)).alias("broken"),
+            F.bool_or(line.rlike(_BLANK)).alias("blank"),
+        )
+        .collect()
     )
-    files = by_file.collect()  # one flag per file
     broken = [_as_path(f.file_path) for f in files if f.broken]
+    blank = [_as_path(f.file_path) for f in files if f.blank and not f.broken]
     if not broken:
-        return split_rows(path)
+        return split_rows([path], blank)
     whole = [_as_path(f.file_path) for f in files if not f.broken]
     result = rows(True, *broken)
-    return result.unionByName(split_rows(*whole)) if whole else result
+    return result.unionByName(split_rows(whole, blank)) if whole else result
 
 
 def _as_path(uri: str) -> str:
@@ -111,7 +122,7 @@ def _cell(frame: DataFrame, names: list[str], index: int) -> Column:
 
 def _blank_rows(lines: DataFrame, names: list[str]) -> DataFrame:
     """The lines the CSV reader drops: empty ones, and blanks as a first cell."""
-    blank = lines.where(F.col("value").rlike(r"^[\x00-\x20]*$"))
+    blank = lines.where(F.col("value").rlike(_BLANK))
     first = F.when(F.col("value") != "", F.col("value"))
     rest = [F.lit(None).cast("string").alias(name) for name in names[1:]]
     return blank.select(first.alias(names[0]), *rest)

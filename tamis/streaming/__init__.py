@@ -1,11 +1,16 @@
 """Structured Streaming: the same operators as micro-batches, exactly once."""
 
-from tamis.streaming.errors import stream_error_records, stream_error_summary
+from tamis.streaming.errors import (
+    show_error_records,
+    stream_error_records,
+    stream_error_summary,
+)
 from tamis.streaming.ingest import ingest_stream, medallion_stream
 
 __all__ = [
     "ingest_stream",
     "medallion_stream",
+    "show_error_records",
     "stream_error_records",
     "stream_error_summary",
 ]

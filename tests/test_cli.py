@@ -17,7 +17,7 @@ def run(spark, monkeypatch):
 FACT = "ID,NumAff,NumImm,IDPeriode,MontantDeclaration\n"
 
 
-def test_from_csv_to_silver(spark, run, folder):
+def test_from_csv_to_silver(spark, run, folder, capsys):
     source = f"{folder}/FactDeclaration.csv"
     with open(source, "w") as file:
         file.write(FACT + "1,a,i,202001,-2.5\nx,a,i,202001,1\n3,a,i\n4,,i,202002,7\n")
@@ -32,7 +32,10 @@ def test_from_csv_to_silver(spark, run, folder):
     assert sorted(r.ID for r in tables.rows(spark, SILVER, contract).collect()) == [1, 4]
     errors = Topics(f"{folder}/topics", "parquet")
     assert read_topic(spark, errors, ERROR_TOPIC).count() == 2
+    capsys.readouterr()
     assert run("errors", *topics, "--checkpoint", f"{folder}/check") == 0
+    shown = capsys.readouterr().out.splitlines()
+    assert len(shown) == 2 and all("error_type" in line for line in shown)
 
 
 def test_map_and_sql(spark, run, folder):

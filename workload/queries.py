@@ -24,7 +24,7 @@ from tamis.operators.validate import (
 )
 from tamis.plans.jobs import ingest, ingest_topics, promote_topic, publish_errors
 from tamis.plans.lake import BRONZE, SILVER, Lake
-from tamis.plans.medallion import medallion_total
+from tamis.plans.medallion import medallion_errors, medallion_total
 from tamis.plans.warehouse import materialise
 from tamis.session import scratch
 from tamis.sources.files import (
@@ -172,9 +172,7 @@ def error_typecast(spark, sf_dir):
 
 
 def error_log_summary(spark, sf_dir):
-    messages = EVENTS.read(spark, sf_dir)
-    rejects = cast_errors(conforming_rows(messages, EVENTS.contract), EVENTS.contract)
-    return summarise_errors(message_errors(messages, EVENTS.contract).unionByName(rejects))
+    return summarise_errors(medallion_errors(EVENTS.read(spark, sf_dir), EVENTS.contract))
 
 
 def _publish_all_errors(spark: SparkSession, sf_dir: str) -> Topics:
