@@ -8,14 +8,16 @@ from urllib.parse import unquote
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
-_RAW = "_corrupt_record"
-# A quoted cell, up to its closing quote.
-_QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
-# A line that starts outside quotes and ends inside a quoted cell.
-_ENDS_OPEN = rf'^(?:(?:{_QUOTED}"[^,]*+|[^",][^,]*+)?+,)*+{_QUOTED}$'
+from tamis.sources.records import ENDS_OPEN, QUOTED, delimited_records
 
+_RAW = "_corrupt_record"
+_OPTIONS = {
+    "escape": '"',
+    "columnNameOfCorruptRecord": _RAW,
+    "columnPruning": "false",
+}
 # A line the CSV reader skips.
 _BLANK = r"^[\x00-\x20]*$"
 
@@ -60,49 +62,51 @@ def read_delimited_rows(
 
     Cells beyond the header are dropped; an empty line is a row of nulls.
 
-    Quoted line breaks need Spark's multi-line reader, which takes a file as one
-    task.  By default one split text scan finds the files that have any, so all
-    others stay splittable; it also finds the files with empty lines.  Pass ``multiline`` where the answer is known.  The
-    multi-line reader skips empty lines.
+    Files whose quoted cells hold line breaks need their records put together
+    from lines, which costs a shuffle; all others are read as they are.  One
+    scan of the text tells them apart.  Pass ``multiline`` where it is known.
+    Either way a file is read by as many tasks as it has splits.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("columnNameOfCorruptRecord", _RAW)
-        .option("columnPruning", False)
-    )
+    reader = spark.read.options(header=True, **_OPTIONS)
     names = reader.option("multiLine", multiline is not False).csv(path).columns
-    schema = StructType([StructField(name, StringType()) for name in [*names, _RAW]])
+    schema = ", ".join(f"{_quoted(name)} string" for name in [*names, _RAW])
 
-    def rows(multi: bool, *paths: str) -> DataFrame:
-        frame = reader.schema(schema).option("multiLine", multi).csv(list(paths))
-        return frame.select(*[_cell(frame, names, i) for i in range(len(names))])
-
-    def split_rows(paths: list[str], blank_paths: list[str]) -> DataFrame:
-        frame = rows(False, *paths)
+    def plain(paths: list[str], blank_paths: list[str]) -> DataFrame:
+        frame = reader.schema(schema).option("multiLine", False).csv(paths)
+        rows = frame.select(*_cells(names))
         if not blank_paths:
-            return frame
-        return frame.unionByName(_blank_rows(spark.read.text(blank_paths), names))
+            return rows
+        line = F.col("value")
+        blank = spark.read.text(blank_paths).where(line.rlike(_BLANK))
+        return rows.unionByName(blank.select(*_blank_cells(names, line)))
+
+    def broken(paths: list[str]) -> DataFrame:
+        record = F.col("record")
+        records = delimited_records(spark, paths)
+        parsed = F.from_csv(record, schema, _OPTIONS)
+        rows = records.where(~record.rlike(_BLANK)).select(F.inline(F.array(parsed)))
+        blank = records.where(record.rlike(_BLANK))
+        return rows.select(*_cells(names)).unionByName(blank.select(*_blank_cells(names, record)))
 
     if multiline is not None:
-        return rows(True, path) if multiline else split_rows([path], [path])
+        return broken([path]) if multiline else plain([path], [path])
     line = F.col("value")
     files = (  # two flags per file
         spark.read.text(path)
         .groupBy("_metadata.file_path")
         .agg(
-            F.bool_or(line.rlike(_ENDS_OPEN)).alias("broken"),
+            F.bool_or(line.rlike(ENDS_OPEN)).alias("broken"),
             F.bool_or(line.rlike(_BLANK)).alias("blank"),
         )
         .collect()
     )
-    broken = [_as_path(f.file_path) for f in files if f.broken]
-    blank = [_as_path(f.file_path) for f in files if f.blank and not f.broken]
-    if not broken:
-        return split_rows([path], blank)
-    whole = [_as_path(f.file_path) for f in files if not f.broken]
-    result = rows(True, *broken)
-    return result.unionByName(split_rows(whole, blank)) if whole else result
+    breaks = [_as_path(f.file_path) for f in files if f.broken]
+    blanks = [_as_path(f.file_path) for f in files if f.blank and not f.broken]
+    if not breaks:
+        return plain([path], blanks)
+    others = [_as_path(f.file_path) for f in files if not f.broken]
+    rows = broken(breaks)
+    return rows.unionByName(plain(others, blanks)) if others else rows
 
 
 def _as_path(uri: str) -> str:
@@ -110,19 +114,22 @@ def _as_path(uri: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
 
 
-def _cell(frame: DataFrame, names: list[str], index: int) -> Column:
-    cell = frame[f"`{names[index]}`"]
-    raw = frame[_RAW]
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _cells(names: list[str]) -> list[Column]:
     # Only rows with too few or too many cells carry their raw text.
-    bare = F.regexp_replace(raw, rf'(^|,){_QUOTED}"', "$1")
-    present = F.regexp_count(bare, F.lit(","))
-    filled = F.when(raw.isNull() | (present >= index), F.coalesce(cell, F.lit("")))
-    return filled.alias(names[index])
-
-
-def _blank_rows(lines: DataFrame, names: list[str]) -> DataFrame:
-    """The lines the CSV reader drops: empty ones, and blanks as a first cell."""
-    blank = lines.where(F.col("value").rlike(_BLANK))
-    first = F.when(F.col("value") != "", F.col("value"))
-    rest = [F.lit(None).cast("string").alias(name) for name in names[1:]]
-    return blank.select(first.alias(names[0]), *rest)
+    raw = F.col(_RAW)
+    bare = F.regexp_replace(raw, rf'(^|,){QUOTED}"', "$1")
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(",")))
+    return [
+        F.when(raw.isNull() | (commas >= i), F.coalesce(F.col(_quoted(name)), F.lit(""))).alias(name)
+        for i, name in enumerate(names)
+    ]
+
+
+def _blank_cells(names: list[str], text: Column) -> list[Column]:
+    """An empty line has no cells, a blank one is its own first cell."""
+    first = F.when(text != "", text).alias(names[0])
+    return [first, *[F.lit(None).cast("string").alias(name) for name in names[1:]]]

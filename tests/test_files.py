@@ -4,6 +4,8 @@ import csv
 import json
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from tamis.operators.messages import rows_to_messages
 from tamis.sources.files import (
@@ -62,6 +64,39 @@ def test_folder_with_both_kinds_of_files(spark, tmp_path):
     )
 
 
+@pytest.fixture
+def tiny_splits(spark):
+    conf = {"spark.sql.files.maxPartitionBytes": "40b", "spark.sql.files.openCostInBytes": "1"}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key in conf:
+        spark.conf.unset(key)
+
+
+_CELLS = st.sampled_from(
+    ["", "x", '""', '"q"', '5" pipe', '"a\nb"', '"a ""z""\n\n,c"', "é", "  ", '"\n"']
+)
+_TEXTS = st.lists(st.lists(_CELLS, max_size=4).map(",".join), min_size=5, max_size=25)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lines=_TEXTS, end=st.sampled_from(["", "\n"]))
+def test_records_cross_splits(spark, tiny_splits, tmp_path_factory, lines, end):
+    folder = str(tmp_path_factory.mktemp("csv"))
+    path = _write(folder, "t", "a,b,c\n" + "\n".join(lines) + end)
+    for multiline in (None, True):
+        frame = read_delimited_rows(spark, path, multiline=multiline)
+        assert _messages(frame) == _by_csv_module(path)
+
+
+def test_record_larger_than_a_split(spark, tiny_splits, folder):
+    cell = "\n".join(f"line {i}" for i in range(60))
+    path = _write(folder, "t", f'a,"b\nb"\n1,"{cell}"\n2,x\n"{cell}",3\n')
+    assert spark.read.text(path).rdd.getNumPartitions() > 20
+    assert _messages(read_delimited_rows(spark, path)) == _by_csv_module(path)
+
+
 def test_known_layout_needs_no_scan(spark, folder):
     path = _write(folder, "breaks", CASES["breaks"])
     assert _messages(read_delimited_rows(spark, path, multiline=True)) == _by_csv_module(path)
