@@ -60,6 +60,7 @@ def spread(messages: DataFrame) -> DataFrame:
 
     Checking messages is CPU work and costs more than moving them.  An input with
     enough partitions, as any large one has, stays as it is, without a shuffle.
+    Meant for scans: counting the partitions of a shuffled frame would run it.
     """
     cores = messages.sparkSession.sparkContext.defaultParallelism
     return messages.repartition(cores) if messages.rdd.getNumPartitions() < cores else messages

@@ -13,11 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tamis.contracts import Contract
-from tamis.operators.promote import promote
-from tamis.operators.validate import checked_table
-from tamis.plans.jobs import publish_errors
+from tamis.plans.jobs import ingest, promote_topic, publish_errors
 from tamis.plans.lake import BRONZE, SILVER, Lake
-from tamis.sources.topics import Topics
+from tamis.sources.topics import Topics, spread
 
 #: Process what is there, batch by batch, then stop.
 AVAILABLE_NOW = {"availableNow": True}
@@ -38,7 +36,7 @@ def ingest_stream(
 
     def land(batch: DataFrame, batch_id: int) -> None:
         run = f"{query}-{batch_id}"
-        lake.write(checked_table(batch, contract, value=value), BRONZE, contract, run)
+        ingest(spread(batch), contract, lake, run=run, value=value)
         if error_topics is not None:
             publish_errors(batch.sparkSession, contract, lake, BRONZE, error_topics, run=run)
 
@@ -65,9 +63,8 @@ def medallion_stream(
 
     def land(batch: DataFrame, batch_id: int) -> None:
         spark, run = batch.sparkSession, f"{query}-{batch_id}"
-        lake.write(checked_table(batch, contract, value=value), BRONZE, contract, run)
-        bronze = lake.rows(spark, BRONZE, contract, run)
-        lake.write(promote(bronze, contract, mode=mode), SILVER, contract, run)
+        ingest(spread(batch), contract, lake, run=run, value=value)
+        promote_topic(spark, contract, lake, run=run, mode=mode)
         if error_topics is not None:
             for stage in (BRONZE, SILVER):
                 publish_errors(spark, contract, lake, stage, error_topics, run=run)

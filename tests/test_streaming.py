@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql.types import IntegerType, StringType
 
-from tamis.contracts import Contract
+from tamis.contracts import CONTRACTS, Contract
 from tamis.plans.jobs import ingest, promote_topic
 from tamis.plans.lake import BRONZE, SILVER, Lake
 from tamis.sources.topics import ERROR_TOPIC, Topics, read_topic, stream_topic, write_topic
@@ -13,6 +13,7 @@ from tamis.streaming import (
     stream_error_records,
     stream_error_summary,
 )
+from workload.messages import DECLARATIONS
 
 NUM = Contract.of("Num", {"n": IntegerType(), "t": StringType()})
 
@@ -106,3 +107,12 @@ def test_error_log_tail(spark, folder, topics):
     spark.catalog.refreshByPath(target)
     summary = {r.error_type: r.records for r in spark.read.parquet(target).collect()}
     assert summary["missing_columns"] == 16
+
+
+def test_table_in_a_folder_of_files(spark, folder):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    orders.repartition(3).write.parquet(f"{folder}/orders.parquet")
+    lake, contract = Lake(f"{folder}/lake"), CONTRACTS["FactDeclaration"]
+    source = DECLARATIONS.stream(spark, folder)
+    ingest_stream(source, contract, lake, f"{folder}/check").awaitTermination()
+    assert lake.table(spark, BRONZE, contract).count() == orders.count()
