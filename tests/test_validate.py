@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import string
+from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -147,6 +148,23 @@ def test_same_outcomes_as_the_plain_check(spark, texts):
     got = {r.id: r.outcome for r in validate(topic, AB, keep=["id"]).collect()}
     want = {r.id: r.outcome for r in _plain(topic).collect()}
     assert got == want
+    table = checked_table(topic, AB)
+    count = Counter(r.outcome for r in table.collect())
+    assert count == Counter(want.values())
+
+
+def test_values_with_json_signs(spark):
+    texts = [
+        '{"A":"10:30","B":"http://x"}',
+        '{"A":{"q":1},"B":"x"}',
+        '{"A":"1","B":"x"} : : :',
+        '{"A":"1:2","B":"x","C":"z"}',
+        '{"A":"1","A":"2","B":"x","B":"y"}',
+        '{"A":"1","C":"2"}',
+    ]
+    outcomes = [r.outcome for r in checked_table(_topic(spark, texts), AB).collect()]
+    assert outcomes == [OK, OK, OK, EXTRA, OK, MISSING]
+    assert conforming_rows(_topic(spark, texts), AB, outcomes=[OK]).count() == 4
 
 
 def test_each_message_is_parsed_once(spark):
