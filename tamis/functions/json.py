@@ -22,18 +22,21 @@ def names_of(contract: Contract) -> Column:
     return F.array(*[F.lit(name) for name in contract.names])
 
 
+def parsed_columns(text: Column, contract: Contract, *, keys: bool = True) -> list[Column]:
+    """``original, data, keys`` of a message as plain columns; ``keys`` is optional."""
+    parts = [text.alias("original"), F.from_json(text, contract.bronze).alias("data")]
+    return [*parts, F.json_object_keys(text).alias("keys")] if keys else parts
+
+
 def parsed_message(text: Column, contract: Contract, *, keys: bool = True) -> Column:
-    """The generator of ``original, data, keys`` for one message; ``keys`` is optional.
+    """The generator of ``original, data, keys`` for one message; yields exactly one row.
 
-    It yields exactly one row.  A generator and not plain columns, because
-    Catalyst pushes filters below a projection and then copies ``from_json``
-    into every field test, one parse per contract field.  Nothing that uses a
-    generator's output is pushed below it, so each message is parsed once.
+    A generator and not plain columns, because Catalyst pushes filters below a
+    projection and then copies ``from_json`` into every field test, one parse per
+    contract field.  Nothing that uses a generator's output is pushed below it,
+    so each message is parsed once.
     """
-    parts = [text.alias("original"), F.from_json(text, contract.bronze).alias("data")]
-    if keys:
-        parts.append(F.json_object_keys(text).alias("keys"))
-    return F.inline(F.array(F.struct(*parts)))
+    return F.inline(F.array(F.struct(*parsed_columns(text, contract, keys=keys))))
 
 
 def is_missing(contract: Contract) -> Column:

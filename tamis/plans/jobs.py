@@ -36,7 +36,8 @@ def ingest(
     messages: DataFrame, contract: Contract, lake: Lake, *, run: str = FULL, value: str = "value"
 ) -> dict[str, int]:
     """Check messages and land them in bronze, rows and envelopes in one pass."""
-    return lake.write(checked_table(messages, contract, value=value), BRONZE, contract, run)
+    table = checked_table(messages, contract, value=value, unfiltered=True)
+    return lake.write(table, BRONZE, contract, run)
 
 
 def promote_topic(

@@ -151,6 +151,7 @@ def test_same_outcomes_as_the_plain_check(spark, texts):
     table = checked_table(topic, AB)
     count = Counter(r.outcome for r in table.collect())
     assert count == Counter(want.values())
+    assert table.exceptAll(checked_table(topic, AB, unfiltered=True)).count() == 0
 
 
 def test_values_with_json_signs(spark):
@@ -172,6 +173,8 @@ def test_each_message_is_parsed_once(spark):
     topic = _topic(spark, ["{}"])
     for frame in (
         checked_table(topic, wide),
+        checked_table(topic, wide).where("outcome <> 'ok'"),
+        checked_table(topic, wide, unfiltered=True),
         conforming_rows(topic, wide),
         conforming_rows(topic, wide, outcomes=[OK]),
         message_errors(topic, wide),
