@@ -1,0 +1,32 @@
+from __future__ import annotations
+
+from types import SimpleNamespace
+
+import pytest
+
+from tamis.session import scratch, shared_folder
+
+
+class Conf(dict):
+    def get(self, key, default=None):
+        return super().get(key, default)
+
+
+def _session(**conf):
+    return SimpleNamespace(conf=Conf({k.replace("_", "."): v for k, v in conf.items()}))
+
+
+def test_folder_named_by_the_cluster():
+    spark = _session(spark_checkpoint_dir="hdfs://shared/", spark_master="yarn")
+    assert shared_folder(spark) == "hdfs://shared"
+    first, second = scratch(spark, "lake"), scratch(spark, "lake")
+    assert first.startswith("hdfs://shared/lake-") and first != second
+
+
+def test_no_local_folder_on_a_cluster():
+    with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
+        shared_folder(_session(spark_master="yarn"))
+
+
+def test_local_fallback():
+    assert "tamis-" in shared_folder(_session(spark_master="local[2]"))

@@ -82,13 +82,13 @@ def test_queries_with_different_names_add_up(spark, folder, topics):
 
 
 def test_error_log_tail(spark, folder, topics):
-    lake = Lake(f"{folder}/lake")
+    lake, errors = Lake(f"{folder}/lake"), Topics(f"{folder}/errors", "parquet")
     medallion_stream(
-        stream_topic(spark, topics, "Num"), NUM, lake, f"{folder}/check", error_topics=topics
+        stream_topic(spark, topics, "Num"), NUM, lake, f"{folder}/check", error_topics=errors
     ).awaitTermination()
 
     def log():
-        return stream_topic(spark, topics, ERROR_TOPIC)
+        return stream_topic(spark, errors, ERROR_TOPIC)
 
     target = f"{folder}/summary"
     stream_error_summary(log(), target, f"{folder}/check-summary").awaitTermination()
@@ -102,7 +102,7 @@ def test_error_log_tail(spark, folder, topics):
     assert records.count() == 45
     # New records are added to the totals when the tail is run again.
     bad = spark.createDataFrame([(None, '{"error_type":"missing_columns"}')], "key string, value string")
-    write_topic(bad, topics, ERROR_TOPIC)
+    write_topic(bad, errors, ERROR_TOPIC)
     stream_error_summary(log(), target, f"{folder}/check-summary").awaitTermination()
     spark.catalog.refreshByPath(target)
     summary = {r.error_type: r.records for r in spark.read.parquet(target).collect()}
