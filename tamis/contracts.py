@@ -39,6 +39,8 @@ class Contract:
         names = [name.lower() for name in self.silver.names]
         if len(set(names)) != len(names):
             raise ValueError(f"contract {self.topic!r} repeats a field name")
+        if any(sign in name for name in names for sign in ".`"):
+            raise ValueError(f"contract {self.topic!r} has a dot or backtick in a field name")
         clash = sorted(set(names) & set(RESERVED))
         if clash:
             raise ValueError(f"contract {self.topic!r} uses reserved names: {clash}")

@@ -11,6 +11,7 @@ A run replaces its own folder, so repeating a run never duplicates rows.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -26,6 +27,8 @@ OUTCOMES = {BRONZE: (OK, EXTRA_COLUMNS, MISSING_COLUMNS), SILVER: (OK, TYPE_CAST
 #: Outcomes whose rows hold the contract columns.
 ACCEPTED = {BRONZE: (OK, EXTRA_COLUMNS), SILVER: (OK,)}
 
+_RUN = re.compile(r"[A-Za-z0-9._-]+")
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -33,40 +36,33 @@ class Lake:
 
     def path(self, stage: str, topic: str, run: str | None = None) -> str:
         base = f"{self.root.rstrip('/')}/{stage}/{topic}"
-        return base if run is None else f"{base}/run={run}"
+        if run is None:
+            return base
+        if not _RUN.fullmatch(run):
+            raise ValueError(f"run id {run!r} may hold letters, digits, '.', '_' and '-' only")
+        return f"{base}/run={run}"
 
     def write(self, table: DataFrame, stage: str, contract: Contract, run: str) -> dict[str, int]:
-        """Replace one run of a stage table; returns the rows per outcome.
-
-        The counts are observed while writing, they cost no extra job.
-        """
-        observed = Observation()
-        counts = [
-            F.count_if(F.col("outcome") == outcome).alias(outcome) for outcome in OUTCOMES[stage]
-        ]
-        (
-            table.observe(observed, *counts)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("outcome")
-            .parquet(self.path(stage, contract.topic, run))
-        )
-        return observed.get
+        """Replace one run of a stage table; returns the rows per outcome."""
+        return self._replace(table, stage, self.path(stage, contract.topic, run), ["outcome"])
 
     def write_all_runs(
         self, table: DataFrame, stage: str, contract: Contract
     ) -> dict[str, int]:
         """Replace every run of a stage table; ``table`` carries a ``run`` column."""
+        return self._replace(table, stage, self.path(stage, contract.topic), ["run", "outcome"])
+
+    @staticmethod
+    def _replace(table: DataFrame, stage: str, path: str, parts: list[str]) -> dict[str, int]:
+        # The counts are observed while writing, they cost no extra job.
         observed = Observation()
-        counts = [
-            F.count_if(F.col("outcome") == outcome).alias(outcome) for outcome in OUTCOMES[stage]
-        ]
+        counts = [F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES[stage]]
         (
             table.observe(observed, *counts)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
-            .partitionBy("run", "outcome")
-            .parquet(self.path(stage, contract.topic))
+            .partitionBy(*parts)
+            .parquet(path)
         )
         return observed.get
 

@@ -36,7 +36,13 @@ def test_extended_keeps_the_others():
 
 
 @pytest.mark.parametrize(
-    "fields", [{}, {"Outcome": StringType()}, {"a": StringType(), "A": StringType()}]
+    "fields",
+    [
+        {},
+        {"Outcome": StringType()},
+        {"a": StringType(), "A": StringType()},
+        {"a.b": StringType()},
+    ],
 )
 def test_bad_contracts_are_refused(fields):
     with pytest.raises(ValueError):

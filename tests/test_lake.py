@@ -73,6 +73,19 @@ def test_runs_append_and_repeats_replace(spark, messages, folder):
     assert lake.errors(spark, SILVER, NUM, "1").count() == 1
 
 
+def test_run_ids_are_text(spark, messages, folder):
+    lake = Lake(folder)
+    for run in ("007", "2024-01-02", "1e3"):
+        ingest(messages, NUM, lake, run=run)
+    promote_topic(spark, NUM, lake)
+    for stage in (BRONZE, SILVER):
+        runs = lake.table(spark, stage, NUM).select("run").distinct().collect()
+        assert {r.run for r in runs} == {"007", "2024-01-02", "1e3"}
+    assert lake.rows(spark, SILVER, NUM, "007").count() == 2
+    with pytest.raises(ValueError, match="run id"):
+        ingest(messages, NUM, lake, run="a/b")
+
+
 def test_repeat_drops_outcomes_that_are_gone(spark, messages, folder):
     lake = Lake(folder)
     ingest(messages, NUM, lake)
