@@ -1,6 +1,7 @@
 """Structured Streaming: the same operators as micro-batches, exactly once."""
 
 from tamis.streaming.errors import (
+    error_totals,
     show_error_records,
     stream_error_records,
     stream_error_summary,
@@ -8,6 +9,7 @@ from tamis.streaming.errors import (
 from tamis.streaming.ingest import ingest_stream, medallion_stream
 
 __all__ = [
+    "error_totals",
     "ingest_stream",
     "medallion_stream",
     "show_error_records",

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tamis.operators.envelope import from_envelope, summarise_errors
@@ -51,20 +52,25 @@ def stream_error_records(
 def stream_error_summary(
     log: DataFrame, target: str, checkpoint: str, *, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Keep the records per error_type up to date in the small table ``target``.
+    """Keep each micro-batch's records per error_type below ``target``.
 
-    The state holds one count per error type.  Each batch replaces the table, so
-    a repeated batch changes nothing.
+    A batch holds at most one row per error type and replaces its own folder when
+    repeated, so no state is needed and no record counts twice.  ``error_totals``
+    adds the batches up.  A new checkpoint needs a new target.
     """
 
-    def replace(totals: DataFrame, _: int) -> None:
-        totals.coalesce(1).write.mode("overwrite").parquet(target)  # one row per error type
+    def count(batch: DataFrame, batch_id: int) -> None:
+        summarise_errors(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return (
-        summarise_errors(log)
-        .writeStream.outputMode("complete")
-        .foreachBatch(replace)
+        log.writeStream.foreachBatch(count)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or AVAILABLE_NOW))
         .start()
     )
+
+
+def error_totals(spark: SparkSession, target: str) -> DataFrame:
+    """Records per error_type over all micro-batches of ``stream_error_summary``."""
+    counts = spark.read.schema("error_type string, records long, batch long").parquet(target)
+    return counts.groupBy("error_type").agg(F.sum("records").alias("records"))

@@ -34,7 +34,12 @@ from tamis.sources.files import (
     write_csv,
 )
 from tamis.sources.topics import ERROR_TOPIC, Topics, read_topic, stream_topic, write_topic
-from tamis.streaming import ingest_stream, medallion_stream, stream_error_summary
+from tamis.streaming import (
+    error_totals,
+    ingest_stream,
+    medallion_stream,
+    stream_error_summary,
+)
 from workload.messages import AFFILIATES, DECLARATIONS, EVENTS, INSURED, Feed
 
 YEAR_TOTAL = Path(__file__).parents[1] / "tamis" / "queries" / "FactDeclaration.sql"
@@ -307,7 +312,7 @@ def stream_error_tail(spark, sf_dir):
     log = stream_topic(spark, _publish_all_errors(spark, sf_dir), ERROR_TOPIC)
     target, checkpoint = scratch(spark, "error-summary"), scratch(spark, "checkpoint")
     stream_error_summary(log, target, checkpoint).awaitTermination()
-    return spark.read.parquet(target)
+    return error_totals(spark, target)
 
 
 # --- star schema -------------------------------------------------------------
