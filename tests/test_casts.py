@@ -55,6 +55,13 @@ def _casts(spark, texts, cast, to):
     return [r.v for r in sorted(got, key=lambda r: r.id)]
 
 
+def test_strict_equals_try_cast(spark):
+    texts = [t for t, _, _ in GOLDEN] + ["\x0012\x7f", "1 2", "١٢", "9" * 30, "-0", "+ 5"]
+    for to in (IntegerType(), LongType(), ByteType(), FloatType(), DoubleType()):
+        want = _casts(spark, texts, lambda c, t: c.try_cast(t), to)
+        assert list(map(repr, _casts(spark, texts, cast_strict, to))) == list(map(repr, want))
+
+
 def test_golden_integers(spark):
     texts = [t for t, _, _ in GOLDEN]
     assert _casts(spark, texts, cast_compat, IntegerType()) == [c for _, c, _ in GOLDEN]
@@ -87,6 +94,29 @@ def test_compat_equals_the_non_ansi_cast(spark, to, texts):
     assert dict(zip(texts, got, strict=True)) == dict(zip(texts, want, strict=True))
 
 
+_FLOATS = st.builds(
+    lambda *parts: "".join(parts),
+    st.sampled_from(["", "", " ", "\t", "\x00", "\x7f", "x"]),
+    st.sampled_from(["", "", "+", "-", "--"]),
+    st.sampled_from(["NaN", "nan", "Infinity", "inf", "INF", "0x1p3", "1", "12", ".", ".5", "5."]),
+    st.sampled_from(["", "", "e3", "E-2", "f", "d", ".25", "_0", " "]),
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=st.lists(_FLOATS | st.text(max_size=6), min_size=100, max_size=200))
+@pytest.mark.parametrize("to", [FloatType(), DoubleType()])
+def test_floats_equal_the_non_ansi_cast(spark, to, texts):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    got = _casts(spark, texts, cast_compat, to)
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        want = _casts(spark, texts, lambda c, t: c.cast(t), to)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert list(map(repr, got)) == list(map(repr, want))
+
+
 def test_floats(spark):
     texts = ["12.7", " 1e3 ", "16777217", "Infinity", "NaN", "1e39", "x", "", "12f", None]
     got = _casts(spark, texts, cast_compat, FloatType())
