@@ -25,8 +25,8 @@ _FLOAT_START = rf"^{_BLANK}[+-]?[0-9.nNiI]"
 def cast_strict(text: Column, to: DataType) -> Column:
     """``try_cast``, kept from hopeless texts.
 
-    A failing ``try_cast`` raises and catches an exception inside, which costs
-    fifty times a pattern test; a source of bad texts must not slow the job.
+    A failing ``try_cast`` took over ten times as long as a pattern test when
+    measured; a source of bad texts must not slow the job.
     """
     if isinstance(to, StringType):
         return text
