@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamis.llm import chat_format, mixing, quality_rules
+from tamis.llm import chat_format, mixing, packing, pii, quality_rules
 from tamis.llm.common import table
 
 
@@ -16,6 +16,16 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    return packing.pack(table(spark, sf_dir, "documents"), path("word_bpe_49k.json"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.spans(table(spark, sf_dir, "documents")))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -26,6 +36,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_packing": op2_packing,
+    "op3_pii": op3_pii,
     "op9_quality_rules": op9_quality_rules,
     "op10_chat_format": op10_chat_format,
 }
