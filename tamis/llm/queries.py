@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamis.llm import chat_format, mixing, packing, pii, quality_rules
+from tamis.llm import (
+    chat_format,
+    html_text,
+    mixing,
+    packing,
+    pii,
+    quality_model,
+    quality_rules,
+)
 from tamis.llm.common import table
 
 
@@ -26,6 +34,15 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.spans(table(spark, sf_dir, "documents")))
 
 
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return quality_model.classify(docs, labels)
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -38,6 +55,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
     "op3_pii": op3_pii,
+    "op4_quality_model": op4_quality_model,
+    "op6_html_text": op6_html_text,
     "op9_quality_rules": op9_quality_rules,
     "op10_chat_format": op10_chat_format,
 }
