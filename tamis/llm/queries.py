@@ -10,10 +10,12 @@ from tamis.llm import (
     chat_format,
     html_text,
     mixing,
+    ngram_join,
     packing,
     pii,
     quality_model,
     quality_rules,
+    vector_join,
 )
 from tamis.llm.common import table
 
@@ -43,6 +45,15 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op7_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rule = ngram_join.Rule(words=4, percent=85)
+    return ngram_join.groups(table(spark, sf_dir, "documents"), rule)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -57,6 +68,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_quality_model": op4_quality_model,
     "op6_html_text": op6_html_text,
+    "op7_vector_join": op7_vector_join,
+    "op8_ngram_join": op8_ngram_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_chat_format": op10_chat_format,
 }
