@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tamis.llm import (
     chat_format,
     html_text,
+    lm_score,
     mixing,
     ngram_join,
     packing,
@@ -41,6 +42,10 @@ def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(docs, labels)
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_pii": op3_pii,
     "op4_quality_model": op4_quality_model,
+    "op5_lm_score": op5_lm_score,
     "op6_html_text": op6_html_text,
     "op7_vector_join": op7_vector_join,
     "op8_ngram_join": op8_ngram_join,
