@@ -24,6 +24,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -35,7 +36,9 @@ END_ID = 1
 BLOCK, STEP = 4_000_000, 65_536
 #: Words whose ids a task keeps.
 CACHE = 800_000
-MARKS, LETTERS = frozenset(b".,!?;:"), frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
+MARKS = ".,!?;:#*$%&|"
+#: Letters below are in composed form.
+PLAIN_END = "\u0180"
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long,"
@@ -47,45 +50,71 @@ class WordIds:
     """The ids of texts, word by word.
 
     The tokenizer splits at white space before it does anything else that looks at neighbours,
-    so the ids of a text are those of its words; each word is encoded once per task.
+    so the ids of a text are those of its words; each word is encoded once per task.  Words of
+    letters need neither normalizing nor splitting once they are in lower case: many are encoded
+    as one string, and each ends with its only token that ends a word.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self._whole = Tokenizer.from_file(path)
+        self._plain = Tokenizer.from_file(path)
+        self._plain.normalizer = normalizers.Sequence([])
+        self._plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.CharDelimiterSplit(" "),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        vocabulary = self._whole.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._known: dict[bytes, bytes] = {}
+        self._parts: dict[str, bytes] = {}
 
     def of(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        known = self._known
+        known, parts = self._known, self._parts
         if len(known) > CACHE:
             known.clear()
+            parts.clear()
         split = [text.split() for text in texts]
-        parts = {word: _parts(word) for word in set().union(*split).difference(known)}
-        fresh = list({p for some in parts.values() for p in some}.difference(known))
-        encoded = self._tokenizer.encode_batch_fast(
-            [part.decode("utf-8", "replace") for part in fresh], add_special_tokens=False
-        )
-        for part, code in zip(fresh, encoded):
-            known[part] = array("I", code.ids).tobytes()
-        for word, some in parts.items():
-            known[word] = b"".join([known[part] for part in some])
+        fresh = {word: _parts(word) for word in set().union(*split).difference(known)}
+        wanted = {part for some in fresh.values() for part in some}.difference(parts)
+        plain = [p for p in wanted if p.isalpha() and p == p.lower() and max(p) < PLAIN_END]
+        self._encode_plain(plain)
+        others = list(wanted.difference(plain))
+        for part, code in zip(others, self._whole.encode_batch(others, add_special_tokens=False)):
+            parts[part] = array("I", code.ids).tobytes()
+        for word, some in fresh.items():
+            known[word] = b"".join([parts[part] for part in some])
         return [b"".join(map(known.__getitem__, text)) for text in split]
 
+    def _encode_plain(self, words: list[str]) -> None:
+        for at in range(0, len(words), 1000):
+            some = words[at : at + 1000]
+            code = self._plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
+            ids = np.array(code.ids, dtype="<u4")
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(some, (4 * np.flatnonzero(self._ends[ids]) + 4).tolist()):
+                self._parts[word] = raw[start:end]
+                start = end
+
 
-def _parts(word: bytes) -> tuple[bytes, ...]:
-    """What a word is encoded as: in lower case, one final mark after a letter apart.
+def _parts(word: bytes) -> tuple[str, ...]:
+    """What a word is encoded as: letters in lower case and marks behind them apart.
 
-    The tokenizer does both itself; so fewer different strings are encoded.
+    The tokenizer does both itself; so fewer different strings are encoded.  Any other word is
+    left as it is.
     """
-    if b"<|" in word:  # special tokens are found before all else
-        return (word,)
-    word = word.lower()
-    if len(word) > 1 and word[-1] in MARKS and word[-2] in LETTERS:
-        return (word[:-1], word[-1:])
-    return (word,)
+    text = word.decode("utf-8", "replace")
+    letters = text.rstrip(MARKS)
+    lower = letters.lower()
+    if not lower.isalpha() or max(letters) >= PLAIN_END:
+        return (text,)
+    return (lower, text[len(letters) :]) if len(letters) < len(text) else (lower,)
 
 
 class Block:
