@@ -266,7 +266,10 @@ def _kept_mass(bigrams: DataFrame, least: int, known: int) -> np.ndarray:
                 mass = _values(int(levels.max(initial=0)), least)[levels] - DISCOUNT
                 history, where = np.unique(_histories(pairs), return_inverse=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(history), pa.array(np.bincount(where, mass, len(history)))],
+                    [
+                        pa.array(history, pa.int64()),
+                        pa.array(np.bincount(where, mass, len(history)), pa.float64()),
+                    ],
                     ["history", "mass"],
                 )
 
