@@ -15,9 +15,10 @@ from pyspark.sql.types import DataType, DoubleType, FloatType, IntegralType, Str
 
 # The blank characters a string-to-number cast trims, as a regex class.
 _BLANK = r"[\x00-\x20\x7F]*"
-_WHOLE_TEXT = rf"^{_BLANK}[+-]?[0-9]+{_BLANK}$"
+_WHOLE_TEXT = rf"^{_BLANK}[+-]?[0-9]+{_BLANK}\z"
+# ``$`` would also match before a final line end such as U+0085.
 # Sign and digits before a decimal point; only digits may follow it.
-_POINT_TEXT = rf"^{_BLANK}([+-]?[0-9]*)[.][0-9]*{_BLANK}$"
+_POINT_TEXT = rf"^{_BLANK}([+-]?[0-9]*)[.][0-9]*{_BLANK}\z"
 # How every text that a float can be read from starts.
 _FLOAT_START = rf"^{_BLANK}[+-]?[0-9.nNiI]"
 

@@ -11,12 +11,27 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Dimension:
-    """A dimension, the fact column that refers to it, its key and wanted attributes."""
+    """A dimension, the fact column that refers to it, its key and wanted attributes.
+
+    The result names an attribute ``prefix`` and its own name.
+    """
 
     frame: DataFrame
     fact_key: str
     key: str
     attributes: Sequence[str] = field(default_factory=tuple)
+    prefix: str = ""
+
+    @property
+    def names(self) -> list[str]:
+        return [f"{self.prefix}{name}" for name in self.attributes]
+
+
+def _is_small(frame: DataFrame) -> bool:
+    """Whether Spark's own estimate is under the session's bound for a broadcast."""
+    bound = frame.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= bound
 
 
 def star_total(
@@ -30,22 +45,43 @@ def star_total(
 ) -> DataFrame:
     """``sum(measure)`` by fact columns ``by`` and the dimensions' attributes.
 
-    The fact is summed by its dimension keys before any join.  Map-side partial
-    sums shrink a hot key to one row per task before the shuffle, and the joins
-    see one row per key combination, so no join is skewed by the fact.  No
-    broadcast is forced: Spark broadcasts a dimension under
-    ``spark.sql.autoBroadcastJoinThreshold`` (measured at run time by AQE) and
-    shuffles it otherwise.
+    Dimensions below ``spark.sql.autoBroadcastJoinThreshold`` are joined first: Spark
+    broadcasts them, so the fact is summed up in place and only groups are shuffled.
+    For larger dimensions the fact is then summed by their keys and what is known so
+    far, which shrinks a hot key to one row per task and combination; a key that
+    stays hot because its combinations are many is left to the skew handling of
+    Spark's sort-merge join.  Columns are numbered inside, so equal names in the
+    fact and the dimensions do no harm; equal names in the result are refused.
     """
-    keys = list(dict.fromkeys([*by, *(d.fact_key for d in dimensions)]))
-    joined = fact.groupBy(*keys).agg(F.sum(measure).alias("partial_total"))
-    attributes: list[str] = []
-    for number, dimension in enumerate(dimensions):
-        key = f"dimension_key_{number}"
-        side = dimension.frame.select(F.col(dimension.key).alias(key), *dimension.attributes)
-        joined = joined.join(side, joined[dimension.fact_key] == side[key], how).drop(key)
-        attributes += dimension.attributes
-    return joined.groupBy(*by, *attributes).agg(F.sum("partial_total").alias(total))
+    result = [*by, *(name for d in dimensions for name in d.names), total]
+    if twice := sorted({name for name in result if result.count(name) > 1}):
+        raise ValueError(f"result columns {twice} would appear twice; give a prefix")
+    attributes = [[f"a{n}_{i}" for i in range(len(d.attributes))] for n, d in enumerate(dimensions)]
+    groups = [f"b{i}" for i in range(len(by))]
+    rows = fact.select(
+        *(F.col(name).alias(group) for name, group in zip(by, groups, strict=True)),
+        *(F.col(d.fact_key).alias(f"k{n}") for n, d in enumerate(dimensions)),
+        F.col(measure).alias("m"),
+    )
+
+    def joined(rows: DataFrame, n: int) -> DataFrame:
+        d = dimensions[n]
+        own = zip(d.attributes, attributes[n], strict=True)
+        side = d.frame.select(F.col(d.key).alias("key"), *(F.col(x).alias(y) for x, y in own))
+        return rows.join(side, F.col(f"k{n}") == F.col("key"), how).drop("key", f"k{n}")
+
+    small = [n for n, d in enumerate(dimensions) if _is_small(d.frame)]
+    large = [n for n in range(len(dimensions)) if n not in small]
+    known = list(groups)
+    for n in small:
+        rows = joined(rows, n)
+        known += attributes[n]
+    if large:
+        rows = rows.groupBy(*known, *(f"k{n}" for n in large)).agg(F.sum("m").alias("m"))
+        for n in large:
+            rows = joined(rows, n)
+    ordered = [*groups, *(name for own in attributes for name in own)]
+    return rows.groupBy(*ordered).agg(F.sum("m")).toDF(*result)
 
 
 def _periods(bounds: DataFrame) -> DataFrame:

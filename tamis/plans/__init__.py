@@ -1,7 +1,9 @@
 """Jobs: operators wired to tables, topics and files."""
 
 from tamis.plans.jobs import (
+    compact_topics,
     ingest,
+    ingest_increment,
     ingest_topics,
     map_csv,
     map_csv_sql,
@@ -18,7 +20,9 @@ __all__ = [
     "BRONZE",
     "SILVER",
     "Lake",
+    "compact_topics",
     "ingest",
+    "ingest_increment",
     "ingest_topics",
     "map_csv",
     "map_csv_sql",

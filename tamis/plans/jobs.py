@@ -17,14 +17,22 @@ from tamis.operators.messages import rows_to_messages
 from tamis.operators.promote import promote
 from tamis.operators.sql import run_sql, sql_text
 from tamis.operators.validate import checked_table
-from tamis.plans.lake import BRONZE, SILVER, Lake
+from tamis.plans.lake import BRONZE, OUTCOMES, SILVER, Lake
+from tamis.plans.warehouse import materialise
 from tamis.sources.files import (
     read_csv_infer,
     read_csv_strings,
     read_delimited_rows,
     write_csv,
 )
-from tamis.sources.topics import ERROR_TOPIC, Topics, read_topic, spread, write_topic
+from tamis.sources.topics import (
+    ERROR_TOPIC,
+    Topics,
+    read_topic,
+    spread,
+    stream_topic,
+    write_topic,
+)
 
 log = logging.getLogger("tamis")
 
@@ -48,17 +56,26 @@ def promote_topic(
     run: str | None = None,
     mode: str = "compat",
 ) -> dict[str, int] | None:
-    """Bronze to silver for one run, or for all of them; None where bronze is absent."""
+    """Bronze to silver; None where bronze is absent.
+
+    With ``run`` that run is promoted, again if it was before.  Without, all runs are
+    whose newest bronze version was not promoted yet, in one pass; the silver rows of
+    other runs stay as they are, also where their bronze is gone.
+    """
+    bronze = lake.live(spark, BRONZE, contract)
     if run is not None:
-        bronze = lake.rows(spark, BRONZE, contract, run)
-        if bronze is None:
-            return None
-        return lake.write(promote(bronze, contract, mode=mode), SILVER, contract, run)
-    bronze = lake.rows(spark, BRONZE, contract, keep=("run",))
-    if bronze is None:
+        bronze = {r: state for r, state in bronze.items() if r == run}
+    if not bronze:
         return None
-    table = promote(bronze, contract, mode=mode, keep=("run",))
-    return lake.write_all_runs(table, SILVER, contract)
+    new = {r: state.version for r, state in bronze.items()}
+    if run is None:
+        silver = lake.live(spark, SILVER, contract)
+        new = {r: v for r, v in new.items() if r not in silver or silver[r].version < v}
+        if not new:
+            return dict.fromkeys(OUTCOMES[SILVER], 0)
+    rows = lake.rows(spark, BRONZE, contract, new.keys(), keep=("run",))
+    table = promote(rows, contract, mode=mode, keep=("run",))
+    return lake.write_runs(table, SILVER, contract, new)
 
 
 def publish_errors(
@@ -71,14 +88,80 @@ def publish_errors(
     run: str | None = None,
     error_topic: str = ERROR_TOPIC,
 ) -> None:
-    """Send the logged envelopes of a stage to the error topic.
+    """Send the logged envelopes of a stage to the error topic, once per run.
 
     Only the reject partitions of the stage table are read, the input is not
-    parsed again.
+    parsed again.  A run that was sent before is skipped, also if it was repeated
+    since; a crash between sending and noting it sends it again.
     """
-    errors = lake.errors(spark, stage, contract, run)
-    if errors is not None:
-        write_topic(errors, topics, error_topic)
+    runs = lake.unpublished(spark, stage, contract, run)
+    if runs:
+        write_topic(lake.errors(spark, stage, contract, runs), topics, error_topic)
+        lake.mark_published(spark, stage, contract, runs)
+
+
+def land_batch(
+    batch: DataFrame,
+    contract: Contract,
+    lake: Lake,
+    run: str,
+    *,
+    value: str = "value",
+    error_topics: Topics | None = None,
+) -> dict[str, int]:
+    """One micro-batch into bronze as a run of its own; a repeated batch replaces it."""
+    counts = ingest(spread(batch), contract, lake, run=run, value=value)
+    if error_topics is not None:
+        publish_errors(batch.sparkSession, contract, lake, BRONZE, error_topics, run=run)
+    return counts
+
+
+def ingest_increment(
+    messages: DataFrame,
+    contract: Contract,
+    lake: Lake,
+    checkpoint: str,
+    *,
+    query: str,
+    error_topics: Topics | None = None,
+) -> dict[str, int]:
+    """Land what a message stream holds beyond its checkpoint; the rows per outcome."""
+    total = dict.fromkeys(OUTCOMES[BRONZE], 0)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        run = f"{query}-{batch_id}"
+        counts = land_batch(batch, contract, lake, run, error_topics=error_topics)
+        for outcome, n in counts.items():
+            total[outcome] += n
+
+    running = (
+        messages.writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    running.awaitTermination()
+    return total
+
+
+def compact_topics(
+    spark: SparkSession,
+    names: Iterable[str],
+    lake: Lake,
+    *,
+    contracts: Mapping[str, Contract] = CONTRACTS,
+    hours: float = 24,
+    parallel: int = 4,
+) -> dict[str, Any]:
+    """Merge the small files of both stages of each topic, then delete what is obsolete."""
+
+    def job(contract: Contract) -> dict[str, int]:
+        merged = {s: lake.compact(spark, s, contract) for s in (BRONZE, SILVER)}
+        for stage in (BRONZE, SILVER):
+            lake.vacuum(spark, stage, contract, hours=hours)
+        return merged
+
+    return _for_each_topic(spark, names, contracts, job, parallel)
 
 
 def _for_each_topic(
@@ -123,16 +206,29 @@ def ingest_topics(
     lake: Lake,
     *,
     contracts: Mapping[str, Contract] = CONTRACTS,
-    run: str = FULL,
+    replace: str | None = None,
+    query: str = "ingest",
     error_topics: Topics | None = None,
     parallel: int = 4,
 ) -> dict[str, Any]:
-    """Ingest each topic; with ``error_topics`` also publish its envelopes there."""
+    """Ingest what is new in each topic; with ``error_topics`` also publish its envelopes.
+
+    Offsets are kept in the lake's checkpoint of ``query``, so rows that a topic holds
+    no longer stay in bronze.  ``replace`` names a run that is replaced by all that the
+    topic holds now instead.
+    """
 
     def job(contract: Contract) -> dict[str, int]:
-        counts = ingest(spread(read_topic(spark, topics, contract.topic)), contract, lake, run=run)
+        if replace is None:
+            checkpoint = lake.checkpoint(query, contract.topic)
+            messages = stream_topic(spark, topics, contract.topic)
+            return ingest_increment(
+                messages, contract, lake, checkpoint, query=query, error_topics=error_topics
+            )
+        messages = spread(read_topic(spark, topics, contract.topic))
+        counts = ingest(messages, contract, lake, run=replace)
         if error_topics is not None:
-            publish_errors(spark, contract, lake, BRONZE, error_topics, run=run)
+            publish_errors(spark, contract, lake, BRONZE, error_topics, run=replace)
         return counts
 
     return _for_each_topic(spark, names, contracts, job, parallel)
@@ -184,6 +280,27 @@ def map_csv_sql(
     write_csv(result, target, header=True, mode="overwrite")
 
 
+def gold_table(
+    spark: SparkSession,
+    topic: str,
+    lake: Lake,
+    sql_file: str | Path,
+    table: str,
+    *,
+    contracts: Mapping[str, Contract] = CONTRACTS,
+    mappings: Mapping[str, Mapping[str, Rule]] = MAPPINGS,
+    partition_by: Iterable[str] = (),
+    path: str | None = None,
+) -> DataFrame:
+    """Map a topic's silver rows, run a SQL file over them and replace a warehouse table."""
+    silver = lake.rows(spark, SILVER, contracts[topic])
+    if silver is None:
+        raise ValueError(f"no silver data for topic {topic}")
+    mapped = apply_mapping(silver, mapping_for(topic, mappings))
+    result = run_sql(spark, {topic: mapped}, sql_text(sql_file))
+    return materialise(spark, result, table, partition_by=list(partition_by), path=path)
+
+
 def publish_csv(
     spark: SparkSession, files: Mapping[str, str], topics: Topics
 ) -> dict[str, Exception | None]:

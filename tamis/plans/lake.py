@@ -1,18 +1,27 @@
-"""The lake layout: ``<root>/<stage>/<topic>/run=<run>/outcome=<outcome>/*.parquet``.
+"""The lake layout: ``<root>/<stage>/<topic>/attempt=<id>/outcome=<outcome>/*.parquet``.
 
 One stage table holds the accepted rows and the error envelopes side by side,
 split by the ``outcome`` partition, so both are written by one pass over the
-input and committed by one job: no caching, no second parse, and no bronze
-without its envelopes after a crash.  Accepted rows and errors are then
-partition filters.
-
-A run replaces its own folder, so repeating a run never duplicates rows.
+input: no caching, no second parse, and no bronze without its envelopes after a
+crash.  Accepted rows and errors are then partition filters.
+
+Every write goes to a folder of its own and is published afterwards by one small
+commit record that names its runs.  Readers take, for each run, the committed
+attempt of the newest version; a failed or unfinished write changes nothing, and
+repeating a run replaces its rows only once the new ones are complete.  ``compact``
+puts many small attempts into one, ``vacuum`` deletes what no record needs.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import time
+import uuid
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,6 +30,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tamis.contracts import Contract
 from tamis.functions.json import EXTRA_COLUMNS, MISSING_COLUMNS, OK, TYPE_CAST_ERROR
+from tamis.sources import store
 
 BRONZE, SILVER = "bronze", "silver"
 OUTCOMES = {BRONZE: (OK, EXTRA_COLUMNS, MISSING_COLUMNS), SILVER: (OK, TYPE_CAST_ERROR)}
@@ -28,72 +38,171 @@ OUTCOMES = {BRONZE: (OK, EXTRA_COLUMNS, MISSING_COLUMNS), SILVER: (OK, TYPE_CAST
 ACCEPTED = {BRONZE: (OK, EXTRA_COLUMNS), SILVER: (OK,)}
 
 _RUN = re.compile(r"[A-Za-z0-9._-]+")
+_RECORD = "attempt string, written long, runs map<string, long>"
+
+
+@dataclass(frozen=True)
+class Live:
+    """The committed state of a run: its version, the attempt that holds it, and with how many."""
+
+    version: int
+    attempt: str
+    runs: int
+
+
+def _now() -> int:
+    return time.time_ns()
 
 
 @dataclass(frozen=True)
 class Lake:
     root: str
 
-    def path(self, stage: str, topic: str, run: str | None = None) -> str:
+    def path(self, stage: str, topic: str, attempt: str | None = None) -> str:
         base = f"{self.root.rstrip('/')}/{stage}/{topic}"
-        if run is None:
-            return base
-        if not _RUN.fullmatch(run):
-            raise ValueError(f"run id {run!r} may hold letters, digits, '.', '_' and '-' only")
-        return f"{base}/run={run}"
+        return base if attempt is None else f"{base}/attempt={attempt}"
+
+    def checkpoint(self, query: str, topic: str) -> str:
+        return f"{self.root.rstrip('/')}/checkpoints/{query}/{topic}"
+
+    # --- writing --------------------------------------------------------------
 
     def write(self, table: DataFrame, stage: str, contract: Contract, run: str) -> dict[str, int]:
         """Replace one run of a stage table; returns the rows per outcome."""
-        return self._replace(table, stage, self.path(stage, contract.topic, run), ["outcome"])
+        return self.write_runs(table.withColumn("run", F.lit(run)), stage, contract, {run: None})
 
-    def write_all_runs(
-        self, table: DataFrame, stage: str, contract: Contract
+    def write_runs(
+        self,
+        table: DataFrame,
+        stage: str,
+        contract: Contract,
+        runs: Mapping[str, int | None],
+        *,
+        written: int | None = None,
     ) -> dict[str, int]:
-        """Replace every run of a stage table; ``table`` carries a ``run`` column."""
-        return self._replace(table, stage, self.path(stage, contract.topic), ["run", "outcome"])
-
-    @staticmethod
-    def _replace(table: DataFrame, stage: str, path: str, parts: list[str]) -> dict[str, int]:
+        """Replace the given runs; ``table`` has a ``run`` column.
+
+        ``runs`` says which version of each run the rows stand for; None is a new one.
+        """
+        for run in runs:
+            if not _RUN.fullmatch(run):
+                raise ValueError(f"run id {run!r} may hold letters, digits, '.', '_' and '-' only")
+        attempt = uuid.uuid4().hex
         # The counts are observed while writing, they cost no extra job.
         observed = Observation()
         counts = [F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES[stage]]
         (
             table.observe(observed, *counts)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(*parts)
-            .parquet(path)
+            .write.partitionBy("outcome")
+            .parquet(self.path(stage, contract.topic, attempt))
         )
+        done = _now()
+        record = {
+            "attempt": attempt,
+            "written": done if written is None else written,
+            "runs": {run: done if version is None else version for run, version in runs.items()},
+        }
+        commits = f"{self.path(stage, contract.topic)}/_commits"
+        store.put(table.sparkSession, f"{commits}/{attempt}.json", json.dumps(record))
         return observed.get
 
-    def table(
-        self, spark: SparkSession, stage: str, contract: Contract, run: str | None = None
-    ) -> DataFrame | None:
-        """The whole stage table of a topic, or None where nothing was written yet."""
-        fields = contract.bronze if stage == BRONZE else contract.silver
-        schema = StructType(
-            [
-                *fields.fields,
-                StructField("envelope", StringType()),
-                StructField("run", StringType()),
-                StructField("outcome", StringType()),
-            ]
-        )
+    def compact(self, spark: SparkSession, stage: str, contract: Contract) -> int:
+        """Rewrite a stage table of several attempts as one; returns how many there were.
+
+        Rows are rebalanced by outcome, which merges small files and splits large ones.
+        What is written meanwhile stays the newer version.
+        """
+        started = _now()
+        live = self.live(spark, stage, contract)
+        attempts = len({state.attempt for state in live.values()})
+        if attempts > 1:
+            table = self._read(spark, stage, contract, live).drop("attempt")
+            versions = {run: state.version for run, state in live.items()}
+            rows = table.hint("rebalance", "outcome")
+            self.write_runs(rows, stage, contract, versions, written=started)
+        return attempts
+
+    def vacuum(
+        self, spark: SparkSession, stage: str, contract: Contract, *, hours: float = 24
+    ) -> int:
+        """Delete attempts and records that are not live and unchanged for ``hours``.
+
+        The time must exceed that of any write or query which is under way.
+        """
         base = self.path(stage, contract.topic)
-        reader = spark.read.schema(schema).option("basePath", base)
+        live = {state.attempt for state in self.live(spark, stage, contract).values()}
+        records = {f"_commits/{n}": age for n, age in store.names(spark, f"{base}/_commits").items()}
+        gone = 0
+        # records first: a record without its rows would break readers
+        for name, age in [*records.items(), *store.names(spark, base).items()]:
+            owner = name.removeprefix("_commits/").removesuffix(".json").removeprefix("attempt=")
+            if "/" not in name and not name.startswith("attempt="):
+                continue
+            if owner not in live and age >= hours * 3600:
+                store.remove(spark, f"{base}/{name}")
+                gone += 1
+        return gone
+
+    # --- reading --------------------------------------------------------------
+
+    def live(self, spark: SparkSession, stage: str, contract: Contract) -> dict[str, Live]:
+        """The newest committed version of each run; small, one entry per run."""
+        path = f"{self.path(stage, contract.topic)}/_commits"
         try:
-            return reader.parquet(self.path(stage, contract.topic, run))
+            records = spark.read.schema(_RECORD).json(path).collect()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return None
+                return {}
             raise
+        found: dict[str, tuple[int, int, str, int]] = {}
+        for record in records:
+            for run, version in record.runs.items():
+                state = (version, record.written, record.attempt, len(record.runs))
+                found[run] = max(found.get(run, state), state)
+        return {run: Live(version, attempt, n) for run, (version, _, attempt, n) in found.items()}
+
+    def _read(
+        self, spark: SparkSession, stage: str, contract: Contract, live: Mapping[str, Live]
+    ) -> DataFrame:
+        fields = contract.bronze if stage == BRONZE else contract.silver
+        columns = ("envelope", "run", "attempt", "outcome")
+        schema = StructType([*fields.fields, *(StructField(c, StringType()) for c in columns)])
+        attempts: dict[str, list[str]] = {}
+        for run, state in live.items():
+            attempts.setdefault(state.attempt, []).append(run)
+        base = self.path(stage, contract.topic)
+        reader = spark.read.schema(schema).option("basePath", base)
+        rows = reader.parquet(*(self.path(stage, contract.topic, a) for a in attempts))
+        size = {state.attempt: state.runs for state in live.values()}
+        cut = {a: runs for a, runs in attempts.items() if len(runs) < size[a]}
+        if not cut:
+            return rows
+        of_live = [(F.col("attempt") == a) & F.col("run").isin(runs) for a, runs in cut.items()]
+        return rows.where(reduce(or_, of_live, ~F.col("attempt").isin(*cut)))
+
+    def table(
+        self,
+        spark: SparkSession,
+        stage: str,
+        contract: Contract,
+        run: str | Collection[str] | None = None,
+    ) -> DataFrame | None:
+        """A stage table of a topic, or None where nothing was written yet.
+
+        ``run`` is one run or several, as a rule all.
+        """
+        live = self.live(spark, stage, contract)
+        if run is not None:
+            wanted = {run} if isinstance(run, str) else set(run)
+            live = {r: state for r, state in live.items() if r in wanted}
+        return self._read(spark, stage, contract, live).drop("attempt") if live else None
 
     def rows(
         self,
         spark: SparkSession,
         stage: str,
         contract: Contract,
-        run: str | None = None,
+        run: str | Collection[str] | None = None,
         keep: tuple[str, ...] = (),
     ) -> DataFrame | None:
         """Accepted rows, contract columns only.  Reject partitions are not read."""
@@ -104,7 +213,11 @@ class Lake:
         return accepted.select(*keep, *contract.names)
 
     def errors(
-        self, spark: SparkSession, stage: str, contract: Contract, run: str | None = None
+        self,
+        spark: SparkSession,
+        stage: str,
+        contract: Contract,
+        run: str | Collection[str] | None = None,
     ) -> DataFrame | None:
         """Error envelopes as ``key, value``.  Partitions of clean rows are not read."""
         table = self.table(spark, stage, contract, run)
@@ -113,3 +226,22 @@ class Lake:
         return table.where(F.col("outcome") != OK).select(
             F.lit(None).cast("string").alias("key"), F.col("envelope").alias("value")
         )
+
+    # --- what has been published ----------------------------------------------
+
+    def _published(self, stage: str, contract: Contract) -> str:
+        return f"{self.path(stage, contract.topic)}/_published"
+
+    def unpublished(
+        self, spark: SparkSession, stage: str, contract: Contract, run: str | None = None
+    ) -> list[str]:
+        """Live runs whose envelopes were not sent yet."""
+        sent = store.names(spark, self._published(stage, contract))
+        live = self.live(spark, stage, contract)
+        return sorted(r for r in live if r not in sent and run in (None, r))
+
+    def mark_published(
+        self, spark: SparkSession, stage: str, contract: Contract, runs: Collection[str]
+    ) -> None:
+        for run in runs:
+            store.put(spark, f"{self._published(stage, contract)}/{run}")

@@ -9,9 +9,16 @@ from functools import cache
 from pyspark.sql import SparkSession
 
 
-def build(app: str = "tamis", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the web page off; AQE and its skew handling are Spark's defaults."""
+def build(
+    app: str = "tamis", master: str | None = None, *, hive: bool = False, **conf: str
+) -> SparkSession:
+    """A session with the web page off; AQE and its skew handling are Spark's defaults.
+
+    With ``hive``, tables are kept in the configured metastore and outlive the session.
+    """
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    if hive:
+        builder = builder.enableHiveSupport()
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

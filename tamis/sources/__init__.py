@@ -7,7 +7,7 @@ from tamis.sources.files import (
     read_parquet_or_none,
     write_csv,
 )
-from tamis.sources.topics import Topics, stream_topic, read_topic, write_topic
+from tamis.sources.topics import Topics, read_topic, spread, stream_topic, write_topic
 
 __all__ = [
     "Topics",

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-import re
-from urllib.parse import unquote
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tamis.sources.records import ENDS_OPEN, QUOTED, delimited_records
+from tamis.sources.records import (
+    BLANK,
+    QUOTED,
+    UnclosedQuote,
+    delimited_records,
+    fold_splits,
+    header_names,
+)
 
 _RAW = "_corrupt_record"
 _OPTIONS = {
@@ -18,8 +22,6 @@ _OPTIONS = {
     "columnNameOfCorruptRecord": _RAW,
     "columnPruning": "false",
 }
-# A line the CSV reader skips.
-_BLANK = r"^[\x00-\x20]*$"
 
 
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
@@ -60,76 +62,96 @@ def read_delimited_rows(
 ) -> DataFrame:
     """CSV rows as string cells: an empty cell is ``''``, an absent one is null.
 
-    Cells beyond the header are dropped; an empty line is a row of nulls.
+    Cells beyond the header are dropped; an empty line is a row of nulls.  Files
+    may have headers of their own: cells go by name, a name that a file lacks is
+    null, of a repeated name the last cell counts.  A file whose last quoted cell
+    never ends is refused by name.
 
-    Files whose quoted cells hold line breaks need their records put together
-    from lines, which costs a shuffle; all others are read as they are.  One
-    scan of the text tells them apart.  Pass ``multiline`` where it is known.
-    Either way a file is read by as many tasks as it has splits.
+    One pass over the text finds out whether quoted cells hold line breaks.  If
+    so, or if headers differ, records are put together from lines in a second
+    pass; else files are read as they are.  ``multiline=False`` says that all files
+    have one header and no line breaks, and spares the first pass.  Either way a
+    file is read by as many tasks as it has splits.
     """
-    reader = spark.read.options(header=True, **_OPTIONS)
-    names = reader.option("multiLine", multiline is not False).csv(path).columns
-    schema = ", ".join(f"{_quoted(name)} string" for name in [*names, _RAW])
-
-    def plain(paths: list[str], blank_paths: list[str]) -> DataFrame:
-        frame = reader.schema(schema).option("multiLine", False).csv(paths)
-        rows = frame.select(*_cells(names))
-        if not blank_paths:
-            return rows
-        line = F.col("value")
-        blank = spark.read.text(blank_paths).where(line.rlike(_BLANK))
-        return rows.unionByName(blank.select(*_blank_cells(names, line)))
-
-    def broken(paths: list[str]) -> DataFrame:
-        record = F.col("record")
-        records = delimited_records(spark, paths)
-        parsed = F.from_csv(record, schema, _OPTIONS)
-        rows = records.where(~record.rlike(_BLANK)).select(F.inline(F.array(parsed)))
-        blank = records.where(record.rlike(_BLANK))
-        return rows.select(*_cells(names)).unionByName(blank.select(*_blank_cells(names, record)))
-
-    if multiline is not None:
-        return broken([path]) if multiline else plain([path], [path])
+    if multiline is False:
+        names = spark.read.options(header=True, **_OPTIONS).csv(path).columns
+        return _plain_rows(spark, path, _Layout(names), blanks=True)
+    splits = fold_splits(spark, path)
+    first = splits.where("split = 0")
+    found = first.select("header").distinct().limit(_LAYOUTS + 1).collect()  # few, not per file
+    if len(found) > _LAYOUTS:
+        raise ValueError(f"more than {_LAYOUTS} different headers below {path}")
+    if any(row.header is None for row in found):
+        raise UnclosedQuote(f"a header below {path} does not end in its first split")
+    layouts = [_Layout(header_names(header)) for header in sorted(row.header for row in found)]
+    broken, blanks = splits.agg(F.bool_or("broken"), F.bool_or("blank")).first()
+    if len(layouts) == 1 and not broken:
+        return _plain_rows(spark, path, layouts[0], blanks=bool(blanks))
+    records = delimited_records(spark, path, splits)
+    if len(layouts) > 1:
+        records = records.join(first.select("file", "header"), "file")
+    every = list(dict.fromkeys(name for layout in layouts for name in layout.names))
+    rows = None
+    for layout, header in zip(layouts, sorted(row.header for row in found)):
+        own = records.where(F.col("header") == header) if len(layouts) > 1 else records
+        part = _record_rows(own, layout, every)
+        rows = part if rows is None else rows.unionByName(part)
+    return rows if rows is not None else spark.createDataFrame([], "value string")
+
+
+#: Different headers that the files of one read may have.
+_LAYOUTS = 100
+
+
+class _Layout:
+    """The cells of a header: their names in order, and the place that counts for each."""
+
+    def __init__(self, cells: list[str]):
+        cells = [cell or f"_c{i}" for i, cell in enumerate(cells)]
+        self.width = len(cells)
+        self.place = {name: i for i, name in enumerate(cells)}  # the last one of a name
+        self.names = list(self.place)
+
+    @property
+    def schema(self) -> str:
+        return ", ".join(f"c{i} string" for i in range(self.width)) + f", {_RAW} string"
+
+    def cells(self, names: list[str]) -> list[Column]:
+        # Only rows with too few or too many cells carry their raw text.
+        raw = F.col(_RAW)
+        bare = F.regexp_replace(raw, rf'(^|,){QUOTED}"', "$1")
+        commas = F.length(bare) - F.length(F.replace(bare, F.lit(",")))
+
+        def cell(name: str) -> Column:
+            if name not in self.place:
+                return F.lit(None).cast("string").alias(name)
+            i = self.place[name]
+            present = raw.isNull() | (commas >= i)
+            return F.when(present, F.coalesce(f"c{i}", F.lit(""))).alias(name)
+
+        return [cell(name) for name in names]
+
+    def blank_cells(self, names: list[str], text: Column) -> list[Column]:
+        """An empty line has no cells, a blank one is its own first cell."""
+        first = F.when(text != "", text)
+        none = F.lit(None).cast("string")
+        return [(first if self.place.get(name) == 0 else none).alias(name) for name in names]
+
+
+def _plain_rows(spark: SparkSession, path: str, layout: _Layout, *, blanks: bool) -> DataFrame:
+    reader = spark.read.options(header=True, multiLine=False, **_OPTIONS)
+    rows = reader.schema(layout.schema).csv(path).select(*layout.cells(layout.names))
+    if not blanks:
+        return rows
     line = F.col("value")
-    files = (  # two flags per file
-        spark.read.text(path)
-        .groupBy("_metadata.file_path")
-        .agg(
-            F.bool_or(line.rlike(ENDS_OPEN)).alias("broken"),
-            F.bool_or(line.rlike(_BLANK)).alias("blank"),
-        )
-        .collect()
-    )
-    breaks = [_as_path(f.file_path) for f in files if f.broken]
-    blanks = [_as_path(f.file_path) for f in files if f.blank and not f.broken]
-    if not breaks:
-        return plain([path], blanks)
-    others = [_as_path(f.file_path) for f in files if not f.broken]
-    rows = broken(breaks)
-    return rows.unionByName(plain(others, blanks)) if others else rows
-
-
-def _as_path(uri: str) -> str:
-    """A file URI as the reader takes it: not percent-encoded, glob signs escaped."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _cells(names: list[str]) -> list[Column]:
-    # Only rows with too few or too many cells carry their raw text.
-    raw = F.col(_RAW)
-    bare = F.regexp_replace(raw, rf'(^|,){QUOTED}"', "$1")
-    commas = F.length(bare) - F.length(F.replace(bare, F.lit(",")))
-    return [
-        F.when(raw.isNull() | (commas >= i), F.coalesce(F.col(_quoted(name)), F.lit(""))).alias(name)
-        for i, name in enumerate(names)
-    ]
-
-
-def _blank_cells(names: list[str], text: Column) -> list[Column]:
-    """An empty line has no cells, a blank one is its own first cell."""
-    first = F.when(text != "", text).alias(names[0])
-    return [first, *[F.lit(None).cast("string").alias(name) for name in names[1:]]]
+    blank = spark.read.text(path).where(line.rlike(BLANK))
+    return rows.unionByName(blank.select(*layout.blank_cells(layout.names, line)))
+
+
+def _record_rows(records: DataFrame, layout: _Layout, names: list[str]) -> DataFrame:
+    record = F.col("record")
+    parsed = F.from_csv(record, layout.schema, _OPTIONS)
+    rows = records.select("record", F.inline(F.array(parsed)))
+    cells = zip(names, layout.cells(names), layout.blank_cells(names, record))
+    blank = record.rlike(BLANK)
+    return rows.select(*(F.when(blank, b).otherwise(c).alias(name) for name, c, b in cells))

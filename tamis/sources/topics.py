@@ -17,6 +17,8 @@ MESSAGE_SCHEMA = StructType(
     [StructField("key", StringType()), StructField("value", BinaryType())]
 )
 
+_SPLITTING = {"minPartitions", "maxRecordsPerPartition"}
+
 # Fixed value: the topic that collects the error envelopes.
 ERROR_TOPIC = "ErrorLogs"
 
@@ -25,15 +27,27 @@ ERROR_TOPIC = "ErrorLogs"
 class Topics:
     """Where topics live: Kafka bootstrap servers, or a base folder for file topics.
 
-    ``options`` go to the reader as they are.  For Kafka, ``minPartitions`` (or
-    ``maxRecordsPerPartition``) splits the offset range of one large topic
-    partition over several tasks; without it a partition that holds a third of
-    all messages is a single task.
+    ``options`` go to readers and writers, such as ``kafka.security.protocol``;
+    ``read_options`` and ``write_options`` to one of them.  For Kafka, offset ranges
+    are split over all cores unless ``minPartitions`` or ``maxRecordsPerPartition``
+    says otherwise, so a topic partition that holds a third of all messages is not
+    a single task.
     """
 
     location: str
     format: str = "kafka"
     options: Mapping[str, str] = field(default_factory=dict)
+    read_options: Mapping[str, str] = field(default_factory=dict)
+    write_options: Mapping[str, str] = field(default_factory=dict)
+
+    def reading(self, spark: SparkSession) -> dict[str, str]:
+        options = {**self.options, **self.read_options}
+        if self.format == "kafka" and not _SPLITTING & options.keys():
+            options["minPartitions"] = str(2 * spark.sparkContext.defaultParallelism)
+        return options
+
+    def writing(self) -> dict[str, str]:
+        return {**self.options, **self.write_options}
 
     def path(self, topic: str) -> str:
         return f"{self.location.rstrip('/')}/{topic}"
@@ -43,14 +57,14 @@ def read_topic(spark: SparkSession, topics: Topics, topic: str) -> DataFrame:
     """The whole topic as of now: first to last offset, or all files."""
     if topics.format != "kafka":
         reader = spark.read.format(topics.format).schema(MESSAGE_SCHEMA)
-        return reader.options(**topics.options).load(topics.path(topic))
+        return reader.options(**topics.reading(spark)).load(topics.path(topic))
     return (
         spark.read.format("kafka")
         .option("kafka.bootstrap.servers", topics.location)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
         .option("endingOffsets", "latest")
-        .options(**topics.options)
+        .options(**topics.reading(spark))
         .load()
     )
 
@@ -70,13 +84,13 @@ def stream_topic(spark: SparkSession, topics: Topics, topic: str) -> DataFrame:
     """The topic from its first message on, as a stream."""
     if topics.format != "kafka":
         reader = spark.readStream.format(topics.format).schema(MESSAGE_SCHEMA)
-        return reader.options(**topics.options).load(topics.path(topic))
+        return reader.options(**topics.reading(spark)).load(topics.path(topic))
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", topics.location)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .options(**topics.options)
+        .options(**topics.reading(spark))
         .load()
     )
 
@@ -85,12 +99,14 @@ def write_topic(messages: DataFrame, topics: Topics, topic: str) -> None:
     """Append ``key, value`` messages to a topic.  An empty frame publishes nothing."""
     if topics.format != "kafka":
         stored = messages.select(*[messages[f.name].cast(f.dataType) for f in MESSAGE_SCHEMA])
-        stored.write.format(topics.format).mode("append").save(topics.path(topic))
+        writer = stored.write.format(topics.format).options(**topics.writing())
+        writer.mode("append").save(topics.path(topic))
         return
     (
         messages.select("key", "value")
         .write.format("kafka")
         .option("kafka.bootstrap.servers", topics.location)
         .option("topic", topic)
+        .options(**topics.writing())
         .save()
     )

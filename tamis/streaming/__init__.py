@@ -1,8 +1,10 @@
-"""Structured Streaming: the same operators as micro-batches, exactly once."""
+"""Structured Streaming: the same operators as micro-batches.
+
+Tables hold each batch exactly once; envelopes reach an error topic at least once.
+"""
 
 from tamis.streaming.errors import (
     error_totals,
-    show_error_records,
     stream_error_records,
     stream_error_summary,
 )
@@ -12,7 +14,6 @@ __all__ = [
     "error_totals",
     "ingest_stream",
     "medallion_stream",
-    "show_error_records",
     "stream_error_records",
     "stream_error_summary",
 ]

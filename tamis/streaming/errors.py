@@ -2,38 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tamis.operators.envelope import from_envelope, summarise_errors
-from tamis.operators.messages import decode_messages
 from tamis.streaming.ingest import AVAILABLE_NOW
 
 
-def show_error_records(
-    log: DataFrame,
-    checkpoint: str,
-    *,
-    show: Callable[[str], None] = print,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """Show each record's text on the driver, fetching one partition at a time."""
-
-    def each(batch: DataFrame, _: int) -> None:
-        for row in decode_messages(batch).toLocalIterator():
-            show(row.json_string)
-
-    return (
-        log.writeStream.foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or AVAILABLE_NOW))
-        .start()
-    )
-
-
 def stream_error_records(
     log: DataFrame, checkpoint: str, *, sink: str, trigger: dict | None = None, **options
 ) -> StreamingQuery:

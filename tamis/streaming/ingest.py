@@ -1,8 +1,8 @@
 """Topic streams into the lake.
 
 ``foreachBatch`` may repeat a batch after a failure.  Each batch owns the run
-``<query>-<batch id>`` and replaces that folder, so a repeat leaves the tables
-as they were.  ``query`` must be unique per lake and checkpoint: a query that
+``<query>-<batch id>`` and replaces it with one commit, so a repeat leaves the tables
+as they were; its envelopes are sent once, or again if the crash came right after.  ``query`` must be unique per lake and checkpoint: a query that
 starts over with a new checkpoint needs a new name, or its batch 0 would replace
 the old batch 0.
 """
@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tamis.contracts import Contract
-from tamis.plans.jobs import ingest, promote_topic, publish_errors
-from tamis.plans.lake import BRONZE, SILVER, Lake
-from tamis.sources.topics import Topics, spread
+from tamis.plans.jobs import land_batch, promote_topic, publish_errors
+from tamis.plans.lake import SILVER, Lake
+from tamis.sources.topics import Topics
 
 #: Process what is there, batch by batch, then stop.
 AVAILABLE_NOW = {"availableNow": True}
@@ -36,9 +36,7 @@ def ingest_stream(
 
     def land(batch: DataFrame, batch_id: int) -> None:
         run = f"{query}-{batch_id}"
-        ingest(spread(batch), contract, lake, run=run, value=value)
-        if error_topics is not None:
-            publish_errors(batch.sparkSession, contract, lake, BRONZE, error_topics, run=run)
+        land_batch(batch, contract, lake, run, value=value, error_topics=error_topics)
 
     return _start(messages, land, checkpoint, trigger)
 
@@ -63,11 +61,10 @@ def medallion_stream(
 
     def land(batch: DataFrame, batch_id: int) -> None:
         spark, run = batch.sparkSession, f"{query}-{batch_id}"
-        ingest(spread(batch), contract, lake, run=run, value=value)
+        land_batch(batch, contract, lake, run, value=value, error_topics=error_topics)
         promote_topic(spark, contract, lake, run=run, mode=mode)
         if error_topics is not None:
-            for stage in (BRONZE, SILVER):
-                publish_errors(spark, contract, lake, stage, error_topics, run=run)
+            publish_errors(spark, contract, lake, SILVER, error_topics, run=run)
 
     return _start(messages, land, checkpoint, trigger)
 

@@ -45,6 +45,9 @@ GOLDEN = [
     (" 12.7\t", 12, None),
     ("1 .5", None, None),
     ("\x7f12.7\x00", 12, None),
+    ("12.7\x85", None, None),
+    ("12.7\u2028", None, None),
+    (".5\u2029", None, None),
     (None, None, None),
 ]
 

@@ -10,7 +10,7 @@ from tamis.sources.topics import ERROR_TOPIC, Topics, read_topic
 
 @pytest.fixture
 def run(spark, monkeypatch):
-    monkeypatch.setattr(cli, "build", lambda app: spark)
+    monkeypatch.setattr(cli, "build", lambda app, **conf: spark)
     return lambda *args: cli.main([str(a) for a in args])
 
 
@@ -33,9 +33,37 @@ def test_from_csv_to_silver(spark, run, folder, capsys):
     errors = Topics(f"{folder}/topics", "parquet")
     assert read_topic(spark, errors, ERROR_TOPIC).count() == 2
     capsys.readouterr()
-    assert run("errors", *topics, "--checkpoint", f"{folder}/check") == 0
+    totals = ("--target", f"{folder}/totals", "--checkpoint", f"{folder}/check-totals")
+    assert run("errors", *topics, *totals) == 0
     shown = capsys.readouterr().out.splitlines()
-    assert len(shown) == 2 and all("error_type" in line for line in shown)
+    assert shown == ["missing_columns\t1", "type_cast_error\t1"]
+    records = ("--target", f"{folder}/records", "--checkpoint", f"{folder}/check-records")
+    assert run("errors", *topics, *records, "--records", "json") == 0
+    assert spark.read.json(f"{folder}/records").count() == 2
+
+
+def test_increments_replacement_compaction_and_gold(spark, run, folder):
+    topics = ("--topics", f"{folder}/topics", "--format", "parquet", "--read-option", "mergeSchema=false")
+    lake = ("--lake", f"{folder}/lake")
+    contract, tables = CONTRACTS["FactDeclaration"], Lake(f"{folder}/lake")
+    for number, rows in ((1, 1), (2, 2)):
+        source = f"{folder}/{number}.csv"
+        with open(source, "w") as file:
+            file.write(FACT + f"{number},a,i,20200{number},-2.5\n")
+        assert run("publish", *topics, f"{source}=FactDeclaration") == 0
+        assert run("ingest", *topics, *lake, "FactDeclaration") == 0
+        assert tables.rows(spark, BRONZE, contract).count() == rows
+        assert run("promote", *topics, *lake, "FactDeclaration") == 0
+    assert run("compact", *lake, "--hours", "0", "FactDeclaration") == 0
+    assert len(tables.live(spark, BRONZE, contract)) == 2
+    assert len({state.attempt for state in tables.live(spark, BRONZE, contract).values()}) == 1
+    assert run("gold", *lake, "--path", f"{folder}/gold", "FactDeclaration", "year_gold") == 0
+    assert [tuple(r) for r in spark.table("year_gold").collect()] == [("2020", 5.0)]
+    spark.sql("DROP TABLE year_gold")
+    assert run("gold", *lake, "DimAssure", "none") == 1  # it has no query
+    assert run("ingest", *topics, *lake, "--replace", "all", "FactDeclaration") == 0
+    assert tables.rows(spark, BRONZE, contract, "all").count() == 2
+    assert run("ingest", *topics, *lake, "--option", "no-value", "FactDeclaration") == 1
 
 
 def test_map_and_sql(spark, run, folder):

@@ -8,7 +8,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tamis.operators.messages import rows_to_messages
+from tamis.sources import records
 from tamis.sources.files import (
+    UnclosedQuote,
     read_csv_infer,
     read_csv_strings,
     read_delimited_rows,
@@ -64,6 +66,40 @@ def test_folder_with_both_kinds_of_files(spark, tmp_path):
     )
 
 
+def test_cells_go_by_name(spark, tmp_path):
+    folder = tmp_path / "headers"
+    folder.mkdir()
+    texts = {"one": "x,y\n1,2\n", "two": "y,x\n3,4\n\n", "three": "z,x,z\n5,\"6\n7\",8\n"}
+    want = []
+    for name, text in texts.items():
+        want += _by_csv_module(_write(folder, name, text))
+    frame = read_delimited_rows(spark, str(folder))
+    assert sorted(frame.columns) == ["x", "y", "z"]
+    assert _messages(frame) == sorted(want)
+
+
+def test_a_repeated_name_has_its_last_cell(spark, folder):
+    path = _write(folder, "t", "a,b,a\n1,2,3\n4,5\n")
+    assert _messages(read_delimited_rows(spark, path)) == ['{"a": "3", "b": "2"}', '{"b": "5"}']
+
+
+def test_an_unclosed_quote_names_its_file(spark, folder):
+    _write(folder, "good", 'a,b\n1,"x\ny"\n')
+    _write(folder, "bad", 'a,b\n1,"x\n' + "2,3\n" * 9)
+    with pytest.raises(UnclosedQuote, match="bad.csv") as error:
+        read_delimited_rows(spark, folder)
+    assert "good" not in str(error.value)
+
+
+def test_text_is_scanned_twice(spark, folder, monkeypatch):
+    scans = []
+    lines = records._lines
+    monkeypatch.setattr(records, "_lines", lambda *args: scans.append(args) or lines(*args))
+    path = _write(folder, "breaks", CASES["breaks"])
+    plan = physical(read_delimited_rows(spark, path))
+    assert len(scans) == 2 and "FileScan text" not in plan
+
+
 @pytest.fixture
 def tiny_splits(spark):
     conf = {"spark.sql.files.maxPartitionBytes": "40b", "spark.sql.files.openCostInBytes": "1"}

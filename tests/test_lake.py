@@ -3,6 +3,7 @@ from __future__ import annotations
 import logging
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType
 
 from tamis.contracts import Contract, Contracts, UnknownTopic
@@ -19,6 +20,7 @@ from tamis.plans.jobs import (
 )
 from tamis.plans.lake import BRONZE, SILVER, Lake
 from tamis.plans.warehouse import materialise
+from tamis.sources import store
 from tamis.sources.files import read_parquet_or_none
 from tamis.sources.topics import ERROR_TOPIC, Topics, read_topic, spread, write_topic
 from tests.conftest import physical
@@ -66,8 +68,8 @@ def test_runs_append_and_repeats_replace(spark, messages, folder):
         ingest(messages, NUM, lake, run=run)
     assert lake.rows(spark, BRONZE, NUM).count() == 6
     assert lake.rows(spark, BRONZE, NUM, "2").count() == 3
-    for _ in range(2):
-        assert promote_topic(spark, NUM, lake) == {"ok": 4, "type_cast_error": 2}
+    assert promote_topic(spark, NUM, lake) == {"ok": 4, "type_cast_error": 2}
+    assert promote_topic(spark, NUM, lake) == {"ok": 0, "type_cast_error": 0}
     assert promote_topic(spark, NUM, lake, run="2") == {"ok": 2, "type_cast_error": 1}
     assert lake.rows(spark, SILVER, NUM).count() == 4
     assert lake.errors(spark, SILVER, NUM, "1").count() == 1
@@ -189,6 +191,103 @@ def test_publish_csv_goes_on_after_a_bad_file(spark, folder):
     assert [(r.key, bytes(r.value)) for r in got] == [(None, b'{"n":"1","t":""}')]
 
 
+def _failing(messages):
+    return messages.withColumn("value", F.raise_error(F.lit("broken")).cast("string"))
+
+
+def test_failing_repeats_keep_rows_and_envelopes(spark, messages, folder):
+    lake = Lake(folder)
+    ingest(messages, NUM, lake)
+    promote_topic(spark, NUM, lake)
+    before = [_sorted(lake.table(spark, stage, NUM)) for stage in (BRONZE, SILVER)]
+    with pytest.raises(Exception, match="broken"):
+        ingest(_failing(messages), NUM, lake)
+    silver = lake.table(spark, SILVER, NUM).withColumn("t", F.raise_error(F.lit("broken")))
+    with pytest.raises(Exception, match="broken"):
+        lake.write_runs(silver, SILVER, NUM, {"full": None})
+    assert [_sorted(lake.table(spark, stage, NUM)) for stage in (BRONZE, SILVER)] == before
+
+
+def test_increments_keep_what_the_topic_lost(spark, messages, folder):
+    topics, lake = Topics(f"{folder}/topics", "parquet"), Lake(f"{folder}/lake")
+    contracts = Contracts(NUM)
+    for value, rows in (("a", 1), ("c", 2)):
+        store.remove(spark, topics.path("Num"))
+        write_topic(messages.where(F.col("value").contains(f'"{value}"')), topics, "Num")
+        ingest_topics(spark, ["Num"], topics, lake, contracts=contracts)
+        assert lake.rows(spark, BRONZE, NUM).count() == rows
+    ingest_topics(spark, ["Num"], topics, lake, contracts=contracts)
+    assert lake.rows(spark, BRONZE, NUM).count() == 2
+    ingest_topics(spark, ["Num"], topics, lake, contracts=contracts, replace="all")
+    assert lake.rows(spark, BRONZE, NUM, "all").count() == 1
+
+
+def test_promotion_takes_new_runs_only(spark, messages, folder):
+    lake = Lake(folder)
+    ingest(messages, NUM, lake, run="1")
+    promote_topic(spark, NUM, lake)
+    store.remove(spark, f"{folder}/bronze")  # silver does not need it
+    assert promote_topic(spark, NUM, lake) is None
+    ingest(messages.where("value LIKE '%\"c\"%'"), NUM, lake, run="2")
+    assert promote_topic(spark, NUM, lake) == {"ok": 1, "type_cast_error": 0}
+    assert lake.rows(spark, SILVER, NUM).count() == 3
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("idle", "idle")
+    try:
+        assert promote_topic(spark, NUM, lake) == {"ok": 0, "type_cast_error": 0}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs.getJobIdsForGroup("idle")) <= 4  # the commit records only
+    ingest(messages, NUM, lake, run="2")  # a new version of a run is promoted again
+    assert promote_topic(spark, NUM, lake) == {"ok": 2, "type_cast_error": 1}
+    assert lake.rows(spark, SILVER, NUM).count() == 4
+
+
+def test_envelopes_are_published_once(spark, messages, folder):
+    topics, lake = Topics(f"{folder}/topics", "parquet"), Lake(f"{folder}/lake")
+    for run in ("1", "1", "2"):
+        ingest(messages, NUM, lake, run=run)
+        publish_errors(spark, NUM, lake, BRONZE, topics, run=run)
+    publish_errors(spark, NUM, lake, BRONZE, topics)
+    assert read_topic(spark, topics, ERROR_TOPIC).count() == 6
+
+
+def test_compaction_and_vacuum(spark, messages, folder):
+    lake = Lake(folder)
+    for run in ("1", "2", "2", "3"):
+        ingest(messages.repartition(3), NUM, lake, run=run)
+    before = _sorted(lake.table(spark, BRONZE, NUM))
+    assert lake.compact(spark, BRONZE, NUM) == 3
+    assert lake.vacuum(spark, BRONZE, NUM) == 0  # too young
+    assert _sorted(lake.table(spark, BRONZE, NUM)) == before
+    assert lake.vacuum(spark, BRONZE, NUM, hours=0) == 8  # 4 attempts, 4 records
+    assert _sorted(lake.table(spark, BRONZE, NUM)) == before
+    assert len(lake.table(spark, BRONZE, NUM).inputFiles()) <= 3
+    assert lake.compact(spark, BRONZE, NUM) == 1  # nothing to do
+    assert lake.rows(spark, BRONZE, NUM, "2").count() == 3
+    ingest(messages.limit(0), NUM, lake, run="2")
+    assert lake.rows(spark, BRONZE, NUM).count() == 6
+
+
+def test_failing_refresh_keeps_the_table(spark, folder):
+    rows = spark.range(3).selectExpr("id", "id % 2 AS part")
+    for _ in range(3):
+        materialise(spark, rows, "kept", partition_by=["part"], path=folder)
+    assert len(store.names(spark, folder)) == 2  # the current and the one before
+    with pytest.raises(Exception, match="broken"):
+        materialise(
+            spark,
+            rows.withColumn("id", F.raise_error(F.lit("broken")).cast("long")),
+            "kept",
+            partition_by=["part"],
+            path=folder,
+        )
+    assert spark.table("kept").count() == 3
+    other = materialise(spark, rows.select("id"), "kept", path=folder)  # other columns
+    assert other.columns == ["id"] and other.count() == 3
+    spark.sql("DROP TABLE kept")
+
+
 def test_materialise_replaces_the_table(spark, folder):
     result = spark.range(20).selectExpr("id % 3 AS part", "id AS v")
     for path in ("one", "two"):

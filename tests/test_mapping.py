@@ -10,6 +10,16 @@ from tamis.operators.sql import run_sql, run_sql_file, sql_text
 from workload.queries import YEAR_TOTAL
 
 
+def test_views_are_gone_and_hidden_ones_back(spark):
+    spark.range(1).createOrReplaceTempView("shown")
+    got = run_sql(spark, {"shown": spark.range(3), "other": spark.range(2)}, "SELECT * FROM shown, other")
+    assert got.count() == 6
+    assert spark.table("shown").count() == 1
+    with pytest.raises(AnalysisException):
+        spark.table("other")
+    spark.catalog.dropTempView("shown")
+
+
 def test_insured_mapping(spark):
     rows = spark.createDataFrame(
         [

@@ -6,7 +6,13 @@ from unittest.mock import MagicMock
 
 from tamis.sources.topics import Topics, read_topic, stream_topic, write_topic
 
-KAFKA = Topics("broker:9092", options={"minPartitions": "64"})
+KAFKA = Topics(
+    "broker:9092",
+    options={"kafka.security.protocol": "SSL"},
+    read_options={"minPartitions": "64"},
+    write_options={"includeHeaders": "true"},
+)
+READ = ("options", ("kafka.security.protocol", "SSL"), ("minPartitions", "64"))
 
 
 class Recorder:
@@ -32,7 +38,7 @@ def test_bounded_read():
         ("option", "subscribe", "T"),
         ("option", "startingOffsets", "earliest"),
         ("option", "endingOffsets", "latest"),
-        ("options", ("minPartitions", "64")),
+        READ,
         ("load",),
     ]
 
@@ -42,6 +48,7 @@ def test_stream_has_no_end():
     stream_topic(spark, KAFKA, "T")
     options = [call[1] for call in spark.readStream.calls if call[0] == "option"]
     assert options == ["kafka.bootstrap.servers", "subscribe", "startingOffsets"]
+    assert READ in spark.readStream.calls
 
 
 def test_write():
@@ -54,5 +61,15 @@ def test_write():
         ("format", "kafka"),
         ("option", "kafka.bootstrap.servers", "broker:9092"),
         ("option", "topic", "T"),
+        ("options", ("includeHeaders", "true"), ("kafka.security.protocol", "SSL")),
         ("save",),
     ]
+
+
+def test_offset_ranges_are_split_by_default():
+    spark = MagicMock()
+    spark.sparkContext.defaultParallelism = 8
+    assert Topics("broker:9092").reading(spark) == {"minPartitions": "16"}
+    own = Topics("broker:9092", read_options={"maxRecordsPerPartition": "5"})
+    assert own.reading(spark) == {"maxRecordsPerPartition": "5"}
+    assert Topics("folder", "parquet").reading(spark) == {}

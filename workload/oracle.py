@@ -139,6 +139,9 @@ ORACLE = {
     "bronze_conformed": _BRONZE,
     "bronze_append": f"""WITH {_checked(EVENTS)}
         SELECT * FROM bronze UNION ALL SELECT * FROM bronze""",
+    "bronze_incremental": _BRONZE,
+    "silver_incremental": f"WITH {_checked(EVENTS)}, {_cast(EVENTS)} SELECT * FROM silver",
+    "lake_compacted": _BRONZE,
     "ingest_three_topics": " UNION ALL ".join(
         _topic_counts(feed) for feed in (DECLARATIONS, INSURED, AFFILIATES)
     ),
@@ -155,6 +158,12 @@ ORACLE = {
     "csv_to_messages": f"""SELECT CAST(json_object('c_custkey', c_custkey, 'c_name', c_name,
         'c_nationkey', c_nationkey, 'c_acctbal', c_acctbal, 'c_mktsegment', c_mktsegment)
         AS VARCHAR) AS value FROM ({_CUSTOMER_STRINGS})""",
+    "csv_multiline_to_messages": """SELECT CAST(CASE c_custkey % 4
+        WHEN 0 THEN json_object('key', k, 'name', c_name || chr(10) || 'line two', 'segment', c_mktsegment)
+        WHEN 1 THEN json_object('key', k, 'name', c_name)
+        WHEN 2 THEN json_object('key', k, 'name', c_name, 'segment', '')
+        ELSE json_object('key', k, 'name', 'a "b"' || chr(10) || ', c', 'segment', c_mktsegment)
+        END AS VARCHAR) AS value FROM (SELECT *, CAST(c_custkey AS VARCHAR) AS k FROM customer)""",
     "csv_strings": _CUSTOMER_STRINGS,
     "csv_infer": """SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey,
         c_acctbal, c_mktsegment FROM customer""",
@@ -182,5 +191,10 @@ ORACLE = {
         round(sum(MontantDeclaration), 2) AS total
         FROM ({_ORDERS_FACT}) LEFT JOIN ({_PERIODS}) ON IDPeriode = idperiod
         LEFT JOIN customer ON NumAff = c_custkey GROUP BY ALL""",
+    "star_status_total": f"""SELECT CASE WHEN month <= 6 THEN 'first half'
+        WHEN month > 6 THEN 'second half' END AS PeriodStatus,
+        c_mktsegment AS AffiliateStatus, round(sum(MontantDeclaration), 2) AS total
+        FROM ({_ORDERS_FACT}) LEFT JOIN ({_PERIODS}) ON IDPeriode = idperiod
+        LEFT JOIN customer ON NumAff = c_custkey GROUP BY ALL""",
     "gold_table": _SQL_YEAR_TOTAL,
 }

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
 from pathlib import Path
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.contracts import CONTRACTS
+from tamis.contracts import CONTRACTS, Contracts
 from tamis.functions.casts import cast_compat
 from tamis.functions.json import EXTRA_COLUMNS, MISSING_COLUMNS, OK
 from tamis.operators.envelope import summarise_errors
@@ -22,11 +24,18 @@ from tamis.operators.validate import (
     missing_flags,
     validate,
 )
-from tamis.plans.jobs import ingest, ingest_topics, promote_topic, publish_errors
+from tamis.plans.jobs import (
+    compact_topics,
+    ingest,
+    ingest_topics,
+    promote_topic,
+    publish_errors,
+)
 from tamis.plans.lake import BRONZE, SILVER, Lake
 from tamis.plans.medallion import medallion_errors, medallion_total
 from tamis.plans.warehouse import materialise
 from tamis.session import scratch
+from tamis.sources import store
 from tamis.sources.files import (
     read_csv_infer,
     read_csv_strings,
@@ -118,6 +127,47 @@ def bronze_append(spark, sf_dir):
     lake, messages = _lake(spark), EVENTS.read(spark, sf_dir)
     for run in ("first", "second", "second"):  # a repeated run replaces itself
         ingest(messages, EVENTS.contract, lake, run=run)
+    broken = F.raise_error(F.concat(F.lit("broken "), F.col("key").cast("string")))
+    with suppress(PySparkException):  # a repeat that fails leaves the run as it was
+        ingest(messages.withColumn("value", broken.cast("string")), EVENTS.contract, lake, run="first")
+    return lake.rows(spark, BRONZE, EVENTS.contract)
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    messages = EVENTS.read(spark, sf_dir)
+    return [messages.where(F.col("key") % 2 == n) for n in (0, 1)]
+
+
+def _contracts() -> Contracts:
+    return Contracts(EVENTS.contract)
+
+
+def bronze_incremental(spark, sf_dir):
+    """Two loads; before the second one, the topic loses what the first has read."""
+    topics, lake, topic = Topics(scratch(spark, "topics"), "parquet"), _lake(spark), EVENTS.contract.topic
+    for messages in _halves(spark, sf_dir):
+        store.remove(spark, topics.path(topic))
+        write_topic(messages, topics, topic)
+        ingest_topics(spark, [topic], topics, lake, contracts=_contracts())
+    return lake.rows(spark, BRONZE, EVENTS.contract)
+
+
+def silver_incremental(spark, sf_dir):
+    """Each promotion takes the new run only; the last one finds none."""
+    lake = _lake(spark)
+    for n, messages in enumerate(_halves(spark, sf_dir)):
+        ingest(messages, EVENTS.contract, lake, run=f"half-{n}")
+        promote_topic(spark, EVENTS.contract, lake, mode="strict")
+    promote_topic(spark, EVENTS.contract, lake, mode="strict")
+    return lake.rows(spark, SILVER, EVENTS.contract)
+
+
+def lake_compacted(spark, sf_dir):
+    """Two runs put into one attempt; what that makes obsolete is deleted."""
+    lake = _lake(spark)
+    for n, messages in enumerate(_halves(spark, sf_dir)):
+        ingest(messages, EVENTS.contract, lake, run=f"half-{n}")
+    compact_topics(spark, [EVENTS.contract.topic], lake, contracts=_contracts(), hours=0)
     return lake.rows(spark, BRONZE, EVENTS.contract)
 
 
@@ -144,7 +194,7 @@ def silver_cast(spark, sf_dir):
 
 
 #: Number texts around an order's key; the same expression runs in DuckDB.
-NUMBER_TEXT = """CASE o_orderkey % 16
+NUMBER_TEXT = """CASE o_orderkey % 19
   WHEN 0 THEN ' ' || o_orderkey || ' '
   WHEN 1 THEN '+' || o_orderkey
   WHEN 2 THEN o_orderkey || '.7'
@@ -160,6 +210,9 @@ NUMBER_TEXT = """CASE o_orderkey % 16
   WHEN 12 THEN '3000000000' || o_orderkey
   WHEN 13 THEN o_orderkey || ' .5'
   WHEN 14 THEN ''
+  WHEN 15 THEN o_orderkey || '.7\u0085'
+  WHEN 16 THEN o_orderkey || '.7\u2028'
+  WHEN 17 THEN '.' || o_orderkey || '\u2029'
   ELSE '' || o_orderkey END"""
 
 
@@ -185,7 +238,7 @@ def _publish_all_errors(spark: SparkSession, sf_dir: str) -> Topics:
     lake, topics = _lake(spark), Topics(scratch(spark, "topics"), "parquet")
     ingest(EVENTS.read(spark, sf_dir), EVENTS.contract, lake)
     promote_topic(spark, EVENTS.contract, lake)
-    for stage in (BRONZE, SILVER):
+    for stage in (BRONZE, SILVER, BRONZE, SILVER):  # the second time sends nothing
         publish_errors(spark, EVENTS.contract, lake, stage, topics)
     return topics
 
@@ -208,6 +261,31 @@ def csv_to_messages(spark, sf_dir):
     return rows_to_messages(rows).select("value")
 
 
+#: Records by the customer's key: line breaks in cells, a short, a long and a quoted row.
+RECORD_TEXT = """CASE c_custkey % 4
+  WHEN 0 THEN c_custkey || ',"' || c_name || chr(10) || 'line two",' || c_mktsegment
+  WHEN 1 THEN c_custkey || ',' || c_name
+  WHEN 2 THEN c_custkey || ',' || c_name || ',,more,"and' || chr(10) || chr(10) || 'more"'
+  ELSE c_custkey || ',"a ""b""' || chr(10) || ', c",' || c_mktsegment END"""
+
+
+def csv_multiline_to_messages(spark, sf_dir):
+    """Files, each with a header, whose cells hold line breaks."""
+    customer = _table(spark, sf_dir, "customer")
+    records = customer.select(
+        (F.col("c_custkey") % 8).cast("int").alias("part"),
+        F.col("c_custkey").alias("place"),
+        F.expr(RECORD_TEXT).alias("value"),
+    )
+    headers = records.select("part").distinct().select(
+        "part", F.lit(-1).cast("long").alias("place"), F.lit("key,name,segment").alias("value")
+    )
+    path = scratch(spark, "records-csv")
+    texts = records.unionByName(headers).repartition(8, "part").sortWithinPartitions("part", "place")
+    texts.select("part", "value").write.partitionBy("part").text(path)
+    return rows_to_messages(read_delimited_rows(spark, path)).select("value")
+
+
 def csv_strings(spark, sf_dir):
     """Strings in, CSV without header out, read back under the known names."""
     rows = read_csv_strings(spark, _customer_csv(spark, sf_dir))
@@ -359,14 +437,34 @@ def star_period_total(spark, sf_dir):
     return total.select("year", "month", "c_mktsegment", _cents("total"))
 
 
-def gold_table(spark, sf_dir):
-    return materialise(
-        spark,
-        sql_year_total(spark, sf_dir),
-        "tamis_year_total",
-        partition_by=["Year"],
-        path=scratch(spark, "gold"),
+def star_status_total(spark, sf_dir):
+    """Two dimensions with an attribute of the same name."""
+    periods = period_dimension(spark, sf_dir).withColumn(
+        "Status", F.when(F.col("month") <= 6, "first half").otherwise("second half")
+    )
+    affiliates = _table(spark, sf_dir, "customer").withColumnRenamed("c_mktsegment", "Status")
+    total = star_total(
+        _orders_as_fact(spark, sf_dir),
+        "MontantDeclaration",
+        [
+            Dimension(periods, "IDPeriode", "idperiod", ["Status"], "Period"),
+            Dimension(affiliates, "NumAff", "c_custkey", ["Status"], "Affiliate"),
+        ],
     )
+    return total.select("PeriodStatus", "AffiliateStatus", _cents("total"))
+
+
+def gold_table(spark, sf_dir):
+    path = scratch(spark, "gold")
+    for _ in range(2):  # the second time replaces the rows
+        table = materialise(
+            spark,
+            sql_year_total(spark, sf_dir),
+            "tamis_year_total",
+            partition_by=["Year"],
+            path=path,
+        )
+    return table
 
 
 QUERIES = {
@@ -378,6 +476,9 @@ QUERIES = {
     "bronze_valid": bronze_valid,
     "bronze_conformed": bronze_conformed,
     "bronze_append": bronze_append,
+    "bronze_incremental": bronze_incremental,
+    "silver_incremental": silver_incremental,
+    "lake_compacted": lake_compacted,
     "ingest_three_topics": ingest_three_topics,
     "error_missing": _message_errors(MISSING_COLUMNS),
     "error_extra": _message_errors(EXTRA_COLUMNS),
@@ -387,6 +488,7 @@ QUERIES = {
     "error_log_summary": error_log_summary,
     "error_topic": error_topic,
     "csv_to_messages": csv_to_messages,
+    "csv_multiline_to_messages": csv_multiline_to_messages,
     "csv_strings": csv_strings,
     "csv_infer": csv_infer,
     "map_dim": map_dim,
@@ -401,5 +503,6 @@ QUERIES = {
     "period_dimension": period_dimension,
     "star_total": star_region_total,
     "star_period_total": star_period_total,
+    "star_status_total": star_status_total,
     "gold_table": gold_table,
 }
