@@ -2,35 +2,37 @@
 
 A document's set holds the 64-bit hashes of its distinct shingles.  Documents with equal sets are
 one class.  Sets are sorted into bands by size; in a band of ``P`` parts, each shingle belongs to
-one part, and the XOR of a part's hashes is one block of the parity sketch.  Each shingle in which
+one part by its hash, and the XOR of a part's hashes is one block of the parity sketch.  Each shingle in which
 two sets differ changes one block at most, so the number of differing blocks is a lower bound of
 the symmetric difference.  The smaller set's size ``n`` bounds that difference by ``D(n)`` for
 linked sets; thus of any ``D(n) + 1`` blocks one is equal.  Sets meet on equal blocks among their
-first ``E(n) = D(n) + 1 + s``, in their own band and, as the smaller one, in the next.  ``s`` more
-blocks than needed let most sets leave out light blocks, of which many unlike sets have the same.
+first ``E(n) = D(n) + 1 + s``, in their own band and, as the smaller one, in the next.  Thanks to
+``s`` more blocks than needed, sets leave out their lightest ones, which many unlike sets share.
 
-Sets that meet are verified exactly, with whole sets, in three rounds: each set with the partner
-it shares most blocks with; all partners that are not yet in one component; then what else met in
-one block and is not yet in one component.  A block's sets meet with one of them, not all pairs,
-and the rounds skip what is linked already; no link between components is left untested.
+Blocks with the same sets count once.  One byte of each block tells, by the Hamming distance of
+bytes, which of the sets that meet may link at all; these pairs, as rows for two sets and as a few
+links within larger blocks, make clusters.  A cluster's whole sets are sent to one group (a large
+one's to groups of two chunks each, a huge one's by the blocks in which they meet) and compared
+exactly there: intersections are a product of matrices, and each set is linked with the smallest
+one it reaches.  No pairs are written; what shares a block and may link is compared.
 
 Defined cases: a null text is an empty one; a document without words has an empty set and links
 with nothing; documents with fewer words than a shingle have one shingle of all their words; null
-ids take part and are no one's smallest id unless all ids of a component are null; rows with one
-id are documents of their own; an empty table gives an empty result; extra columns are ignored by
-:func:`groups` and kept by :func:`distinct_documents`.  A document must fit in memory.
+ids are no one's smallest id unless all ids of a component are null, and a set that only rows
+without id have links with equal sets only; rows with one id are documents of their own; an empty
+table gives an empty result; extra columns are ignored by :func:`groups` and kept by
+:func:`distinct_documents`.  A document must fit in memory.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.llm.common import settle, small
@@ -40,6 +42,12 @@ from tamis.llm.components import components
 RATIO = 1.3
 #: Words whose hashes a task keeps, and classes it has emitted.
 CACHE = 500_000
+#: Pairs or classes, of two numbers each, that may be broadcast.
+BROADCAST = 500_000
+#: Sets of one chunk of a group, shingles in all of them, and columns of a matrix.
+CROWD, SHINGLES, COLUMNS = 1024, 1_000_000, 2048
+#: Chunks of a cluster that is compared as a whole, and rows of blocks that go to one group.
+CHUNKS, ROWS = 16, 20_000
 
 
 @dataclass(frozen=True)
@@ -55,17 +63,12 @@ class Rule:
 
     @staticmethod
     def spare(differ: int) -> int:
-        return (differ + 4) // 8
+        return 1 + differ // 6
 
     def blocks(self, n: int) -> int:
         differ = self.differ(n)
         return differ + 1 + self.spare(differ)
 
-    @cached_property
-    def light(self) -> int:
-        """Blocks of at most so many shingles are left out where they may be."""
-        return 1 if self.percent >= 5 * (100 - self.percent) else 0
-
     def band(self, n: int) -> tuple[int, int, int]:
         """Number, end and parts of the band of sets of size ``n``."""
         low, number = 1, 0
@@ -75,9 +78,13 @@ class Rule:
                 return number, high, self.blocks(high - 1)
             low, number = high, number + 1
 
-    def linked(self, common: int, a: int, b: int) -> bool:
+    def linked(self, common, a, b):
         return 100 * common >= self.percent * (a + b - common)
 
+    def apart(self, a, b):
+        """Most shingles in which linked sets of these sizes differ."""
+        return (100 - self.percent) * (a + b) // (100 + self.percent)
+
 
 def _mixed(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads all bits."""
@@ -91,23 +98,27 @@ class Shingles:
 
     def __init__(self, rule: Rule):
         self.rule = rule
-        self._known: dict[bytes, int] = {}
+        self._known: dict[bytes, bytes] = {}
+        # odd factors, one for each place in a shingle
+        places = np.arange(1, rule.words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        self._factors = _mixed(places) | np.uint64(1)
 
     def of(self, text: bytes) -> np.ndarray:
         words = text.lower().split()
+        if not words:
+            return np.zeros(0, dtype=np.uint64)
         known = self._known
         if len(known) > CACHE:
             known.clear()
         for word in set(words).difference(known):
-            known[word] = xxhash.xxh64_intdigest(word)
-        h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+            known[word] = xxhash.xxh64_digest(word)
+        h = np.frombuffer(b"".join(map(known.__getitem__, words)), dtype=np.uint64)
         size = min(self.rule.words, len(h))
-        if not size:
-            return h
-        shingles = np.zeros(len(h) - size + 1, dtype=np.uint64)
-        for n in range(size):
-            shingles = _mixed(shingles ^ h[n : n + len(shingles)]) + np.uint64(0x9E3779B97F4A7C15)
-        return np.unique(shingles)
+        shingles = h[: len(h) - size + 1] * self._factors[0]
+        for n in range(1, size):
+            shingles += h[n : n + len(shingles)] * self._factors[n]
+        shingles = np.sort(_mixed(shingles))
+        return shingles[np.concatenate([[True], shingles[1:] != shingles[:-1]])]
 
 
 def _class_of(hashes: np.ndarray) -> int:
@@ -115,57 +126,66 @@ def _class_of(hashes: np.ndarray) -> int:
 
 
 class Sketches:
-    """The block keys of a set in its own band and the next one."""
+    """The block keys of a set in its own band and those that a larger linked set may have.
+
+    Besides, one byte of each block, in the order of bands and parts.
+    """
 
     def __init__(self, rule: Rule):
         self.rule = rule
-        self._bands: dict[int, list[tuple[int, int, int]]] = {}
-
-    def _band(self, n: int) -> list[tuple[int, int, int]]:
-        if n not in self._bands:
-            number, high, parts = self.rule.band(n)
-            most = n * 100 // self.rule.percent  # the largest set it may link with
-            bands = [(number, parts, 1)]
-            while most >= high:
-                number, high, parts = self.rule.band(high)
-                bands.append((number, parts, 0))
-            self._bands[n] = bands
-        return self._bands[n]
-
-    def keys(self, hashes: np.ndarray) -> np.ndarray:
+        self._edges: dict[int, np.ndarray] = {}
+
+    def _bands(self, n: int) -> list[tuple[int, int, bool]]:
+        """Number and parts of each band that the set belongs to, its own one first."""
+        number, high, parts = self.rule.band(n)
+        most = n * 100 // self.rule.percent  # the largest set it may link with
+        bands = [(number, parts, True)]
+        while most >= high:
+            number, high, parts = self.rule.band(high)
+            bands.append((number, parts, False))
+        return bands
+
+    def _starts(self, parts: int) -> np.ndarray:
+        """The smallest hash of each part: parts are equal ranges of hashes."""
+        if parts not in self._edges:
+            self._edges[parts] = np.array([(p << 64) // parts for p in range(parts)], dtype=np.uint64)
+        return self._edges[parts]
+
+    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, bytes]:
         n, rule = len(hashes), self.rule
         if not rule.differ(n):
-            return hashes[:0]  # links with equal sets only
-        found = []
-        for number, parts, own in self._band(n):
-            part = ((hashes >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            counts = np.bincount(part, minlength=parts)
-            starts = np.cumsum(counts) - counts
+            return hashes[:0], b""  # links with equal sets only
+        found, marks = [], []
+        for number, parts, own in self._bands(n):
+            starts = np.searchsorted(hashes, self._starts(parts))
+            counts = np.diff(starts, append=n)
             block = np.zeros(parts, dtype=np.uint64)
             filled = counts > 0
-            block[filled] = np.bitwise_xor.reduceat(hashes[order], starts[filled])
-            emitted = np.arange(rule.blocks(n))
-            light = counts[: len(emitted)] <= rule.light
-            if self._may_skip(light, n, own):
-                emitted = emitted[~light]
+            block[filled] = np.bitwise_xor.reduceat(hashes, starts[filled])
+            shown = counts[: rule.blocks(n)]
+            emitted = np.flatnonzero(shown > self._light(shown, n, own))
             place = _mixed(emitted.astype(np.uint64) + np.uint64(number << 32))
             found.append(_mixed(block[emitted] ^ place) + place)
-        return np.concatenate(found)
+            marks.append(block[: len(shown)].astype(np.uint8).tobytes())
+        return np.concatenate(found), b"".join(marks)
 
-    def _may_skip(self, light: np.ndarray, n: int, own: int) -> bool:
-        """Whether light blocks can be left out for every size of a linked set that is not larger.
+    def _light(self, counts: np.ndarray, n: int, own: bool) -> int:
+        """Blocks of at most so many shingles may be left out; -1 if none may.
 
-        If ``s`` blocks at most are light among those that the smaller set of a pair emits, one
-        of the ``s + 1`` equal blocks is not.  Equal blocks are light in both sets, so both
-        come to the same result; in the next band the set is always the smaller one.
+        It is the largest number for which, whatever the size of the smaller set of a pair,
+        at most ``s`` of the blocks that one emits are as light.  Let the heaviest of a pair's
+        ``s + 1`` equal blocks, which are equally heavy in both sets, have ``z`` shingles: then
+        more than ``s`` blocks have at most ``z``, both sets stay below ``z``, and both show that
+        block.  In the next band the set is always the smaller one.
         """
-        rule, count = self.rule, np.cumsum(light)
-        least = rule.differ(-(-n * rule.percent // 100)) if own else rule.differ(n)
-        return all(
-            count[differ + rule.spare(differ)] <= rule.spare(differ)
-            for differ in range(least, rule.differ(n) + 1)
-        )
+        rule, most = self.rule, self.rule.differ(n)
+        least = rule.differ(-(-n * rule.percent // 100)) if own else most
+        differ = np.arange(least, most + 1)
+        spare = 1 + differ // 6
+        for light in range(int(counts.max()) + 1):
+            if (np.cumsum(counts <= light)[differ + spare] > spare).any():
+                return light - 1
+        return int(counts.max())
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -173,51 +193,51 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), text)
 
 
-def classes(docs: DataFrame, rule: Rule) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``class`` (a hash of the set)."""
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(rule)
-        for batch in batches:
-            sets = ((len(s), _class_of(s) if len(s) else None) for s in (shingles.of(t.as_py()) for t in batch.column(1)))
-            sizes, ids = list(zip(*sets)) or ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())],
-                ["doc_id", "n_shingles", "class"],
-            )
-
-    return _texts(docs).mapInArrow(hashed, "doc_id long, n_shingles long, class long")
-
-
-def block_keys(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``key`` and ``class`` for the blocks of each class; a task emits a class once."""
+def sketched(docs: DataFrame, rule: Rule) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles``, ``class`` (a hash of the set), the
+    ``keys`` of its blocks and the ``marks`` that their bytes are; a task gives those of a class
+    once."""
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, sketches, seen = Shingles(rule), Sketches(rule), set()
+        none = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            keys, ids = [], []
+            sizes, names, keys, marks = [], [], [], []
             for text in batch.column(1):
                 hashes = shingles.of(text.as_py())
-                name = _class_of(hashes)
-                if len(hashes) and name not in seen:
-                    seen.add(name)
-                    keys.append(sketches.keys(hashes))
-                    ids.append(np.full(len(keys[-1]), name, dtype=np.int64))
+                name = _class_of(hashes) if len(hashes) else None
+                fresh = name is not None and name not in seen
+                sizes.append(len(hashes))
+                names.append(name)
+                own, mark = sketches.of(hashes) if fresh else (none, None)
+                keys.append(own.view(np.int64))
+                marks.append(mark)
+                seen.add(name)
             if len(seen) > CACHE:
                 seen.clear()
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids))],
-                    ["key", "class"],
-                )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(names, pa.int64()),
+                    pa.ListArray.from_arrays(
+                        np.concatenate([[0], np.cumsum(list(map(len, keys)))]).astype(np.int32),
+                        pa.array(np.concatenate([none, *keys])),
+                    ),
+                    pa.array(marks, pa.binary()),
+                ],
+                ["doc_id", "n_shingles", "class", "keys", "marks"],
+            )
 
-    return _texts(docs).mapInArrow(keyed, "key long, class long")
+    kind = "doc_id long, n_shingles long, class long, keys array<long>, marks binary"
+    return _texts(docs).mapInArrow(rows, kind)
 
 
-def meetings(keys: DataFrame) -> DataFrame:
+def meetings(rows: DataFrame) -> DataFrame:
     """``key``, ``a``, ``b``: each class of a block with the block's first one, in an order that
     differs from block to block."""
     by_key = Window.partitionBy("key").orderBy("rank")
+    keys = rows.select(F.explode("keys").alias("key"), "class")
     ranked = keys.select("key", F.col("class").bitwiseXOR(F.xxhash64("key")).alias("rank"))
     first = F.first("rank").over(by_key.rowsBetween(Window.unboundedPreceding, 0))
     last = F.lag("rank").over(by_key)
@@ -229,102 +249,221 @@ def meetings(keys: DataFrame) -> DataFrame:
     )
 
 
-def shingle_sets(docs: DataFrame, chosen: DataFrame, rule: Rule) -> DataFrame:
-    """``class`` and ``hashes`` of the chosen documents (doc_id)."""
+def _sets(docs: DataFrame, chosen: DataFrame, rule: Rule) -> DataFrame:
+    """``class`` and ``hashes`` of the chosen classes (class, doc_id)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(rule)
+        shingles, seen = Shingles(rule), set()
         for batch in batches:
-            sets = [shingles.of(t.as_py()) for t in batch.column(1)]
+            names, sets = [], []
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                # rows with one id may differ, or be equal and many
+                if name not in seen and _class_of(hashes := shingles.of(text.as_py())) == name:
+                    seen.add(name)
+                    names.append(name)
+                    sets.append(hashes.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([_class_of(s) for s in sets], pa.int64()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                ],
-                ["class", "hashes"],
+                [pa.array(names, pa.int64()), pa.array(sets, pa.binary())], ["class", "hashes"]
             )
 
-    rows = _texts(docs).join(small(chosen), "doc_id", "left_semi")
-    found = rows.mapInArrow(hashed, "class long, hashes binary")
-    # rows with one id may differ, and some of them may not have been meant
-    return found.groupBy("class").agg(F.min("hashes").alias("hashes"))
+    rows = _texts(docs).join(small(chosen, BROADCAST), "doc_id").select("class", "text")
+    return rows.mapInArrow(hashed, "class long, hashes binary")
+
 
+def _blocks(met: DataFrame) -> DataFrame:
+    """``key`` and ``size`` of one block for each group of sets that meet."""
+    parts = [F.bit_xor(F.xxhash64(F.lit(n), "a")) for n in (1, 2)]
+    first = F.min("b")  # all are the same
+    sums = [p.bitwiseXOR(F.xxhash64(F.lit(n), first)) for n, p in enumerate(parts, 1)]
+    by_key = met.groupBy("key").agg(
+        (F.count("*") + 1).alias("size"), *(x.alias(f"h{n}") for n, x in enumerate(sums))
+    )
+    return by_key.groupBy("size", "h0", "h1").agg(F.min("key").alias("key")).select("key", "size")
 
-def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Those of the pairs (a, b) that link."""
 
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _close_pairs(pairs: DataFrame, names: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) whose marks differ in no more bytes than linked sets could."""
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for left, right in zip(batch.column(2), batch.column(3)):
-                a, b = (np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in (left, right))
-                low, high = sorted((len(a), len(b)))
-                possible = 100 * low >= rule.percent * high
-                keep.append(possible and rule.linked(len(np.intersect1d(a, b, True)), len(a), len(b)))
-            chosen = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(chosen), batch.column(1).filter(chosen)], ["a", "b"]
-            )
+            columns = (batch.column(c).to_pylist() for c in ("na", "nb", "ma", "mb"))
+            keep = [_close(rule, *row) for row in zip(*columns)]
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    left, right = (sets.select(F.col("class").alias(c), F.col("hashes").alias(f"s{c}")) for c in "ab")
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-    return both.mapInArrow(exact, "a long, b long")
-
-
-def _apart(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """The pairs whose ends are not in one component yet."""
-    if roots is None:
-        return pairs
-    a, b = (roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab")
-    joined = pairs.join(a, "a", "left").join(b, "b", "left")
-    differ = F.coalesce("ra", "a") != F.coalesce("rb", "b")
-    return joined.filter(differ).drop("ra", "rb")
-
-
-def _open_pairs(met: DataFrame, roots: DataFrame) -> DataFrame:
-    """What met in one block, is in different components and was not a block's first one."""
-    apart = _apart(met, roots).select("key").distinct()
-    rows = met.join(apart, "key", "left_semi")
-    several = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    rows = rows.join(several, "key", "left_semi")
-    members = rows.select("key", F.col("a").alias("node"))
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    left, right = (
-        placed.select("key", F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab"
+    for side in "ab":
+        known = names.select(
+            F.col("class").alias(side), F.col("n").alias(f"n{side}"), F.col("marks").alias(f"m{side}")
+        )
+        pairs = pairs.join(known, side)
+    possible = 100 * F.least("na", "nb") >= rule.percent * F.greatest("na", "nb")
+    return pairs.filter(possible).mapInArrow(close, "a long, b long")
+
+
+def _close(rule: Rule, na: int, nb: int, ma: bytes, mb: bytes) -> bool:
+    (small_n, small_m), (large_n, large_m) = sorted(((na, ma), (nb, mb)), key=lambda x: x[0])
+    size = rule.blocks(small_n)
+    band = rule.band(large_n)[0] - rule.band(small_n)[0]
+    left = np.frombuffer(small_m, dtype=np.uint8)[band * size : (band + 1) * size]
+    right = np.frombuffer(large_m, dtype=np.uint8)[:size]
+    return np.count_nonzero(left != right) <= rule.apart(na, nb)
+
+
+def _spanning(names: np.ndarray, near: Callable[[slice], np.ndarray], rows: int) -> np.ndarray:
+    """The smallest name that each one reaches; ``near`` gives some rows of the matrix of links,
+    at most ``rows`` at once."""
+    root = names.copy()
+    while True:
+        before = root.copy()
+        for at in range(0, len(names), rows):
+            own = slice(at, at + rows)
+            linked = near(own)
+            least = np.where(linked, root[None, :], np.iinfo(np.int64).max).min(axis=1)
+            root[own] = np.minimum(root[own], least)
+        if (before == root).all():
+            return root
+
+
+def _close_in_blocks(members: DataFrame, rule: Rule) -> DataFrame:
+    """Links (a, b) that hold those sets of a block together whose marks are close.
+
+    ``members`` has ``key``, ``class``, ``n`` and ``marks``; many blocks go to one group.
+    """
+
+    def close(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending")])
+        place = np.stack([rows.column(c).to_numpy() for c in ("key", "i", "j")])
+        edges = np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1
+        none = np.zeros(0, dtype=np.int64)
+        found = [(none, none)]
+        for start, stop in zip([0, *edges], [*edges, rows.num_rows]):
+            own = rows.slice(start, stop - start)
+            names, n = own.column("class").to_numpy(), own.column("n").to_numpy()
+            root = _spanning(names, *_close_marks(rule, n, own.column("marks").to_pylist()))
+            some = root != names
+            found.append((names[some], root[some]))
+        a, b = (np.concatenate(side) for side in zip(*found))
+        return pa.table({"a": a, "b": b})
+
+    rows = settle(_in_chunks(members, "key"), "members")
+    groups = max(1, rows.count() // ROWS)
+    bucket = F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)).alias("bucket")
+    rows = rows.select("key", "i", "j", "class", "n", "marks", bucket)
+    return rows.groupBy("bucket").applyInArrow(close, "a long, b long")
+
+
+def _close_marks(rule: Rule, n: np.ndarray, marks: list[bytes]):
+    """The rows of the matrix that tells whose marks are close, and how many to take at once."""
+    numbers = {int(x): rule.band(int(x))[0] for x in np.unique(n)}
+    bands = np.array([numbers[int(x)] for x in n])
+    blocks = np.array([rule.blocks(int(x)) for x in n])
+    size, offset = blocks.min(), (bands.max() - bands) * blocks
+    table = np.stack(
+        [np.frombuffer(m, dtype=np.uint8)[k : k + size] for m, k in zip(marks, offset)]
     )
-    pairs = left.join(right, "key").filter("a < b and ra <> rb").select("a", "b").distinct()
-    tested = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.join(tested.distinct(), ["a", "b"], "left_anti")
+
+    def near(own: slice) -> np.ndarray:
+        far = (table[own, None, :] != table[None, :, :]).sum(axis=2)
+        return far <= rule.apart(n[own, None], n[None, :])
+
+    return near, max(1, 20_000_000 // table.size)
+
+
+def _in_chunks(members: DataFrame, by: str, most: int | None = None) -> DataFrame:
+    """Members with ``i`` and ``j``: large groups as pairs of chunks, others as one.
+
+    Groups of more than ``most`` chunks are left out.
+    """
+    size = F.greatest(F.ceil(F.count("*") / CROWD), F.ceil(F.sum("n") / SHINGLES))
+    counts = members.groupBy(by).agg(size.cast("int").alias("chunks")).filter("chunks > 1")
+    rows = members.join(small(settle(counts, "counts")), by, "left")
+    rows = rows.withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    if most is not None:
+        rows = rows.filter(F.col("chunks") <= most)
+    own = F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
+    rows = rows.withColumn("own", own).select(*members.columns, "own", other)
+    return rows.select(
+        *members.columns, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    )
+
+
+def _compared(members: DataFrame, by: str, docs: DataFrame, names: DataFrame, rule: Rule) -> DataFrame:
+    """Links (a, b) within groups (``by``, i, j): each set with the smallest one it reaches."""
+
+    def joined(rows: pa.Table) -> pa.Table:
+        names, first = np.unique(rows.column("class").to_numpy(), return_index=True)
+        sets = [np.frombuffer(rows.column("hashes")[int(n)].as_buffer(), dtype=np.uint64) for n in first]
+        sizes = np.array([len(x) for x in sets])
+        common = _intersections(sets, sizes)
+        near = lambda own: rule.linked(common[own].astype(np.int64), sizes[own, None], sizes[None, :])
+        root = _spanning(names, near, 512)
+        some = root != names
+        return pa.table({"a": names[some], "b": root[some]})
+
+    chosen = names.join(members.select("class").distinct(), "class", "left_semi")
+    chosen = settle(chosen.select("class", "doc_id").filter("doc_id is not null"), "chosen")
+    sets = _sets(docs, chosen, rule)
+    rows = sets.join(small(members.select(by, "class", "i", "j"), BROADCAST), "class")
+    return rows.groupBy(by, "i", "j").applyInArrow(joined, "a long, b long")
+
+
+def _intersections(sets: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+    """The size of each two sets' intersection."""
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    member = np.repeat(np.arange(len(sets)), sizes)
+    everywhere = int((counts == len(sets)).sum())
+    common = np.full((len(sets), len(sets)), everywhere, dtype=np.float32)
+    # hashes in one set only don't count, those in all of them are counted already
+    wanted = (counts > 1) & (counts < len(sets))
+    place = np.cumsum(wanted) - 1
+    chosen = wanted[column]
+    member, column = member[chosen], place[column[chosen]]
+    order = np.argsort(column, kind="stable")
+    member, column = member[order], column[order]
+    for at in range(0, int(wanted.sum()), COLUMNS):
+        start, stop = np.searchsorted(column, [at, at + COLUMNS])
+        part = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        part[member[start:stop], column[start:stop] - at] = 1
+        common += part @ part.T
+    np.fill_diagonal(common, sizes)
+    return common
 
 
 def links(docs: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
     """Links (a, b) between classes that have the same components as all links.
 
-    ``rows`` are the (settled) classes of ``docs``.
+    ``rows`` are the (settled) sketched documents.
     """
-    met = settle(meetings(block_keys(docs, rule)), "meetings")
-    pairs = met.groupBy("a", "b").agg(F.count("*").alias("n"))
-    pairs = settle(pairs, "pairs")
-    nodes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
-    named = rows.groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    chosen = settle(named.join(nodes.distinct(), "class", "left_semi").select("doc_id"), "chosen")
-    sets = settle(shingle_sets(docs, chosen, rule), "sets")
-
-    best = Window.partitionBy("a").orderBy(F.desc("n"), "b")
-    ranked = pairs.withColumn("place", F.row_number().over(best))
-    found = settle(verified(ranked.filter("place = 1").select("a", "b"), sets, rule), "verified")
-    roots = components(found)
-    rest = _apart(ranked.filter("place > 1").select("a", "b"), roots)
-    more = settle(verified(rest, sets, rule), "verified")
-    found = found.unionByName(more)
-    roots = settle(components(found), "roots")
-    last = verified(_open_pairs(met, roots), sets, rule)
-    return found.unionByName(settle(last, "verified"))
+    names = rows.filter("class is not null").groupBy("class").agg(
+        F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.max("marks").alias("marks")
+    )
+    met = settle(meetings(rows), "meetings")
+    blocks = _blocks(met)
+    met = settle(met.join(blocks, "key"), "meetings")
+    pairs = _close_pairs(met.filter("size = 2").select("a", "b"), names, rule)
+    crowds = met.filter("size > 2")
+    firsts = crowds.select("key", F.col("b").alias("class")).distinct()
+    met = crowds.select("key", F.col("a").alias("class")).unionByName(firsts)
+    near = _close_in_blocks(met.join(names.select("class", "n", "marks"), "class"), rule)
+    near = settle(pairs.unionByName(near).distinct(), "near")
+
+    clusters = components(near).withColumnRenamed("node", "class")
+    clusters = settle(clusters.join(names.select("class", "n"), "class"), "clusters")
+    groups = settle(_in_chunks(clusters, "root", CHUNKS), "groups")
+    found = settle(_compared(groups, "root", docs, names, rule), "found")
+    huge = clusters.join(groups.select("class"), "class", "left_anti").select("class", "n")
+    huge = settle(huge, "huge")
+    if huge.isEmpty():
+        return found
+    two = near.select(F.xxhash64("a", "b").alias("key"), F.explode(F.array("a", "b")).alias("class"))
+    rest = met.select("key", "class").unionByName(two).distinct().join(huge, "class")
+    rest = settle(_in_chunks(rest, "key"), "rest")
+    return found.unionByName(settle(_compared(rest, "key", docs, names, rule), "found"))
 
 
 def groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id``."""
-    rows = settle(classes(docs, rule), "classes")
+    rows = settle(sketched(docs, rule), "sketches")
     roots = components(links(docs, rows, rule))
     least = rows.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"))
     rooted = least.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
@@ -342,16 +481,16 @@ def groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 def distinct_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id.
 
-    Of several rows with that id, one stays; a document without an id stays only if its whole
-    component has none.
+    Of several rows with that id, one stays; documents without an id, which nothing tells apart,
+    all stay.
     """
-    found = settle(groups(docs, rule), "groups")
-    same: Column = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    kept = found.filter(same).groupBy("doc_id").agg(F.count("*").alias("n"))
-    kept = settle(kept.select(F.col("doc_id").alias("_id"), "n"), "kept")
-    is_kept = F.col("doc_id").eqNullSafe(F.col("_id"))
-    single = docs.join(kept.filter("n = 1").select("_id"), is_kept, "left_semi")
-    own = docs.join(small(settle(kept.filter("n > 1").select("_id"), "repeated")), is_kept, "left_semi")
-    columns = docs.columns
-    one = own.groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*")
-    return single.unionByName(one)
+    kept = groups(docs, rule).filter("doc_id = component_id")
+    kept = kept.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n"))
+    kept = settle(kept, "kept")
+    own = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id")
+    is_kept = F.col("doc_id") == F.col("_id")
+    single = own.join(kept.filter("n = 1"), is_kept, "left_semi").select("_row")
+    repeated = own.join(small(settle(kept.filter("n > 1"), "repeated")), is_kept, "left_semi")
+    one = repeated.groupBy("doc_id").agg(F.min("_row").alias("_row")).select("_row")
+    nameless = own.filter("doc_id is null").select("_row")
+    return single.unionByName(one).unionByName(nameless).select("_row.*")

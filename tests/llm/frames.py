@@ -1,0 +1,39 @@
+"""Small tables for the operators' tests."""
+
+from __future__ import annotations
+
+import random
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def documents(spark, rows):
+    full = [(i, t, lang, source, None if t is None else len(t)) for i, t, lang, source in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def text_of(seed, words):
+    rng = random.Random(seed)
+    return " ".join(
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 8)))
+        for _ in range(words)
+    )
+
+
+_LONG = text_of(1, 3000)
+#: Nulls in every column, empty and long texts, ties and repeated rows.
+DOCS = [
+    (1, None, "en", "a"),
+    (2, "", "en", "a"),
+    (None, "only one line of words", "en", "a"),
+    (3, "only one line of words", None, "a"),
+    (4, "only one line of words", "en", None),
+    (4, "only one line of words", "en", None),
+    (5, _LONG, "de", "b"),
+    (6, _LONG, "de", "b"),
+    (7, " \t\n", "fr", ""),
+    (8, "é ß 中 \U0001f600 \x00 ́x", None, None),
+    (None, None, None, None),
+]
+#: Extra columns with names that the operators use inside.
+CLASHING = ["1 AS _id", "2 AS _text", "3 AS _row", "1 AS size", "'x' AS key", "2 AS n", "true AS kept", "0 AS cell", "1 AS class", "'t' AS rank"]
