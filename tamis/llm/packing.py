@@ -34,7 +34,7 @@ TIERS = (2048, 1024, 512, 256)
 END_ID = 1
 #: Tokens that are packed together, and those of a training step.
 BLOCK, STEP = 4_000_000, 65_536
-#: Words whose ids a task keeps.
+#: Words whose ids a process keeps.
 CACHE = 800_000
 MARKS = ".,!?;:#*$%&|"
 #: Letters below are in composed form.
@@ -50,7 +50,7 @@ class WordIds:
     """The ids of texts, word by word.
 
     The tokenizer splits at white space before it does anything else that looks at neighbours,
-    so the ids of a text are those of its words; each word is encoded once per task.  Words of
+    so the ids of a text are those of its words; each word is encoded once per process.  Words of
     letters need neither normalizing nor splitting once they are in lower case: many are encoded
     as one string, and each ends with its only token that ends a word.
     """
@@ -103,6 +103,16 @@ class WordIds:
                 start = end
 
 
+def _coder(path: str) -> WordIds:
+    """The process's own: its tasks go on with the words that earlier ones have encoded."""
+    import tokenizers
+
+    coders = vars(tokenizers).setdefault("_word_ids", {})  # code sent to tasks has no module
+    if path not in coders:
+        coders[path] = WordIds(path)
+    return coders[path]
+
+
 def _parts(word: bytes) -> tuple[str, ...]:
     """What a word is encoded as: letters in lower case and marks behind them apart.
 
@@ -214,7 +224,7 @@ def pack(docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS) -> Dat
     end = END_ID.to_bytes(4, "little")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordIds(tokenizer)
+        coder = _coder(tokenizer)
         place = TaskContext.get().partitionId() << 32
         ids, tokens, held = [], [], 0
         for batch in batches:

@@ -5,8 +5,8 @@ generators propose spans that may overlap.  Each proposal has a few small featur
 and context, but none that says whether a check holds; it is positive if a base span of its kind
 overlaps it.  Boosted trees are fitted to the counts of positives and negatives in each cell of
 features, summed up over all documents; the cells are bounded by the bins of the features, not by
-the data.  For each kind, the lowest score whose proposals in the other half of the documents
-were right often enough selects the additional spans.  Everything that touches texts is column
+the data.  For each kind, the lowest score at and above which proposals in the other half of the
+documents were right often enough selects the additional spans.  Everything that touches texts is column
 expressions; the trees are ``CASE`` expressions.
 
 Positions come from splitting a text at the matches: the lengths of the pieces add up.
@@ -14,7 +14,7 @@ Positions come from splitting a text at the matches: the lengths of the pieces a
 Defined cases: a null text is an empty one and has no spans; empty tables give empty results;
 documents are judged one by one, so ties, repeated rows and null ids are no matter; extra columns
 are kept by :func:`redact` and ignored by :func:`spans`.  If no proposal exists, only base spans
-count.  Spans of equal text may overlap; :func:`redact` joins them.
+count.  Spans may overlap; :func:`redact` joins them.
 """
 
 from __future__ import annotations
@@ -305,13 +305,13 @@ def fit(
     thresholds = {}
     for kind in range(len(KINDS)):
         own = ~learn & (x[:, 0] == kind)
-        order = np.argsort(-total[own], kind="stable")
-        hits, misses = right[own][order].cumsum(), wrong[own][order].cumsum()
-        scores = total[own][order]
-        last = np.r_[scores[1:] != scores[:-1], True] if len(scores) else np.zeros(0, bool)
-        good = np.flatnonzero(last & (hits >= precision * (hits + misses + 1)))
+        # by score from the top: all above a threshold, and those at it, must be right
+        scores, level = np.unique(-total[own].round(9), return_inverse=True)
+        hits, misses = (np.bincount(level, x[own], len(scores)) for x in (right, wrong))
+        above = hits.cumsum() / (hits.cumsum() + misses.cumsum() + 1)
+        good = np.flatnonzero((above >= precision) & (2 * hits >= hits + misses + 1) & (scores < 0))
         if len(good):
-            thresholds[kind] = float(scores[good[-1]]) - 1e-9
+            thresholds[kind] = float(-scores[good[-1]]) - 1e-6
     return Trees(tuple(trees), thresholds)
 
 
@@ -354,7 +354,8 @@ def redact(docs: DataFrame, trees: Trees | None = None) -> DataFrame:
     Overlapping spans are replaced as one, by the kind of the first.
     """
     trees = trees or fit(cells(docs))
-    found = _found(docs).withColumn("_all", _all(trees))
+    own = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    found = _found(own).withColumn("_all", _all(trees))
     name = F.array(*(F.lit(f"<{kind}>") for kind in KINDS))
 
     def step(state: Column, s: Column) -> Column:
@@ -376,4 +377,4 @@ def redact(docs: DataFrame, trees: Trees | None = None) -> DataFrame:
         ),
     )
     clean = F.when(F.size("_all") > 0, text).otherwise(F.col("text"))
-    return found.withColumn("text", clean).select(*docs.columns)
+    return found.select(F.col("_row").withField("text", clean).alias("_row")).select("_row.*")

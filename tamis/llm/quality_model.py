@@ -35,6 +35,8 @@ MARKS = b"!?~^=_/\\{}[]@"
 UPPER = bytes(range(65, 91))
 DIGITS = b"0123456789"
 N_STATS = 14
+#: How features of the sample are sent to the driver: 6 bytes for each different word of a row.
+_KINDS = (np.uint16, np.float32, np.float64)
 
 
 class Features:
@@ -97,7 +99,7 @@ class Machine:
     scale: np.ndarray
 
     def x(self, bins: np.ndarray, weights: np.ndarray, stats: np.ndarray):
-        index = np.concatenate([bins, np.arange(DIMS, DIMS + N_STATS)])
+        index = np.concatenate([bins.astype(np.int64), np.arange(DIMS, DIMS + N_STATS)])
         return index, np.concatenate([weights, (stats - self.centre) / self.scale])
 
     def raw(self, index: np.ndarray, x: np.ndarray) -> float:
@@ -127,7 +129,7 @@ def fit(rows: list[tuple], labels: np.ndarray, epochs: int = 6, seed: int = 7) -
         return machine
     stats = np.stack([row[2] for row in rows])
     machine.centre, machine.scale = stats.mean(0), stats.std(0) + 0.05
-    rows = [machine.x(*row) for row in rows]
+    rows = [_narrow(*machine.x(*row)) for row in rows]
     order = rng.permutation(len(rows))
     judge, learn = order[: len(rows) // 10], order[len(rows) // 10 :]
     weight = {1: 0.5 / share, 0: 0.5 / (1 - share)}
@@ -152,6 +154,10 @@ def fit(rows: list[tuple], labels: np.ndarray, epochs: int = 6, seed: int = 7) -
     return _calibrated(machine, [rows[n] for n in judge], labels[judge])
 
 
+def _narrow(index: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return index.astype(np.uint16), x.astype(np.float32)
+
+
 def _calibrated(machine: Machine, rows: list, labels: np.ndarray) -> Machine:
     raw = np.array([machine.raw(*row) for row in rows])
     good, bad = labels.sum(), len(labels) - labels.sum()
@@ -184,9 +190,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            parts = list(zip(*(features.of(t.as_py()) for t in batch.column(2))))
-            kinds = (pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.float64()))
-            columns = [pa.array(list(c), kind) for c, kind in zip(parts or [()] * 3, kinds)]
+            found = [features.of(t.as_py()) for t in batch.column(2)]
+            columns = [
+                pa.array([row[n].astype(kind).tobytes() for row in found], pa.binary())
+                for n, kind in enumerate(_KINDS)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *columns],
                 ["doc_id", "quality", "bins", "weights", "stats"],
@@ -194,18 +202,18 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
 
     text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
     sampled = docs.select(F.col("doc_id").cast("long"), text).join(F.broadcast(marked), "doc_id")
-    kind = "bins array<long>, weights array<double>, stats array<double>"
+    kind = "bins binary, weights binary, stats binary"
     rows = (
         sampled.select("doc_id", F.col("quality").cast("int"), "text")
         .mapInArrow(featured, f"doc_id long, quality int, {kind}")
         .orderBy("doc_id", "bins", "weights")
         .collect()
     )
-    features = [tuple(np.array(r[c]) for c in ("bins", "weights", "stats")) for r in rows]
-    return fit(
-        [(b.astype(np.int64), w, s) for b, w, s in features],
-        np.array([r["quality"] for r in rows], dtype=float),
-    )
+    features = [
+        tuple(np.frombuffer(r[c], dtype=k) for c, k in zip(("bins", "weights", "stats"), _KINDS))
+        for r in rows
+    ]
+    return fit(features, np.array([r["quality"] for r in rows], dtype=float))
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:

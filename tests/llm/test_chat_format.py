@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import random
+
+from tamis.llm import chat_format
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def _brute(rows):
+    talks = {}
+    for conv, turn, role, text in rows:
+        talks.setdefault(conv, []).append((turn, role, text))
+    talks = {c: [(r, t) for _, r, t in sorted(turns)] for c, turns in talks.items()}
+    kept = {}
+    for conv, turns in talks.items():
+        longer = any(len(o) > len(turns) and o[: len(turns)] == turns for o in talks.values())
+        same = [c for c, o in talks.items() if o == turns]
+        if not longer and conv == min(same):
+            kept[conv] = (len(turns), len(same))
+    return kept
+
+
+def test_snapshots_collapse(spark):
+    rng = random.Random(5)
+    rows = []
+    for conv in range(120):
+        for turn in range(rng.randint(1, 5)):
+            rows.append((conv, turn, "user" if turn % 2 == 0 else "bot", rng.choice(["a", "b"])))
+    rng.shuffle(rows)
+    got = chat_format.collapse(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.conv_id: (r.n_turns, r.n_copies) for r in got} == _brute(rows)
+
+
+def test_rendering(spark):
+    rows = [(1, 1, "bot", " two "), (1, 0, "user", "one"), (1, 2, None, None)]
+    got = chat_format.collapse(spark.createDataFrame(rows, SCHEMA)).first().rendered
+    assert got == "<|user|>\none\n<|end|>\n<|bot|>\ntwo\n<|end|>\n<|unknown|>\n\n<|end|>\n"
+
+
+def test_edge_cases(spark):
+    assert chat_format.collapse(spark.createDataFrame([], SCHEMA)).count() == 0
+    rows = [
+        (1, 0, None, "a"),
+        (2, 0, "", "a"),  # null and empty differ
+        (3, 0, None, None),
+        (4, 0, None, ""),
+        (None, 0, "user", "x"),
+        (None, None, "user", "y"),
+        (5, 0, "user", "t"),
+        (5, 0, "user", "t"),  # a repeated turn is a turn
+        (6, 0, "user", "t"),
+        (7, 0, "user", "z" * 300_000),
+    ]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    want = {1: 1, 2: 1, 3: 1, 4: 1, None: 2, 5: 2, 7: 1}
+    assert {r.conv_id: r.n_turns for r in chat_format.collapse(frame).collect()} == want
+    more = frame.selectExpr("*", "1 AS k", "2 AS n_turns", "'h' AS a", "3 AS _id")
+    assert chat_format.collapse(more).count() == 7

@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import math
+from collections import defaultdict
+from hashlib import md5
+
+import pytest
+
+from tamis.llm import mixing
+from tests.llm.frames import CLASHING, DOCS, documents, text_of
+
+
+def _targets(sizes, weights=mixing.WEIGHTS):
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, bounded = sum(sizes.values()), set()
+    while True:
+        rest = total - sum(3 * sizes[s] for s in bounded)
+        free = sum(weight[s] for s in names if s not in bounded)
+        target = {s: 3.0 * sizes[s] if s in bounded else weight[s] * rest / free for s in names}
+        above = {s for s in names if s not in bounded and target[s] > 3 * sizes[s]}
+        if not above:
+            return target
+        bounded |= above
+
+
+def _docs(spark, count=400):
+    source = lambda i: [None, "a", "é", "b", "Z", "tiny"][5 if i < 3 else (0 if i % 3 else i % 5)]
+    return documents(spark, [(i, text_of(i, 5 + i % 60) + "#" * (i % 40), "en", source(i)) for i in range(count)])
+
+
+def test_targets_and_sample(spark):
+    rows = mixing.plan(_docs(spark)).collect()
+    sizes, taken, of = defaultdict(int), defaultdict(int), defaultdict(list)
+    for r in rows:
+        sizes[r.source] += r.size
+        taken[r.source] += r.taken
+        of[r.source].append(r)
+    want = _targets(sizes)
+    for r in rows:
+        assert r.source_size == sizes[r.source]
+        assert math.isclose(r.target, want[r.source], rel_tol=1e-12)
+        assert r.taken % r.size == 0 and r.taken <= 3 * r.size
+    assert math.isclose(sum(want.values()), sum(sizes.values()))
+    for source, own in of.items():
+        epochs = math.floor(want[source] / sizes[source])
+        assert abs(taken[source] - want[source]) <= max(r.size for r in own) / 2 + 1e-9
+        upto, budget = 0, want[source] - epochs * sizes[source]
+        for r in sorted(own, key=lambda r: (r.key, r.doc_id)):  # the smallest keys go first
+            upto += r.size
+            more = upto - r.size / 2 <= budget
+            assert r.taken == r.size * (epochs + more)
+
+
+def test_keys_are_exponential_in_the_quality(spark):
+    rows = mixing._rows(_docs(spark, 50)).collect()
+    for r in rows:
+        u = (int(md5(f"mix{r.doc_id}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        assert math.isclose(r.key, -math.log(u) / r.quality, rel_tol=1e-12)
+        assert 0.25 <= r.quality <= 1
+
+
+@pytest.mark.parametrize("cells", [1, 4, 1024])
+def test_cells_do_not_matter(spark, monkeypatch, cells):
+    want = sorted((r.doc_id, r.taken) for r in mixing.plan(_docs(spark)).collect())
+    monkeypatch.setattr(mixing, "CELLS", cells)
+    assert sorted((r.doc_id, r.taken) for r in mixing.plan(_docs(spark)).collect()) == want
+
+
+def test_copies(spark):
+    docs = _docs(spark)
+    copies = defaultdict(int)
+    for r in mixing.mixed(docs).collect():
+        copies[r.doc_id] += 1
+    assert copies == {r.doc_id: r.taken // r.size for r in mixing.plan(docs).collect() if r.taken}
+
+
+def test_edge_cases(spark):
+    empty = documents(spark, [])
+    assert mixing.plan(empty).count() == 0 and mixing.mixed(empty).count() == 0
+    wordless = documents(spark, [(1, None, "en", "a"), (2, "", "en", None)])
+    assert [(r.taken, r.target) for r in mixing.plan(wordless).collect()] == [(0, 0.0)] * 2
+    rows = documents(spark, DOCS)
+    assert mixing.plan(rows).count() == len(DOCS)
+    more = rows.selectExpr("*", *CLASHING)
+    assert mixing.mixed(more).columns == more.columns
+    assert mixing.mixed(more).count() == mixing.mixed(rows).count()

@@ -1,0 +1,62 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+from tamis.llm import quality_rules
+from tests.llm.frames import CLASHING, DOCS, documents, text_of
+
+WORDS = re.compile(r"[^ \t-\r]+")
+
+
+def _base(text):
+    words = WORDS.findall(text)
+    windows = list(zip(words, words[1:], words[2:]))
+    times = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if times[w] > 1 for k in range(3)}
+    lines = [line for line in text.split("\n") if WORDS.search(line)]
+    symbols = sum(text.count(c) for c in "#*$%&|<>")
+    n = len(words)
+    failed = n < 50 or 100 * len(covered) > 50 * n
+    return n, sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered), failed
+
+
+def test_base_counts(spark):
+    texts = ["", None, "a", "a b c a b c", "x\n\n x\nx\n#|é ", " \t\x0b", "a a a a", "one two", "é%" * 60]
+    texts += ["w%d " % i * 3 for i in range(3)] + ["a b c d\x85e\xa0f a b c", "ab " * 5000]
+    rows = documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    got = {r.doc_id: r for r in quality_rules.judge(rows).collect()}
+    for i, text in enumerate(texts):
+        r = got[i]
+        own = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+        assert own == _base(text or "")
+        assert not (r.base_failed and r.kept)
+
+
+def test_outliers_of_a_group_go_and_clean_documents_stay(spark):
+    clean = [(i, text_of(i, 80), "en" if i % 2 else None, "s") for i in range(60)]
+    noisy = [(100, text_of(7, 80).upper(), "en", "s"), (101, text_of(8, 80).replace(" ", "### "), None, "s")]
+    kept = quality_rules.keep_clean(documents(spark, clean + noisy + noisy))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(60))
+    # in a group that always looks like this, it is no outlier
+    usual = [(i, text_of(i, 80).upper(), "en", "loud") for i in range(40)]
+    assert quality_rules.keep_clean(documents(spark, usual)).count() == 40
+
+
+def test_cutoffs_follow_the_quartiles(spark):
+    rows = documents(spark, [(i, text_of(i, 60) + " #" * i, "en", "s") for i in range(40)])
+    shares = sorted(r.symbol_share for r in quality_rules.judge(rows).collect())
+    limit = quality_rules.cutoffs(quality_rules.measured(rows)).first()
+    q1, q3 = (shares[-(-40 * k // 4) - 1] // 10 * 10 for k in (1, 3))
+    assert limit.symbol_share_high == q3 + 10 + max(60, 6 * (q3 + 10 - q1))
+
+
+def test_edge_cases(spark):
+    empty = documents(spark, [])
+    assert quality_rules.judge(empty).count() == 0
+    assert quality_rules.keep_clean(empty).columns == empty.columns
+    rows = documents(spark, DOCS)
+    assert quality_rules.judge(rows).count() == len(DOCS)
+    more = rows.selectExpr("*", *CLASHING)
+    assert quality_rules.keep_clean(more).columns == more.columns
+    assert quality_rules.keep_clean(more).count() == quality_rules.keep_clean(rows).count()
