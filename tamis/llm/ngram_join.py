@@ -9,7 +9,7 @@ linked sets; thus of any ``D(n) + 1`` blocks one is equal.  Sets meet on equal b
 first ``E(n) = D(n) + 1 + s``, in their own band and, as the smaller one, in the next.  Thanks to
 ``s`` more blocks than needed, sets leave out their lightest ones, which many unlike sets share.
 
-Blocks with the same sets count once.  One byte of each block tells, by the Hamming distance of
+Blocks with the same sets count as one.  One byte of each block tells, by the Hamming distance of
 bytes, which of the sets that meet may link at all; these pairs, as rows for two sets and as a few
 links within larger blocks, make clusters.  A cluster's whole sets are sent to one group (a large
 one's to groups of two chunks each, a huge one's by the blocks in which they meet) and compared
@@ -47,7 +47,7 @@ BROADCAST = 500_000
 #: Sets of one chunk of a group, shingles in all of them, and columns of a matrix.
 CROWD, SHINGLES, COLUMNS = 1024, 1_000_000, 2048
 #: Chunks of a cluster that is compared as a whole, and rows of blocks that go to one group.
-CHUNKS, ROWS = 16, 20_000
+CHUNKS, ROWS = 16, 5_000
 
 
 @dataclass(frozen=True)
@@ -234,19 +234,19 @@ def sketched(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def meetings(rows: DataFrame) -> DataFrame:
-    """``key``, ``a``, ``b``: each class of a block with the block's first one, in an order that
-    differs from block to block."""
-    by_key = Window.partitionBy("key").orderBy("rank")
+    """The classes of each block that has several: ``key`` (one for blocks of the same classes),
+    ``size``, ``class`` and ``other``, the block's first one."""
     keys = rows.select(F.explode("keys").alias("key"), "class")
-    ranked = keys.select("key", F.col("class").bitwiseXOR(F.xxhash64("key")).alias("rank"))
-    first = F.first("rank").over(by_key.rowsBetween(Window.unboundedPreceding, 0))
-    last = F.lag("rank").over(by_key)
-    name = lambda c: F.col(c).bitwiseXOR(F.xxhash64("key"))
-    return (
-        ranked.withColumns({"first": first, "last": last})
-        .filter("rank <> first and rank <> last")
-        .select("key", name("rank").alias("a"), name("first").alias("b"))
+    by_key = Window.partitionBy("key")
+    once = F.lag("class").over(by_key.orderBy("class"))
+    keys = keys.withColumn("last", once).filter("last is null or last <> class")
+    found = keys.select(
+        "class",
+        F.count("*").over(by_key).alias("size"),
+        F.min("class").over(by_key).alias("other"),
+        F.bit_xor(F.xxhash64("class")).over(by_key).alias("key"),
     )
+    return found.filter("size > 1").select("key", "size", "class", "other").distinct()
 
 
 def _sets(docs: DataFrame, chosen: DataFrame, rule: Rule) -> DataFrame:
@@ -270,17 +270,6 @@ def _sets(docs: DataFrame, chosen: DataFrame, rule: Rule) -> DataFrame:
     return rows.mapInArrow(hashed, "class long, hashes binary")
 
 
-def _blocks(met: DataFrame) -> DataFrame:
-    """``key`` and ``size`` of one block for each group of sets that meet."""
-    parts = [F.bit_xor(F.xxhash64(F.lit(n), "a")) for n in (1, 2)]
-    first = F.min("b")  # all are the same
-    sums = [p.bitwiseXOR(F.xxhash64(F.lit(n), first)) for n, p in enumerate(parts, 1)]
-    by_key = met.groupBy("key").agg(
-        (F.count("*") + 1).alias("size"), *(x.alias(f"h{n}") for n, x in enumerate(sums))
-    )
-    return by_key.groupBy("size", "h0", "h1").agg(F.min("key").alias("key")).select("key", "size")
-
-
 def _close_pairs(pairs: DataFrame, names: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose marks differ in no more bytes than linked sets could."""
 
@@ -326,7 +315,8 @@ def _spanning(names: np.ndarray, near: Callable[[slice], np.ndarray], rows: int)
 def _close_in_blocks(members: DataFrame, rule: Rule) -> DataFrame:
     """Links (a, b) that hold those sets of a block together whose marks are close.
 
-    ``members`` has ``key``, ``class``, ``n`` and ``marks``; many blocks go to one group.
+    ``members`` has ``key``, ``size``, ``class``, ``n`` and ``marks``; many blocks go to one
+    group, and large ones in chunks.
     """
 
     def close(rows: pa.Table) -> pa.Table:
@@ -344,8 +334,9 @@ def _close_in_blocks(members: DataFrame, rule: Rule) -> DataFrame:
         a, b = (np.concatenate(side) for side in zip(*found))
         return pa.table({"a": a, "b": b})
 
-    rows = settle(_in_chunks(members, "key"), "members")
-    groups = max(1, rows.count() // ROWS)
+    chunks = F.ceil(F.col("size") / CROWD).cast("int")
+    rows = settle(_paired(members.withColumn("chunks", chunks)), "members")
+    groups = 1 + rows.count() // ROWS
     bucket = F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)).alias("bucket")
     rows = rows.select("key", "i", "j", "class", "n", "marks", bucket)
     return rows.groupBy("bucket").applyInArrow(close, "a long, b long")
@@ -379,12 +370,17 @@ def _in_chunks(members: DataFrame, by: str, most: int | None = None) -> DataFram
     rows = rows.withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     if most is not None:
         rows = rows.filter(F.col("chunks") <= most)
-    own = F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    rows = rows.withColumn("own", own).select(*members.columns, "own", other)
-    return rows.select(
-        *members.columns, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    )
+    return _paired(rows)
+
+
+def _paired(members: DataFrame) -> DataFrame:
+    """Members once for each pair (i, j) of ``chunks`` that theirs is one of."""
+    columns = [c for c in members.columns if c != "chunks"]
+    own = F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int").alias("own")
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other_chunk")
+    rows = members.select(*columns, own, other)
+    i, j = F.least("own", "other_chunk").alias("i"), F.greatest("own", "other_chunk").alias("j")
+    return rows.select(*columns, i, j)
 
 
 def _compared(members: DataFrame, by: str, docs: DataFrame, names: DataFrame, rule: Rule) -> DataFrame:
@@ -434,18 +430,17 @@ def links(docs: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
 
     ``rows`` are the (settled) sketched documents.
     """
-    names = rows.filter("class is not null").groupBy("class").agg(
+    met = settle(meetings(rows), "meetings")
+    met_classes = met.select("class").distinct()
+    names = rows.join(met_classes, "class", "left_semi").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.max("marks").alias("marks")
     )
-    met = settle(meetings(rows), "meetings")
-    blocks = _blocks(met)
-    met = settle(met.join(blocks, "key"), "meetings")
-    pairs = _close_pairs(met.filter("size = 2").select("a", "b"), names, rule)
-    crowds = met.filter("size > 2")
-    firsts = crowds.select("key", F.col("b").alias("class")).distinct()
-    met = crowds.select("key", F.col("a").alias("class")).unionByName(firsts)
+    names = settle(names, "names")
+    pairs = met.filter("size = 2 and class <> other")
+    pairs = pairs.select(F.col("class").alias("a"), F.col("other").alias("b"))
+    met = met.filter("size > 2").select("key", "size", "class")
     near = _close_in_blocks(met.join(names.select("class", "n", "marks"), "class"), rule)
-    near = settle(pairs.unionByName(near).distinct(), "near")
+    near = settle(_close_pairs(pairs, names, rule).unionByName(near), "near")
 
     clusters = components(near).withColumnRenamed("node", "class")
     clusters = settle(clusters.join(names.select("class", "n"), "class"), "clusters")

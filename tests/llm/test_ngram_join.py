@@ -45,9 +45,12 @@ def _texts(count=260):
     return texts | {count + i: f"{passage} {text_of(1000 + i, 30)}" for i in range(40)}
 
 
-@pytest.mark.parametrize("rule", [Rule(4, 85), Rule(5, 80), Rule(2, 50), Rule(3, 95)])
-def test_components(spark, monkeypatch, rule):
-    monkeypatch.setattr(ngram_join, "CROWD", 16)  # so that blocks are cut into chunks
+@pytest.mark.parametrize(
+    ("rule", "chunks"), [(Rule(4, 85), 16), (Rule(5, 80), 1), (Rule(2, 50), 16), (Rule(3, 95), 1)]
+)
+def test_components(spark, monkeypatch, rule, chunks):
+    monkeypatch.setattr(ngram_join, "CROWD", 16)  # so that blocks and clusters are cut
+    monkeypatch.setattr(ngram_join, "CHUNKS", chunks)  # and some clusters are huge
     texts = _texts()
     sizes, roots = _brute(texts, rule)
     got = ngram_join.groups(documents(spark, [(i, t, "en", "s") for i, t in texts.items()]), rule).collect()
@@ -78,7 +81,9 @@ def test_linked_sets_share_a_key_and_close_marks(rule):
     assert linked > 200
 
 
-def test_components_of_chains_and_hubs(spark):
+@pytest.mark.parametrize("held", [500_000, 25])
+def test_components_of_chains_and_hubs(spark, monkeypatch, held):
+    monkeypatch.setattr("tamis.llm.components.HELD", held)
     pairs = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 199)]
     rows = components(spark.createDataFrame(pairs, "a long, b long")).collect()
     nodes = {x for a, b in pairs if a != b for x in (a, b)}
