@@ -39,6 +39,8 @@ HELD_OUT = 10
 END = b""
 #: Tokens that take part in bigrams, at most; their numbers have 18 bits.
 KNOWN = 1 << 18
+#: Larger counts of a bigram count as this; its level would be the 54th.
+MOST = (1 << 32) - 1
 #: Bits of the filter and at least so many for an entry; probes of an entry; parts of the filter.
 BITS, ROOM, PROBES, PARTS = 1 << 28, 10, 5, 1024
 BASE, DISCOUNT = 1.5, 0.75
@@ -167,7 +169,7 @@ def bigram_counts(train: DataFrame, known: list[bytes]) -> DataFrame:
             for c in ("pairs", "counts")
         )
         own, where = np.unique(pairs, return_inverse=True)
-        totals = np.bincount(where, counts, len(own))
+        totals = np.minimum(np.bincount(where, counts, len(own)), MOST)
         often = totals >= 2
         return pa.table(
             {
@@ -203,7 +205,8 @@ def _least(bigrams: DataFrame) -> int:
 
     tally = bigrams.select("counts").mapInArrow(tallied, "n long, bigrams long")
     # large counts are few; they are told apart by their logarithm only
-    level = F.when(F.col("n") < 1000, F.col("n")).otherwise(F.floor(F.pow(F.lit(BASE), F.floor(F.log("n") / log(BASE)))))
+    power = F.floor(F.pow(F.lit(BASE), F.floor(F.log("n") / log(BASE))))
+    level = F.when(F.col("n") < 1000, F.col("n")).otherwise(power)
     rows = tally.groupBy(level.alias("n")).agg(F.sum("bigrams").alias("bigrams")).collect()
     n, bigrams = (np.array([r[c] for r in rows], dtype=np.float64) for c in ("n", "bigrams"))
     least = 2

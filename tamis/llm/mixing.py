@@ -85,7 +85,8 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame
 
 def _key() -> Column:
     """The exponential key: 52 bits of the id's hash as a number in (0, 1)."""
-    bits = F.conv(F.substring(F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10)
+    name = F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    bits = F.conv(F.substring(F.md5(name), 1, 13), 16, 10)
     return -F.log((bits.cast("double") + 0.5) / float(2**52)) / F.col("quality")
 
 

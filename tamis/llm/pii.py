@@ -129,9 +129,12 @@ def _luhn(digits: Column) -> Column:
 
 def _valid(kind: str, match: Column) -> Column:
     if kind == "ip":
-        part = lambda p: F.length(F.ltrim(p, F.lit("0"))) <= 3
-        small = lambda p: F.when(part(p), F.concat(F.lit("0"), F.right(p, F.lit(3))).cast("int") <= 255).otherwise(False)  # noqa: E731,E501
-        return F.forall(F.split(match, r"\."), small)
+
+        def octet(part: Column) -> Column:
+            last = F.concat(F.lit("0"), F.right(part, F.lit(3))).cast("int")
+            return F.when(F.length(F.ltrim(part, F.lit("0"))) <= 3, last <= 255).otherwise(False)
+
+        return F.forall(F.split(match, r"\."), octet)
     if kind == "card":
         digits = _digits(match)
         return F.when(F.length(digits).between(14, 19), _luhn(digits)).otherwise(False)
@@ -155,7 +158,7 @@ def _span(kind: str, m: Column) -> Column:
 
 def _bin(value: Column, *bounds: int) -> Column:
     """The number of bounds that the value reaches."""
-    return sum((F.when(value >= b, 1).otherwise(0) for b in bounds[1:]), F.when(value >= bounds[0], 1).otherwise(0))
+    return sum((F.when(value >= b, 1).otherwise(0) for b in bounds), F.lit(0))
 
 
 def _beside(char: Column) -> Column:
@@ -218,7 +221,11 @@ def cells(docs: DataFrame) -> DataFrame:
     found = _found(docs.select("doc_id", "text"))
     half = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 2
     rows = found.select(half.alias("half"), "_base", F.explode("_more").alias("p"))
-    same = lambda b: (b["kind"] == F.col("p.kind")) & (b["start"] < F.col("p.end")) & (b["end"] > F.col("p.start"))  # noqa: E731,E501
+
+    def same(b: Column) -> Column:
+        overlap = (b["start"] < F.col("p.end")) & (b["end"] > F.col("p.start"))
+        return overlap & (b["kind"] == F.col("p.kind"))
+
     right = F.exists("_base", same).cast("long")
     return rows.groupBy("half", *(F.col(f"p.{f}").alias(f) for f in BINS)).agg(
         F.sum(right).alias("right_"), F.sum(1 - right).alias("wrong")

@@ -81,7 +81,7 @@ def _repeated(text: Column) -> Column:
         return let(
             starts,
             lambda s: F.when(F.size(s) == 0, 0).otherwise(
-                F.size(F.array_distinct(F.concat(s, F.transform(s, lambda i: i + 1), F.transform(s, lambda i: i + 2))))
+                F.size(F.array_distinct(F.flatten(F.transform(s, lambda i: F.array(i, i + 1, i + 2)))))
             ),
         )
 

@@ -62,7 +62,8 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """The vectors as stored, 32-bit numbers."""
-    values = pa.concat_arrays([c.flatten() for c in column.chunks]) if isinstance(column, pa.ChunkedArray) else column.flatten()
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    values = pa.concat_arrays([c.flatten() for c in chunks])
     return values.to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
@@ -161,7 +162,8 @@ def _pairs(rotated: np.ndarray, role: np.ndarray, i: int, j: int, block: int, sp
     for start in range(0, len(order), ROWS):
         stop = min(start + ROWS, len(order))
         end = int(np.searchsorted(along, along[stop - 1] + width, side="right"))
-        near = squares[start:stop, None] + squares[None, start:end] - 2 * inside[start:stop] @ inside[start:end].T
+        products = inside[start:stop] @ inside[start:end].T
+        near = squares[start:stop, None] + squares[None, start:end] - 2 * products
         p, q = np.nonzero(near <= space.budgets[block] + 1e-12)
         p, q = p + start, q + start
         later = p < q
