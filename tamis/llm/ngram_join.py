@@ -347,13 +347,15 @@ def _close_marks(rule: Rule, n: np.ndarray, marks: list[bytes]):
     numbers = {int(x): rule.band(int(x))[0] for x in np.unique(n)}
     bands = np.array([numbers[int(x)] for x in n])
     blocks = np.array([rule.blocks(int(x)) for x in n])
-    size, offset = blocks.min(), (bands.max() - bands) * blocks
-    table = np.stack(
-        [np.frombuffer(m, dtype=np.uint8)[k : k + size] for m, k in zip(marks, offset)]
-    )
+    offset = (bands.max() - bands) * blocks
+    table = np.zeros((len(n), blocks.max()), dtype=np.uint8)
+    for row, mark, start, size in zip(table, marks, offset, blocks):
+        row[:size] = np.frombuffer(mark, dtype=np.uint8)[start : start + size]
+    shown = np.arange(blocks.max()) < blocks[:, None]
 
     def near(own: slice) -> np.ndarray:
-        far = (table[own, None, :] != table[None, :, :]).sum(axis=2)
+        both = shown[own, None, :] & shown[None, :, :]  # as many as the smaller set shows
+        far = ((table[own, None, :] != table[None, :, :]) & both).sum(axis=2)
         return far <= rule.apart(n[own, None], n[None, :])
 
     return near, max(1, 20_000_000 // table.size)
@@ -484,7 +486,9 @@ def distinct_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     kept = settle(kept, "kept")
     own = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id")
     is_kept = F.col("doc_id") == F.col("_id")
-    single = own.join(kept.filter("n = 1"), is_kept, "left_semi").select("_row")
+    # up to BROADCAST ids are sent to the texts, of more the texts are shuffled to them
+    ids = settle(kept.filter("n = 1").select("_id"), "ids")
+    single = own.join(small(ids, BROADCAST), is_kept, "left_semi").select("_row")
     repeated = own.join(small(settle(kept.filter("n > 1"), "repeated")), is_kept, "left_semi")
     one = repeated.groupBy("doc_id").agg(F.min("_row").alias("_row")).select("_row")
     nameless = own.filter("doc_id is null").select("_row")
