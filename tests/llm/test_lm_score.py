@@ -74,6 +74,18 @@ def test_scores(spark, monkeypatch, most):
         assert close >= 0.98 * len(texts)
 
 
+@pytest.mark.parametrize("most, least", [(12, 2), (lm.KNOWN, 5), (12, 5), (1, 2)])
+def test_bigrams_outside_the_filter_count(spark, monkeypatch, most, least):
+    texts, docs = _corpus(spark)
+    want = _brute(texts)
+    frequent = lm._most_frequent
+    monkeypatch.setattr(lm, "_most_frequent", lambda counts, _: frequent(counts, most))
+    monkeypatch.setattr(lm, "_least", lambda _: least)
+    got = {r.doc_id: r.score for r in lm.score(docs).collect()}
+    assert got.keys() == want.keys()
+    assert sum(math.isclose(got[i], want[i][4], rel_tol=1e-6) for i in want) >= 0.98 * len(want)
+
+
 def test_the_model_beats_its_base_on_held_out_texts(spark):
     _, docs = _corpus(spark, 400)
     held = [r for r in lm.score(docs).collect() if r.held_out]
