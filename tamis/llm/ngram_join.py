@@ -32,7 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.llm.common import settle, small
@@ -188,15 +188,18 @@ class Sketches:
         return int(counts.max())
 
 
+def _text() -> Column:
+    return F.coalesce("text", F.lit("")).cast("binary")
+
+
 def _texts(docs: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
-    return docs.select(F.col("doc_id").cast("long"), text)
+    return docs.select(F.col("doc_id").cast("long"), _text().alias("text"))
 
 
 def sketched(docs: DataFrame, rule: Rule) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``class`` (a hash of the set), the
-    ``keys`` of its blocks and the ``marks`` that their bytes are; a task gives those of a class
-    once."""
+    """One row per document: ``doc_id``, a hash of its ``text``, ``n_shingles``, ``class`` (a hash
+    of the set), the ``keys`` of its blocks and the ``marks`` that their bytes are; a task gives
+    those of a class once."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, sketches, seen = Shingles(rule), Sketches(rule), set()
@@ -218,6 +221,7 @@ def sketched(docs: DataFrame, rule: Rule) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(sizes, pa.int64()),
                     pa.array(names, pa.int64()),
                     pa.ListArray.from_arrays(
@@ -226,11 +230,11 @@ def sketched(docs: DataFrame, rule: Rule) -> DataFrame:
                     ),
                     pa.array(marks, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "class", "keys", "marks"],
+                ["doc_id", "text", "n_shingles", "class", "keys", "marks"],
             )
 
-    kind = "doc_id long, n_shingles long, class long, keys array<long>, marks binary"
-    return _texts(docs).mapInArrow(rows, kind)
+    kind = "doc_id long, text long, n_shingles long, class long, keys array<long>, marks binary"
+    return _texts(docs).select("*", F.xxhash64("text")).mapInArrow(rows, kind)
 
 
 def meetings(rows: DataFrame) -> DataFrame:
@@ -458,8 +462,9 @@ def links(docs: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
     return found.unionByName(settle(_compared(rest, "key", docs, names, rule), "found"))
 
 
-def groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``."""
+def _grouped(docs: DataFrame, rule: Rule) -> DataFrame:
+    """The sketched documents with the ``root`` class of their component, null for empty sets, and
+    ``component_id``."""
     rows = settle(sketched(docs, rule), "sketches")
     roots = components(links(docs, rows, rule))
     least = rows.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"))
@@ -467,29 +472,38 @@ def groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         "class", "least", F.coalesce("root", "class").alias("root")
     )
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(names, "root").select("class", "component_id")
+    named = rooted.join(names, "root").select("class", "root", "component_id")
+    component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.join(named, "class", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "doc_id", "text", "n_shingles", "root", component.alias("component_id")
     )
 
 
+def groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``."""
+    return _grouped(docs, rule).select("doc_id", "n_shingles", "component_id")
+
+
 def distinct_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id.
 
-    Of several rows with that id, one stays; documents without an id, which nothing tells apart,
-    all stay.
+    Of several rows with that id in the component, one stays; rows with that id in other
+    components are documents of those.  Documents without an id, which nothing tells apart, all
+    stay.
     """
-    kept = groups(docs, rule).filter("doc_id = component_id")
-    kept = kept.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n"))
-    kept = settle(kept, "kept")
-    own = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id")
-    is_kept = F.col("doc_id") == F.col("_id")
-    # up to BROADCAST ids are sent to the texts, of more the texts are shuffled to them
-    ids = settle(kept.filter("n = 1").select("_id"), "ids")
+    kept = _grouped(docs, rule).filter("doc_id = component_id")
+    # an empty set is a component of its own
+    alone = [F.when(F.col("root").isNull(), F.col(c)).alias(f"_{c}") for c in ("doc_id", "text")]
+    kept = kept.groupBy("root", *alone).agg(
+        F.min("doc_id").alias("_id"), F.min("text").alias("_hash"), F.count("*").alias("n")
+    )
+    kept = settle(kept.select("_id", "_hash", "n"), "kept")
+    own = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", F.xxhash64(_text()).alias("hash"))
+    is_kept = (F.col("doc_id") == F.col("_id")) & (F.col("hash") == F.col("_hash"))
+    # up to BROADCAST documents' ids are sent to the texts, of more the texts are shuffled to them
+    ids = settle(kept.filter("n = 1").select("_id", "_hash"), "ids")
     single = own.join(small(ids, BROADCAST), is_kept, "left_semi").select("_row")
     repeated = own.join(small(settle(kept.filter("n > 1"), "repeated")), is_kept, "left_semi")
-    one = repeated.groupBy("doc_id").agg(F.min("_row").alias("_row")).select("_row")
+    one = repeated.groupBy("doc_id", "hash").agg(F.min("_row").alias("_row")).select("_row")
     nameless = own.filter("doc_id is null").select("_row")
     return single.unionByName(one).unionByName(nameless).select("_row.*")

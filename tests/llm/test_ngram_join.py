@@ -100,6 +100,24 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots.values()))
 
 
+def test_rows_with_one_id_are_documents_of_their_groups(spark):
+    a, b, c = (text_of(seed, 60) for seed in (21, 22, 23))
+    near = lambda text: text + " more"
+    rows = [
+        (5, a),  # led by 5, as the next is in another group
+        (5, b),
+        (6, near(b)),
+        (3, c),
+        (5, near(c)),  # led by 3
+        (8, ""),  # empty sets link with nothing
+        (8, "one line"),
+        (8, "one line"),
+    ]
+    kept = ngram_join.distinct_documents(documents(spark, [(i, t, "en", "s") for i, t in rows]))
+    want = [(3, c), (5, a), (5, b), (8, ""), (8, "one line")]
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(want)
+
+
 def test_edge_cases(spark):
     empty = documents(spark, [])
     assert ngram_join.groups(empty).count() == 0
