@@ -19,6 +19,8 @@ Known tokens are looked up in the task; a document's other tokens become rows th
 with the counts of all tokens, which are never gathered in one place.  There and in the table of
 bigrams they are told apart by 63-bit hashes (bigrams) or their bytes (counts).
 
+Tokens of more than ``LONG`` bytes are told apart by their start and 128 bits.
+
 Defined cases: a null or empty text is its end token alone; a null id is held out; rows with one
 id are scored each; without training documents all counts are 0; an empty table gives an empty
 result; extra columns are ignored.
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from math import log
 
 import numpy as np
@@ -55,6 +58,10 @@ TWICE = 2
 SIEVE, SIFTS = 1 << 28, 2
 #: Different tokens, or bigrams, that a task holds before it hands them on.
 HELD = 1_000_000
+#: Bytes of text whose tokens a task holds.
+BYTES = 1 << 28
+#: Bytes of a token; what is sent and kept of a longer one has one byte more.
+LONG = 64
 #: Tokens that are scored at once.
 BATCH = 200_000
 
@@ -82,6 +89,13 @@ def tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
+def _short(token: bytes) -> bytes:
+    """The token, or the start and 128 bits of a long one."""
+    if len(token) <= LONG:
+        return token
+    return token[: LONG - 15] + blake2b(token, digest_size=16).digest()
+
+
 def token_counts(train: DataFrame) -> DataFrame:
     """``token`` and ``n`` over all training texts."""
 
@@ -89,16 +103,20 @@ def token_counts(train: DataFrame) -> DataFrame:
         counts: Counter[bytes] = Counter()
 
         def rows() -> pa.RecordBatch:
-            found, n = list(counts.keys()), list(counts.values())
+            found, n = [*map(_short, counts)], list(counts.values())
             columns = [pa.array(found, pa.binary()), pa.array(n, pa.int64())]
             return pa.RecordBatch.from_arrays(columns, ["token", "n"])
 
+        size = 0
         for batch in batches:
             for text in batch.column(0):
-                counts.update(tokens(text.as_py()))
-            if len(counts) > HELD:
+                text = text.as_py()
+                counts.update(tokens(text))
+                size += len(text)
+            if len(counts) > HELD or size > BYTES:
                 yield rows()
                 counts.clear()
+                size = 0
         yield rows()
 
     found = train.select("text").mapInArrow(counted, "token binary, n long")
@@ -124,14 +142,18 @@ def _most_frequent(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarra
 
 
 def _numbers(known: dict[bytes, int], words: list[bytes]) -> np.ndarray:
-    return np.fromiter((known.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+    numbers = np.fromiter((known.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+    for n in np.flatnonzero(numbers < 0).tolist():
+        if len(words[n]) > LONG:
+            numbers[n] = known.get(_short(words[n]), -1)
+    return numbers
 
 
 def _ids(numbers: np.ndarray, words: list[bytes]) -> np.ndarray:
     """The numbers of known tokens; the hashes of others, which are negative."""
     ids = numbers.copy()
     other = np.flatnonzero(numbers < 0)
-    hashes = (xxhash.xxh64_intdigest(words[n], 42) | SIGN for n in other.tolist())
+    hashes = (xxhash.xxh64_intdigest(_short(words[n]), 42) | SIGN for n in other.tolist())
     ids[other] = np.fromiter(hashes, dtype=np.uint64, count=len(other)).view(np.int64)
     return ids
 
@@ -482,7 +504,10 @@ def _parts(docs: DataFrame, model: dict, total: float) -> DataFrame:
             h, w = history[both], numbers[both]
             p = (values[level] - DISCOUNT) / counts[h] + left[h] * probability[w]
             score[both] = np.log10(np.minimum(p, 1.0))
-            others = [Counter(t for t in text if t not in number) for text in texts]
+            rest = np.flatnonzero(~known)
+            cuts = np.searchsorted(rest, np.concatenate([[0], ends]))
+            rest = [_short(words[n]) for n in rest.tolist()]
+            others = [Counter(rest[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
             sums = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), base, score)]
             columns = [
                 pa.array(np.arange(row, row + len(texts))),

@@ -8,7 +8,7 @@ to the tasks; its size is fixed by ``DIMS`` and ``FACTORS``.  Every document is
 
 Defined cases: a null or empty text has no words and gets the score of its statistics; unlabelled
 rows and those with a null label are scored but not learned from; of several labels of one id,
-the smallest counts; repeated rows are scored each; with no labelled row, or labels of one kind
+the smallest counts; repeated rows are scored each and learned from once; with no labelled row, or labels of one kind
 only, all scores are the share of good labels (a half without any); an empty table gives an empty
 result; extra columns are ignored.
 """
@@ -179,7 +179,8 @@ def held_out() -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
-    """The machine fitted to at most ``sample`` labelled rows that are not held out."""
+    """The machine fitted to at most ``sample`` labelled rows that are not held out, one for each
+    id: of several the one whose text has the smallest hash."""
     marked = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out())
         .groupBy("doc_id")
@@ -196,17 +197,20 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
                 for n, kind in enumerate(_KINDS)
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *columns],
-                ["doc_id", "quality", "bins", "weights", "stats"],
+                [batch.column(0), batch.column(1), batch.column(3), *columns],
+                ["doc_id", "quality", "hash", "bins", "weights", "stats"],
             )
 
     text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
     sampled = docs.select(F.col("doc_id").cast("long"), text).join(F.broadcast(marked), "doc_id")
     kind = "bins binary, weights binary, stats binary"
     rows = (
-        sampled.select("doc_id", F.col("quality").cast("int"), "text")
-        .mapInArrow(featured, f"doc_id long, quality int, {kind}")
-        .orderBy("doc_id", "bins", "weights")
+        sampled.select("doc_id", F.col("quality").cast("int"), "text", F.xxhash64("text"))
+        .mapInArrow(featured, f"doc_id long, quality int, hash long, {kind}")
+        .groupBy("doc_id")
+        .agg(F.min(F.struct("hash", "quality", "bins", "weights", "stats")).alias("row"))
+        .select("doc_id", "row.*")
+        .orderBy("doc_id")
         .collect()
     )
     features = [

@@ -86,6 +86,26 @@ def test_bigrams_outside_the_filter_count(spark, monkeypatch, most, least):
     assert sum(math.isclose(got[i], want[i][4], rel_tol=1e-6) for i in want) >= 0.98 * len(want)
 
 
+@pytest.mark.parametrize("most", [lm.KNOWN, 5])
+def test_long_tokens_are_sent_shortened(spark, monkeypatch, most):
+    long = ["x" * 5000 + str(n) for n in range(4)]
+    texts = {i: " ".join([long[i % 4], "a", long[i % 3], "b " * (i % 5)]) for i in range(60)}
+    docs = documents(spark, [(i, t, "en", "s") for i, t in texts.items()])
+    sent, frequent = [], lm._most_frequent
+
+    def observed(counts, _):
+        sent.append(frequent(counts, most))
+        return sent[-1]
+
+    monkeypatch.setattr(lm, "_most_frequent", observed)
+    want = _brute(texts)
+    got = lm.score(docs).collect()
+    assert max(map(len, sent[0][0])) <= lm.LONG + 1
+    assert {r.doc_id: r.n_known for r in got} == {i: w[1] for i, w in want.items()}
+    assert all(math.isclose(r.base_score, want[r.doc_id][3], rel_tol=1e-9) for r in got)
+    assert sum(math.isclose(r.score, want[r.doc_id][4], rel_tol=1e-6) for r in got) >= 0.98 * len(got)
+
+
 def test_the_model_beats_its_base_on_held_out_texts(spark):
     _, docs = _corpus(spark, 400)
     held = [r for r in lm.score(docs).collect() if r.held_out]

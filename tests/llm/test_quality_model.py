@@ -72,6 +72,18 @@ def test_few_labels(spark, quality):
     assert len(scores) == 1
 
 
+def test_one_row_is_learned_from_for_each_id(spark, monkeypatch):
+    docs, labels = _corpus(spark)
+    learned = []
+    fit = q.fit
+    monkeypatch.setattr(q, "fit", lambda features, labels: learned.append(labels) or fit(features, labels))
+    one = next(r.doc_id for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 4 != q.HELD_OUT)
+    again = documents(spark, [(i, f"text {n}", "en", "s") for i in range(240) for n in range(5) if i == one])
+    q.learn(docs, labels)
+    q.learn(docs.unionByName(again), labels)
+    assert len(learned[0]) == len(learned[1])
+
+
 def test_edge_cases(spark):
     _, labels = _corpus(spark, 30)
     labels = labels.unionByName(labels)  # repeated labels
