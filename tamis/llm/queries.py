@@ -16,6 +16,7 @@ from tamis.llm import (
     pii,
     quality_model,
     quality_rules,
+    token_alignment,
     vector_join,
 )
 from tamis.llm.common import table
@@ -67,6 +68,13 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.collapse(table(spark, sf_dir, "conversations"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    vocabularies = path("byte_bpe_50k.json"), path("piece_bpe_32k.model")
+    return token_alignment.summary(table(spark, sf_dir, "documents"), *vocabularies)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -78,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_chat_format": op10_chat_format,
+    "op12_token_alignment": op12_token_alignment,
 }
