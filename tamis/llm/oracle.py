@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from tamis.llm import mixing, ngram_join, quality_rules, vector_join
 from tamis.llm.quality_rules import RULES
+from tamis.llm.substring_dedup import WINDOW
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -161,10 +162,46 @@ _CHAT = """WITH
     SELECT conv_id, n_turns, n_copies, rendered FROM whole JOIN texts USING (conv_id)
     WHERE h NOT IN (SELECT h FROM upto WHERE k < n_turns)"""
 
+_REPEATS = f"""WITH
+    split AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w
+        FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+    held AS (SELECT r, doc_id, unnest(list_transform(range(1, len(w) - {WINDOW - 2}),
+        lambda i: {{'i': i, 't': array_to_string(list_slice(w, i, i + {WINDOW - 1}), ' ')}})) AS h
+        FROM split WHERE len(w) >= {WINDOW}),
+    first AS (SELECT h.t AS t, min(doc_id) AS first FROM held GROUP BY ALL),
+    gone AS (SELECT DISTINCT r, unnest(range(h.i, h.i + {WINDOW})) AS i
+        FROM held JOIN first f ON h.t = f.t WHERE f.first < doc_id),
+    placed AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split),
+    kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM placed ANTI JOIN gone USING (r, i)
+        GROUP BY r),
+    counts AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+    SELECT doc_id, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+        sha256(coalesce(k.text, '')) AS kept_sha256
+    FROM split LEFT JOIN kept k USING (r) LEFT JOIN counts USING (r)"""
+
+_MINED = """WITH
+    rows AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+        list_inner_product(a.v, b.v)::BIGINT AS score
+        FROM rows a JOIN rows b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0),
+    positive AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+    ranked AS (SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+        row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank
+        FROM positive JOIN scored USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+    FROM ranked WHERE rank <= 3"""
+
 ORACLE: dict[str, str] = {
     "op1_mixing": _MIX,
     "op7_vector_join": _NEAR_VECTORS,
     "op8_ngram_join": _near_documents(ngram_join.Rule(words=4, percent=85)),
     "op9_quality_rules": _quality(),
     "op10_chat_format": _CHAT,
+    "op11_substring_dedup": _REPEATS,
+    "op13_hard_negatives": _MINED,
 }

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tamis.llm import (
     chat_format,
+    hard_negatives,
     html_text,
     lm_score,
     mixing,
@@ -16,6 +18,7 @@ from tamis.llm import (
     pii,
     quality_model,
     quality_rules,
+    substring_dedup,
     token_alignment,
     vector_join,
 )
@@ -68,6 +71,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.collapse(table(spark, sf_dir, "conversations"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.cleaned(table(spark, sf_dir, "documents")))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
@@ -75,6 +82,12 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.summary(table(spark, sf_dir, "documents"), *vocabularies)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -86,5 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_chat_format": op10_chat_format,
+    "op11_substring_dedup": op11_substring_dedup,
     "op12_token_alignment": op12_token_alignment,
+    "op13_hard_negatives": op13_hard_negatives,
 }
