@@ -22,7 +22,7 @@ from tamis.plans import jobs
 from tamis.plans.lake import Lake
 from tamis.session import build
 from tamis.sources.topics import ERROR_TOPIC, Topics, stream_topic
-from tamis.streaming.errors import error_totals, stream_error_records, stream_error_summary
+from tamis.streaming.errors import running_totals, stream_error_records, stream_error_totals
 
 QUERIES = Path(__file__).parent / "queries"
 
@@ -62,6 +62,9 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument(
         "--replace", metavar="RUN", help="replace this run by all that the topics hold now"
     )
+    ingest.add_argument(
+        "--once-within", metavar="TIME", help="land a message written again within it once, by its key"
+    )
     ingest.add_argument("topic", nargs="+")
 
     promote = command("promote", "new bronze runs to silver", topics=True)
@@ -82,6 +85,7 @@ def _parser() -> argparse.ArgumentParser:
     sql.add_argument("--sql", help="SQL file; default is the packaged query of the topic")
 
     publish = command("publish", "CSV rows to a topic", topics=True)
+    publish.add_argument("--ids", action="store_true", help="give each message an id as its key")
     publish.add_argument("file", nargs="+", metavar="PATH=TOPIC")
 
     errors = command("errors", "the error log from its start", topics=True)
@@ -117,6 +121,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
             _topics(args),
             Lake(args.lake),
             replace=args.replace,
+            once_within=args.once_within,
             error_topics=_topics(args),
         )
         return _failures(done)
@@ -138,7 +143,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
         return 0
     if args.command == "publish":
         files = dict(pair.rsplit("=", 1) for pair in args.file)
-        return _failures(jobs.publish_csv(spark, files, _topics(args)))
+        return _failures(jobs.publish_csv(spark, files, _topics(args), ids=args.ids))
     if args.command == "compact":
         return _failures(jobs.compact_topics(spark, args.topic, Lake(args.lake), hours=args.hours))
     if args.command == "gold":
@@ -159,8 +164,8 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
             log, args.checkpoint, sink=args.records, path=args.target, trigger=trigger
         ).awaitTermination()
         return 0
-    stream_error_summary(log, args.target, args.checkpoint, trigger=trigger).awaitTermination()
-    for row in error_totals(spark, args.target).orderBy("error_type").collect():  # one per type
+    stream_error_totals(log, args.target, args.checkpoint, trigger=trigger).awaitTermination()
+    for row in running_totals(spark, args.target).orderBy("error_type").collect():  # one per type
         print(row.error_type, row.records, sep="\t")
     return 0
 

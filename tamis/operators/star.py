@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamis.operators.joins import split_join
+
 
 @dataclass(frozen=True)
 class Dimension:
@@ -42,16 +44,18 @@ def star_total(
     total: str = "total",
     by: Sequence[str] = (),
     how: str = "left",
+    split_hot: bool = True,
 ) -> DataFrame:
     """``sum(measure)`` by fact columns ``by`` and the dimensions' attributes.
 
     Dimensions below ``spark.sql.autoBroadcastJoinThreshold`` are joined first: Spark
     broadcasts them, so the fact is summed up in place and only groups are shuffled.
     For larger dimensions the fact is then summed by their keys and what is known so
-    far, which shrinks a hot key to one row per task and combination; a key that
-    stays hot because its combinations are many is left to the skew handling of
-    Spark's sort-merge join.  Columns are numbered inside, so equal names in the
-    fact and the dimensions do no harm; equal names in the result are refused.
+    far, which shrinks a hot key to one row per task and combination.  Keys that stay hot
+    because their combinations are many are joined apart from the rest (``split_join``);
+    a table bucketed by the key is not shuffled, and then nothing is split.  Columns are
+    numbered inside, so equal names in the fact and the dimensions do no harm; equal
+    names in the result are refused.
     """
     result = [*by, *(name for d in dimensions for name in d.names), total]
     if twice := sorted({name for name in result if result.count(name) > 1}):
@@ -68,8 +72,13 @@ def star_total(
         d = dimensions[n]
         own = zip(d.attributes, attributes[n], strict=True)
         side = d.frame.select(F.col(d.key).alias("key"), *(F.col(x).alias(y) for x, y in own))
-        return rows.join(side, F.col(f"k{n}") == F.col("key"), how).drop("key", f"k{n}")
+        if n in large and split_hot:
+            both = split_join(rows, side, f"k{n}", "key", how, keys_of=keys.select(f"k{n}"))
+        else:
+            both = rows.join(side, F.col(f"k{n}") == F.col("key"), how)
+        return both.drop("key", f"k{n}")
 
+    keys = rows
     small = [n for n, d in enumerate(dimensions) if _is_small(d.frame)]
     large = [n for n in range(len(dimensions)) if n not in small]
     known = list(groups)

@@ -10,14 +10,17 @@ from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tamis.contracts import CONTRACTS, Contract
+from tamis.operators.identity import deduplicated, identified
 from tamis.operators.mapping import MAPPINGS, Rule, apply_mapping, mapping_for
 from tamis.operators.messages import rows_to_messages
 from tamis.operators.promote import promote
 from tamis.operators.sql import run_sql, sql_text
 from tamis.operators.validate import checked_table
 from tamis.plans.lake import BRONZE, OUTCOMES, SILVER, Lake
+from tamis.plans.outbox import Outbox
 from tamis.plans.warehouse import materialise
 from tamis.sources.files import (
     read_csv_infer,
@@ -28,6 +31,7 @@ from tamis.sources.files import (
 from tamis.sources.topics import (
     ERROR_TOPIC,
     Topics,
+    message_time,
     read_topic,
     spread,
     stream_topic,
@@ -62,17 +66,18 @@ def promote_topic(
     whose newest bronze version was not promoted yet, in one pass; the silver rows of
     other runs stay as they are, also where their bronze is gone.
     """
-    bronze = lake.live(spark, BRONZE, contract)
-    if run is not None:
-        bronze = {r: state for r, state in bronze.items() if r == run}
-    if not bronze:
+    bronze = lake.runs(spark, BRONZE, contract, run)
+    if bronze is None:
         return None
-    new = {r: state.version for r, state in bronze.items()}
-    if run is None:
-        silver = lake.live(spark, SILVER, contract)
-        new = {r: v for r, v in new.items() if r not in silver or silver[r].version < v}
-        if not new:
-            return dict.fromkeys(OUTCOMES[SILVER], 0)
+    # only what is promoted now comes to the driver, for its commit record
+    states = bronze.select("run", "version")
+    silver = lake.runs(spark, SILVER, contract) if run is None else None
+    if silver is not None:
+        done = silver.select("run", F.col("version").alias("done"))
+        states = states.join(done, "run", "left").where("done IS NULL OR done < version")
+    new = {r.run: r.version for r in states.collect()}
+    if not new:
+        return None if run is not None else dict.fromkeys(OUTCOMES[SILVER], 0)
     rows = lake.rows(spark, BRONZE, contract, new.keys(), keep=("run",))
     table = promote(rows, contract, mode=mode, keep=("run",))
     return lake.write_runs(table, SILVER, contract, new)
@@ -88,16 +93,14 @@ def publish_errors(
     run: str | None = None,
     error_topic: str = ERROR_TOPIC,
 ) -> None:
-    """Send the logged envelopes of a stage to the error topic, once per run.
+    """Send the logged envelopes of a stage to the error topic, once per version of a run.
 
-    Only the reject partitions of the stage table are read, the input is not
-    parsed again.  A run that was sent before is skipped, also if it was repeated
-    since; a crash between sending and noting it sends it again.
+    Of a run that was replaced since, only the envelopes are sent that its last published version
+    did not hold (see ``plans.outbox``).  Only the reject partitions of the stage table are read,
+    the input is not parsed again; a crash between sending and noting it sends again.
     """
-    runs = lake.unpublished(spark, stage, contract, run)
-    if runs:
-        write_topic(lake.errors(spark, stage, contract, runs), topics, error_topic)
-        lake.mark_published(spark, stage, contract, runs)
+    outbox = Outbox(lake, stage, contract)
+    outbox.publish(spark, lambda messages: write_topic(messages, topics, error_topic), run=run)
 
 
 def land_batch(
@@ -210,22 +213,29 @@ def ingest_topics(
     query: str = "ingest",
     error_topics: Topics | None = None,
     parallel: int = 4,
+    once_within: str | None = None,
 ) -> dict[str, Any]:
     """Ingest what is new in each topic; with ``error_topics`` also publish its envelopes.
 
     Offsets are kept in the lake's checkpoint of ``query``, so rows that a topic holds
     no longer stay in bronze.  ``replace`` names a run that is replaced by all that the
-    topic holds now instead.
+    topic holds now instead.  With ``once_within``, such as ``1 day``, a message that was
+    written again within that time lands once; the key of a message is its id then.
     """
 
     def job(contract: Contract) -> dict[str, int]:
         if replace is None:
             checkpoint = lake.checkpoint(query, contract.topic)
             messages = stream_topic(spark, topics, contract.topic)
+            if once_within is not None:
+                time = message_time(topics)
+                messages = deduplicated(messages, time=time, within=once_within)
             return ingest_increment(
                 messages, contract, lake, checkpoint, query=query, error_topics=error_topics
             )
         messages = spread(read_topic(spark, topics, contract.topic))
+        if once_within is not None:
+            messages = deduplicated(messages)
         counts = ingest(messages, contract, lake, run=replace)
         if error_topics is not None:
             publish_errors(spark, contract, lake, BRONZE, error_topics, run=replace)
@@ -302,14 +312,18 @@ def gold_table(
 
 
 def publish_csv(
-    spark: SparkSession, files: Mapping[str, str], topics: Topics
+    spark: SparkSession, files: Mapping[str, str], topics: Topics, *, ids: bool = False
 ) -> dict[str, Exception | None]:
-    """Send each file's rows to its topic.  A bad file is reported, the rest goes on."""
+    """Send each file's rows to its topic.  A bad file is reported, the rest goes on.
+
+    With ``ids`` a message's key is its id, the same whenever the file is sent again.
+    """
     outcome: dict[str, Exception | None] = {}
     for source, topic in files.items():
         try:
             rows = read_delimited_rows(spark, source)
-            write_topic(rows_to_messages(rows), topics, topic)
+            messages = rows_to_messages(rows)
+            write_topic(identified(messages, source) if ids else messages, topics, topic)
             outcome[source] = None
         except Exception as error:  # a bad file must not stop the others
             log.error("file %s failed: %s", source, error)

@@ -20,8 +20,6 @@ import time
 import uuid
 from collections.abc import Collection, Mapping
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -34,6 +32,8 @@ from tamis.sources import store
 
 BRONZE, SILVER = "bronze", "silver"
 OUTCOMES = {BRONZE: (OK, EXTRA_COLUMNS, MISSING_COLUMNS), SILVER: (OK, TYPE_CAST_ERROR)}
+#: Attempts that are named one by one, and runs whose names may be broadcast to their rows.
+FEW, BROADCAST_RUNS = 1_000, 2_000_000
 #: Outcomes whose rows hold the contract columns.
 ACCEPTED = {BRONZE: (OK, EXTRA_COLUMNS), SILVER: (OK,)}
 
@@ -62,6 +62,10 @@ class Lake:
         base = f"{self.root.rstrip('/')}/{stage}/{topic}"
         return base if attempt is None else f"{base}/attempt={attempt}"
 
+    @staticmethod
+    def now() -> int:
+        return _now()
+
     def checkpoint(self, query: str, topic: str) -> str:
         return f"{self.root.rstrip('/')}/checkpoints/{query}/{topic}"
 
@@ -116,9 +120,8 @@ class Lake:
         live = self.live(spark, stage, contract)
         attempts = len({state.attempt for state in live.values()})
         if attempts > 1:
-            table = self._read(spark, stage, contract, live).drop("attempt")
             versions = {run: state.version for run, state in live.items()}
-            rows = table.hint("rebalance", "outcome")
+            rows = self.table(spark, stage, contract).hint("rebalance", "outcome")
             self.write_runs(rows, stage, contract, versions, written=started)
         return attempts
 
@@ -145,40 +148,35 @@ class Lake:
 
     # --- reading --------------------------------------------------------------
 
-    def live(self, spark: SparkSession, stage: str, contract: Contract) -> dict[str, Live]:
-        """The newest committed version of each run; small, one entry per run."""
+    def runs(
+        self,
+        spark: SparkSession,
+        stage: str,
+        contract: Contract,
+        run: str | Collection[str] | None = None,
+    ) -> DataFrame | None:
+        """``run, version, written, attempt, of``: the newest committed version of each run, and
+        how many runs its attempt was committed with; None where nothing was written yet."""
         path = f"{self.path(stage, contract.topic)}/_commits"
         try:
-            records = spark.read.schema(_RECORD).json(path).collect()
+            records = spark.read.schema(_RECORD).json(path)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return {}
+                return None
             raise
-        found: dict[str, tuple[int, int, str, int]] = {}
-        for record in records:
-            for run, version in record.runs.items():
-                state = (version, record.written, record.attempt, len(record.runs))
-                found[run] = max(found.get(run, state), state)
-        return {run: Live(version, attempt, n) for run, (version, _, attempt, n) in found.items()}
-
-    def _read(
-        self, spark: SparkSession, stage: str, contract: Contract, live: Mapping[str, Live]
-    ) -> DataFrame:
-        fields = contract.bronze if stage == BRONZE else contract.silver
-        columns = ("envelope", "run", "attempt", "outcome")
-        schema = StructType([*fields.fields, *(StructField(c, StringType()) for c in columns)])
-        attempts: dict[str, list[str]] = {}
-        for run, state in live.items():
-            attempts.setdefault(state.attempt, []).append(run)
-        base = self.path(stage, contract.topic)
-        reader = spark.read.schema(schema).option("basePath", base)
-        rows = reader.parquet(*(self.path(stage, contract.topic, a) for a in attempts))
-        size = {state.attempt: state.runs for state in live.values()}
-        cut = {a: runs for a, runs in attempts.items() if len(runs) < size[a]}
-        if not cut:
-            return rows
-        of_live = [(F.col("attempt") == a) & F.col("run").isin(runs) for a, runs in cut.items()]
-        return rows.where(reduce(or_, of_live, ~F.col("attempt").isin(*cut)))
+        each = records.select(
+            "attempt", "written", F.size("runs").alias("of"), F.explode("runs").alias("run", "version")
+        )
+        if run is not None:
+            each = each.where(F.col("run").isin([run] if isinstance(run, str) else list(run)))
+        state = F.max(F.struct("version", "written", "attempt", "of")).alias("state")
+        return each.groupBy("run").agg(state).select("run", "state.*")
+
+    def live(self, spark: SparkSession, stage: str, contract: Contract) -> dict[str, Live]:
+        """The newest committed version of each run, for maintenance."""
+        runs = self.runs(spark, stage, contract)
+        found = [] if runs is None else runs.collect()
+        return {r.run: Live(r.version, r.attempt, r.of) for r in found}
 
     def table(
         self,
@@ -189,13 +187,30 @@ class Lake:
     ) -> DataFrame | None:
         """A stage table of a topic, or None where nothing was written yet.
 
-        ``run`` is one run or several, as a rule all.
+        ``run`` is one run or several, as a rule all.  The attempts' folders are a partition
+        filter; of more than ``FEW`` attempts their names are joined, which prunes folders when it
+        runs.  Where an attempt holds runs that are not wanted, the rows' own run is joined, too.
         """
-        live = self.live(spark, stage, contract)
-        if run is not None:
-            wanted = {run} if isinstance(run, str) else set(run)
-            live = {r: state for r, state in live.items() if r in wanted}
-        return self._read(spark, stage, contract, live).drop("attempt") if live else None
+        runs = self.runs(spark, stage, contract, run)
+        if runs is None:
+            return None
+        held = runs.groupBy("attempt").agg(F.count("*").alias("live"), F.first("of").alias("of"))
+        found = held.limit(FEW + 1).collect()
+        if not found:
+            return None
+        fields = contract.bronze if stage == BRONZE else contract.silver
+        columns = ("envelope", "run", "attempt", "outcome")
+        schema = StructType([*fields.fields, *(StructField(c, StringType()) for c in columns)])
+        rows = spark.read.schema(schema).parquet(self.path(stage, contract.topic))
+        if len(found) <= FEW:
+            rows = rows.where(F.col("attempt").isin([r.attempt for r in found]))
+            if all(r.live == r.of for r in found):
+                return rows.drop("attempt")
+        # folders are pruned by a join only if its other side is filtered
+        wanted = runs.select("attempt", "run").where(F.length("attempt") > 0)
+        if runs.count() <= BROADCAST_RUNS:
+            wanted = F.broadcast(wanted)
+        return rows.join(wanted, ["attempt", "run"], "left_semi").drop("attempt")
 
     def rows(
         self,
@@ -226,22 +241,3 @@ class Lake:
         return table.where(F.col("outcome") != OK).select(
             F.lit(None).cast("string").alias("key"), F.col("envelope").alias("value")
         )
-
-    # --- what has been published ----------------------------------------------
-
-    def _published(self, stage: str, contract: Contract) -> str:
-        return f"{self.path(stage, contract.topic)}/_published"
-
-    def unpublished(
-        self, spark: SparkSession, stage: str, contract: Contract, run: str | None = None
-    ) -> list[str]:
-        """Live runs whose envelopes were not sent yet."""
-        sent = store.names(spark, self._published(stage, contract))
-        live = self.live(spark, stage, contract)
-        return sorted(r for r in live if r not in sent and run in (None, r))
-
-    def mark_published(
-        self, spark: SparkSession, stage: str, contract: Contract, runs: Collection[str]
-    ) -> None:
-        for run in runs:
-            store.put(spark, f"{self._published(stage, contract)}/{run}")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,7 @@ from tamis.sources.records import (
     delimited_records,
     fold_splits,
     header_names,
+    small,
 )
 
 _RAW = "_corrupt_record"
@@ -78,58 +82,56 @@ def read_delimited_rows(
         return _plain_rows(spark, path, _Layout(names), blanks=True)
     splits = fold_splits(spark, path)
     first = splits.where("split = 0")
-    found = first.select("header").distinct().limit(_LAYOUTS + 1).collect()  # few, not per file
-    if len(found) > _LAYOUTS:
-        raise ValueError(f"more than {_LAYOUTS} different headers below {path}")
-    if any(row.header is None for row in found):
+    least, most, lacking = first.agg(
+        F.min("header"), F.max("header"), F.bool_or(F.col("header").isNull())
+    ).first()
+    if lacking:
         raise UnclosedQuote(f"a header below {path} does not end in its first split")
-    layouts = [_Layout(header_names(header)) for header in sorted(row.header for row in found)]
+    if least is None:
+        return spark.createDataFrame([], "value string")
     broken, blanks = splits.agg(F.bool_or("broken"), F.bool_or("blank")).first()
-    if len(layouts) == 1 and not broken:
-        return _plain_rows(spark, path, layouts[0], blanks=bool(blanks))
+    layout = _Layout(header_names(least)) if least == most else None
+    if layout and not broken:
+        return _plain_rows(spark, path, layout, blanks=bool(blanks))
     records = delimited_records(spark, path, splits)
-    if len(layouts) > 1:
-        records = records.join(first.select("file", "header"), "file")
-    every = list(dict.fromkeys(name for layout in layouts for name in layout.names))
-    rows = None
-    for layout, header in zip(layouts, sorted(row.header for row in found)):
-        own = records.where(F.col("header") == header) if len(layouts) > 1 else records
-        part = _record_rows(own, layout, every)
-        rows = part if rows is None else rows.unionByName(part)
-    return rows if rows is not None else spark.createDataFrame([], "value string")
+    if layout:
+        return _record_rows(records, layout, layout.names)
+    return _rows_by_header(records, first)
+
+
+def _schema(width: int) -> str:
+    return ", ".join(f"c{i} string" for i in range(width)) + f", {_RAW} string"
+
 
+def _cells(width: int) -> list[Column]:
+    """The cells of a row that was parsed by ``_schema``; those it does not have are null."""
+    # Only rows with too few or too many cells carry their raw text.
+    raw = F.col(_RAW)
+    bare = F.regexp_replace(raw, rf'(^|,){QUOTED}"', "$1")
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(",")))
+    return [F.when(raw.isNull() | (commas >= i), F.coalesce(f"c{i}", F.lit(""))) for i in range(width)]
 
-#: Different headers that the files of one read may have.
-_LAYOUTS = 100
+
+def _named(cells: list[str]) -> list[str]:
+    return [cell or f"_c{i}" for i, cell in enumerate(cells)]
 
 
 class _Layout:
     """The cells of a header: their names in order, and the place that counts for each."""
 
     def __init__(self, cells: list[str]):
-        cells = [cell or f"_c{i}" for i, cell in enumerate(cells)]
+        cells = _named(cells)
         self.width = len(cells)
         self.place = {name: i for i, name in enumerate(cells)}  # the last one of a name
         self.names = list(self.place)
 
     @property
     def schema(self) -> str:
-        return ", ".join(f"c{i} string" for i in range(self.width)) + f", {_RAW} string"
+        return _schema(self.width)
 
     def cells(self, names: list[str]) -> list[Column]:
-        # Only rows with too few or too many cells carry their raw text.
-        raw = F.col(_RAW)
-        bare = F.regexp_replace(raw, rf'(^|,){QUOTED}"', "$1")
-        commas = F.length(bare) - F.length(F.replace(bare, F.lit(",")))
-
-        def cell(name: str) -> Column:
-            if name not in self.place:
-                return F.lit(None).cast("string").alias(name)
-            i = self.place[name]
-            present = raw.isNull() | (commas >= i)
-            return F.when(present, F.coalesce(f"c{i}", F.lit(""))).alias(name)
-
-        return [cell(name) for name in names]
+        cells = _cells(self.width)
+        return [cells[self.place[name]].alias(name) for name in names]
 
     def blank_cells(self, names: list[str], text: Column) -> list[Column]:
         """An empty line has no cells, a blank one is its own first cell."""
@@ -155,3 +157,39 @@ def _record_rows(records: DataFrame, layout: _Layout, names: list[str]) -> DataF
     cells = zip(names, layout.cells(names), layout.blank_cells(names, record))
     blank = record.rlike(BLANK)
     return rows.select(*(F.when(blank, b).otherwise(c).alias(name) for name, c, b in cells))
+
+
+def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = [_named(header_names(header)) for header in batch.column(1).to_pylist()]
+        columns = [*batch.columns, pa.array(names, pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(columns, ["file", "header", "names"])
+
+
+def _rows_by_header(records: DataFrame, first: DataFrame) -> DataFrame:
+    """Records of files with any number of different headers, parsed in one scan.
+
+    Records are parsed as wide as the widest header; each cell is then looked up at the place
+    that its name has last in the header of the record's own file.
+    """
+    schema = "file string, header string, names array<string>"
+    headers = first.select("file", "header").mapInArrow(_headers, schema)
+    width = headers.agg(F.max(F.size("names"))).first()[0]
+    each = headers.select("header", F.posexplode("names").alias("place", "name"))
+    named = each.groupBy("name").agg(F.min(F.struct("header", "place")).alias("at"))
+    every = [r.name for r in named.orderBy("at").collect()]  # the columns of the result
+    own = headers.select("file", "names")
+    rows = records.join(small(own), "file")
+    parsed = F.from_csv(F.col("record"), _schema(width), _OPTIONS)
+    rows = rows.select("record", "names", F.inline(F.array(parsed)))
+    rows = rows.select("record", "names", F.array(*_cells(width)).alias("cells"))
+    blank = F.col("record").rlike(BLANK)
+
+    def cell(name: str) -> Column:
+        back = F.array_position(F.reverse("names"), name)
+        place = F.when(back > 0, F.size("names") - back).cast("int")  # from 0; null if absent
+        # an empty line has no cells, a blank one is its own first cell
+        of_blank = F.when((place == 0) & (F.col("record") != ""), F.col("record"))
+        return F.when(blank, of_blank).otherwise(F.get("cells", place)).alias(name)
+
+    return rows.select(*map(cell, every))

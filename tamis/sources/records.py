@@ -211,7 +211,7 @@ def delimited_records(spark: SparkSession, path: str, splits: DataFrame) -> Data
     if broken := ends.where("after = 1").limit(5).collect():
         raise UnclosedQuote("unclosed quote in " + ", ".join(sorted(r.file for r in broken)))
     known = chained.select("file", "split", "start", "owner")
-    lines = _lines(spark, path).join(_sized(known), ["file", "split"])
+    lines = _with_states(_lines(spark, path), known)
     kind = "file string, split long, owner long, record string"
     target = scratch(spark, "records")  # read twice, put together once
     columns = ("file", "split", "line", "outside", "inside", "start", "owner")
@@ -227,13 +227,22 @@ def delimited_records(spark: SparkSession, path: str, splits: DataFrame) -> Data
     return whole.select("file", "record").unionByName(crossing.select("file", "record"))
 
 
-#: Splits whose states may be broadcast.
+#: Splits or files whose states or headers may be broadcast.
 _SMALL = 200_000
 
 
-def _sized(splits: DataFrame) -> DataFrame:
-    """A sort-merge join would tear the lines of a split apart, so the states of up to ``_SMALL``
-    splits are broadcast; more need larger ``spark.sql.files.maxPartitionBytes``."""
-    if splits.count() > _SMALL:
-        raise ValueError(f"more than {_SMALL} splits; raise spark.sql.files.maxPartitionBytes")
-    return F.broadcast(splits)
+def small(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= _SMALL else rows
+
+
+def _with_states(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """The lines with their split's state, those of a split together and in order.
+
+    The states of up to ``_SMALL`` splits are broadcast and the lines stay where they are; with
+    more, lines are dealt by split and put in order again.
+    """
+    place = ["file", "split"]
+    if splits.count() <= _SMALL:
+        return lines.join(F.broadcast(splits), place)
+    numbered = lines.withColumn("number", F.monotonically_increasing_id())  # rises in a split
+    return numbered.join(splits, place).repartition(*place).sortWithinPartitions(*place, "number")

@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 MESSAGE_SCHEMA = StructType(
@@ -95,6 +96,11 @@ def stream_topic(spark: SparkSession, topics: Topics, topic: str) -> DataFrame:
     )
 
 
+def message_time(topics: Topics) -> Column:
+    """When a message of a stream was written: Kafka's timestamp, or that of its file."""
+    return F.col("timestamp" if topics.format == "kafka" else "_metadata.file_modification_time")
+
+
 def write_topic(messages: DataFrame, topics: Topics, topic: str) -> None:
     """Append ``key, value`` messages to a topic.  An empty frame publishes nothing."""
     if topics.format != "kafka":

@@ -5,8 +5,10 @@ Tables hold each batch exactly once; envelopes reach an error topic at least onc
 
 from tamis.streaming.errors import (
     error_totals,
+    running_totals,
     stream_error_records,
     stream_error_summary,
+    stream_error_totals,
 )
 from tamis.streaming.ingest import ingest_stream, medallion_stream
 
@@ -14,6 +16,8 @@ __all__ = [
     "error_totals",
     "ingest_stream",
     "medallion_stream",
+    "running_totals",
     "stream_error_records",
     "stream_error_summary",
+    "stream_error_totals",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import StringType
 
 from workload.messages import AFFILIATES, DECLARATIONS, EVENTS, INSURED, Feed
-from workload.queries import NUMBER_TEXT
+from workload.queries import DECLARED, NUMBER_TEXT, VERSIONS
 
 _DUCK_TYPES = {"int": "INTEGER", "float": "FLOAT"}
 
@@ -124,6 +124,23 @@ def _topic_counts(feed: Feed) -> str:
     count(*) AS messages FROM (WITH {_checked(feed)} SELECT outcome FROM checked) GROUP BY ALL"""
 
 
+_VERSION_COUNTS = ", ".join(f"{text} AS n{i}" for i, text in enumerate(VERSIONS))
+
+# What each version holds more often than the one before it.
+_REPLACED_ERRORS = f"""WITH {_checked(EVENTS)}, {_cast(EVENTS)},
+    log AS (SELECT key, {_envelope(EVENTS, "msg", "outcome")} AS value FROM checked WHERE outcome <> 'ok'
+            UNION ALL
+            SELECT CAST(event_id AS BIGINT), {_envelope(EVENTS, _ROW_JSON, "'type_cast_error'")}
+            FROM casted WHERE failed),
+    sent AS (SELECT value, n0 + greatest(n1 - n0, 0) + greatest(n2 - n1, 0) AS n
+        FROM log JOIN (SELECT event_id AS id, {_VERSION_COUNTS} FROM events) ON key = id)
+    SELECT value AS json_string FROM (SELECT value, unnest(range(n)) FROM sent)"""
+
+_LANDED = f"SELECT {', '.join(EVENTS.contract.names)} FROM checked WHERE outcome <> 'missing_columns'"
+
+# Every seventh event is sent as two equal messages.
+_RESENT = f"WITH {_checked(EVENTS)} {_LANDED} UNION ALL {_LANDED} AND key % 7 = 0"
+
 ORACLE = {
     "topic_decode": f"SELECT {EVENTS.key} AS key, {EVENTS.sql} AS json_string FROM events",
     "contract_status": _status(EVENTS),
@@ -197,4 +214,29 @@ ORACLE = {
         FROM ({_ORDERS_FACT}) LEFT JOIN ({_PERIODS}) ON IDPeriode = idperiod
         LEFT JOIN customer ON NumAff = c_custkey GROUP BY ALL""",
     "gold_table": _SQL_YEAR_TOTAL,
+    "error_topic_replaced": _REPLACED_ERRORS,
+    "star_hot_total": """SELECT o_orderkey % 1000 AS Lot, c_mktsegment, round(sum(o_totalprice), 2) AS total
+        FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderkey % 31 = 0 THEN NULL
+                        ELSE o_custkey END AS aff FROM orders)
+        LEFT JOIN customer ON aff = c_custkey GROUP BY ALL""",
+    "star_bucketed_total": """SELECT c_mktsegment, c_nationkey, round(sum(o_totalprice), 2) AS total
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY ALL""",
+    "gold_increment": f"""WITH {_checked(DECLARATIONS)}, {_cast(DECLARATIONS)},
+        fact AS (SELECT substring(CAST(IDPeriode AS VARCHAR), 1, 4) AS Year, ID,
+            abs(CAST(MontantDeclaration AS DOUBLE)) AS amount
+            FROM silver WHERE ID % 2 = 0 OR ID % 4 = 1)
+        SELECT Year, round(sum(amount), 2) AS TotalDeclaration, count(ID) AS Declarations,
+            round(max(amount), 2) AS Largest FROM fact GROUP BY Year""",
+    "stream_error_running": _ERROR_COUNTS,
+    "topic_resent_batch": _RESENT,
+    "topic_resent_stream": _RESENT,
+    "declarations_ranked": """SELECT amount, min(place) AS first, max(place) AS last, count(*) AS rows
+        FROM (SELECT CAST(floor(o_totalprice / 1000) AS BIGINT) AS amount,
+                     row_number() OVER (ORDER BY floor(o_totalprice / 1000) DESC) AS place FROM orders)
+        GROUP BY amount""",
+    "sql_year_total_ordered": f"""SELECT *, row_number() OVER (ORDER BY Year) AS position
+        FROM ({_SQL_YEAR_TOTAL})""",
+    "sql_windows_and_sets": f"WITH FactDeclaration AS ({_ORDERS_FACT}) {DECLARED.read_text()}",
+    "csv_many_headers": """SELECT CAST(c_custkey AS VARCHAR) AS key, c_name || chr(10) AS name,
+        'own' || c_custkey % 125 AS own, CAST(c_custkey % 125 AS VARCHAR) AS number FROM customer""",
 }

@@ -13,8 +13,11 @@ from tamis.contracts import CONTRACTS, Contracts
 from tamis.functions.casts import cast_compat
 from tamis.functions.json import EXTRA_COLUMNS, MISSING_COLUMNS, OK
 from tamis.operators.envelope import summarise_errors
+from tamis.operators.identity import deduplicated, identified, repeated
+from tamis.operators.joins import split_join
 from tamis.operators.mapping import apply_mapping, mapping_for
 from tamis.operators.messages import decode_messages, rows_to_messages
+from tamis.operators.position import numbered, ranked
 from tamis.operators.promote import cast_errors, promoted_rows
 from tamis.operators.sql import run_sql_file
 from tamis.operators.star import Dimension, period_dimension_of, star_total
@@ -24,15 +27,18 @@ from tamis.operators.validate import (
     missing_flags,
     validate,
 )
+from tamis.plans.bucketed import write_bucketed
 from tamis.plans.jobs import (
     compact_topics,
     ingest,
     ingest_topics,
+    map_csv_sql,
     promote_topic,
     publish_errors,
 )
 from tamis.plans.lake import BRONZE, SILVER, Lake
 from tamis.plans.medallion import medallion_errors, medallion_total
+from tamis.plans.totals import Totals, refresh_totals
 from tamis.plans.warehouse import materialise
 from tamis.session import scratch
 from tamis.sources import store
@@ -47,10 +53,16 @@ from tamis.streaming import (
     error_totals,
     ingest_stream,
     medallion_stream,
+    running_totals,
     stream_error_summary,
+    stream_error_totals,
 )
 from workload.messages import AFFILIATES, DECLARATIONS, EVENTS, INSURED, Feed
 
+DECLARED = Path(__file__).parent / "declarations.sql"
+DECLARED_SCHEMA = (
+    "Year string, NumImm string, level int, declared double, running double, change double, place int"
+)
 YEAR_TOTAL = Path(__file__).parents[1] / "tamis" / "queries" / "FactDeclaration.sql"
 
 
@@ -247,6 +259,58 @@ def error_topic(spark, sf_dir):
     return decode_messages(read_topic(spark, _publish_all_errors(spark, sf_dir), ERROR_TOPIC))
 
 
+def _weights(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """Each event's message as often as a SQL expression of its key says."""
+    messages = EVENTS.read(spark, sf_dir).withColumn("times", F.expr(text).cast("long"))
+    return repeated(messages, "times").drop("copy")
+
+
+#: How often an event is in each of three versions of a run, by its key.
+VERSIONS = (
+    "CAST(event_id % 2 = 0 AS INT) + CAST(event_id % 4 = 0 AS INT)",
+    "CAST(event_id % 3 <> 0 AS INT) + 2 * CAST(event_id % 5 = 0 AS INT)",
+    "CAST(event_id % 3 <> 0 AS INT) + CAST(event_id % 8 = 0 AS INT)",
+)
+
+
+def error_topic_replaced(spark, sf_dir):
+    """A run that is replaced twice by other messages; each version sends what the last had not."""
+    lake, topics = _lake(spark), Topics(scratch(spark, "topics"), "parquet")
+    for text in VERSIONS:
+        messages = _weights(spark, sf_dir, text.replace("event_id", "key"))
+        ingest(messages, EVENTS.contract, lake, run="daily")
+        promote_topic(spark, EVENTS.contract, lake, run="daily")
+        for stage in (BRONZE, SILVER, BRONZE):
+            publish_errors(spark, EVENTS.contract, lake, stage, topics)
+    return decode_messages(read_topic(spark, topics, ERROR_TOPIC))
+
+
+def _resent(spark: SparkSession, sf_dir: str) -> Topics:
+    """The events with ids, a part of them written again, as after a writer's second try."""
+    topics, topic = Topics(scratch(spark, "topics"), "parquet"), EVENTS.contract.topic
+    messages = _weights(spark, sf_dir, "1 + CAST(key % 7 = 0 AS INT)").select("value")
+    for part in ("true", "crc32(value) % 3 = 0"):
+        written = identified(messages, "events").where(part)
+        write_topic(written, topics, topic)
+    return topics
+
+
+def topic_resent_batch(spark, sf_dir):
+    """Equal messages are different ones; a message written twice is one."""
+    messages = deduplicated(read_topic(spark, _resent(spark, sf_dir), EVENTS.contract.topic))
+    return conforming_rows(messages, EVENTS.contract)
+
+
+def topic_resent_stream(spark, sf_dir):
+    lake, topic = _lake(spark), EVENTS.contract.topic
+    topics = _resent(spark, sf_dir)
+    for _ in range(2):  # the second time finds nothing new
+        ingest_topics(spark, [topic], topics, lake, contracts=_contracts(), once_within="1 day")
+        write_topic(read_topic(spark, topics, topic).where("crc32(value) % 5 = 0"), topics, topic)
+        ingest_topics(spark, [topic], topics, lake, contracts=_contracts(), once_within="1 day")
+    return lake.rows(spark, BRONZE, EVENTS.contract)
+
+
 # --- files -------------------------------------------------------------------
 
 
@@ -286,6 +350,32 @@ def csv_multiline_to_messages(spark, sf_dir):
     return rows_to_messages(read_delimited_rows(spark, path)).select("value")
 
 
+def csv_many_headers(spark, sf_dir):
+    """Files with a header each, of which no two are alike."""
+    customer = _table(spark, sf_dir, "customer")
+    part = (F.col("c_custkey") % 125).cast("int")
+    swapped = F.col("part") % 2 == 1
+    records = customer.select(
+        part.alias("part"),
+        F.col("c_custkey").alias("place"),
+        F.col("c_custkey").cast("string").alias("key"),
+        F.concat(F.lit('"'), "c_name", F.lit('\n"')).alias("name"),
+    )
+    headers = records.select("part").distinct().select(
+        "part", F.lit(-1).cast("long").alias("place"), F.lit("key").alias("key"), F.lit("name").alias("name")
+    )
+    own = F.when(F.col("place") < 0, F.concat(F.lit("own"), "part")).otherwise(F.col("part").cast("string"))
+    cells = [F.when(swapped, F.col("name")).otherwise(F.col("key")), own, F.when(swapped, F.col("key")).otherwise(F.col("name"))]
+    path = scratch(spark, "headers-csv")
+    texts = records.unionByName(headers).withColumn("value", F.concat_ws(",", *cells))
+    texts = texts.repartition(8, "part").sortWithinPartitions("part", "place")
+    texts.select("part", "value").write.partitionBy("part").text(path)
+    messages = rows_to_messages(read_delimited_rows(spark, path))
+    cells = messages.select(F.from_json("value", "map<string, string>").alias("cells"))
+    own = F.explode(F.map_filter("cells", lambda name, _: name.startswith("own"))).alias("own", "number")
+    return cells.select(F.col("cells")["key"].alias("key"), F.col("cells")["name"].alias("name"), own)
+
+
 def csv_strings(spark, sf_dir):
     """Strings in, CSV without header out, read back under the known names."""
     rows = read_csv_strings(spark, _customer_csv(spark, sf_dir))
@@ -334,6 +424,30 @@ def sql_year_total(spark, sf_dir):
     return _year_total(run_sql_file(spark, {"FactDeclaration": fact}, YEAR_TOTAL))
 
 
+def sql_windows_and_sets(spark, sf_dir):
+    """A statement with window frames and grouping sets, through the SQL-file job."""
+    source, target = scratch(spark, "fact-csv"), scratch(spark, "sql-csv")
+    write_csv(_orders_as_fact(spark, sf_dir), source, header=True)
+    map_csv_sql(spark, "FactDeclaration", source, DECLARED, target)
+    return spark.read.schema(DECLARED_SCHEMA).option("header", True).csv(target)
+
+
+def sql_year_total_ordered(spark, sf_dir):
+    """The yearly total with each row's position in the statement's order."""
+    fact = _orders_as_fact(spark, sf_dir)
+    return numbered(_year_total(run_sql_file(spark, {"FactDeclaration": fact}, YEAR_TOTAL)))
+
+
+def declarations_ranked(spark, sf_dir):
+    """All declarations by falling amount, rounded so that many tie."""
+    fact = _orders_as_fact(spark, sf_dir).select("ID", F.floor(F.col("MontantDeclaration") / 1000).alias("amount"))
+    # ties are in any order, so the position of a tie's first row is shown
+    placed = ranked(fact, F.desc("amount"))
+    return placed.groupBy("amount").agg(
+        F.min("position").alias("first"), F.max("position").alias("last"), F.count_distinct("position").alias("rows")
+    )
+
+
 # --- whole chains ------------------------------------------------------------
 
 
@@ -393,6 +507,18 @@ def stream_error_tail(spark, sf_dir):
     return error_totals(spark, target)
 
 
+def stream_error_running(spark, sf_dir):
+    """Running totals of an error topic that grows between two runs of the stream."""
+    log = read_topic(spark, _publish_all_errors(spark, sf_dir), ERROR_TOPIC)
+    topics, target = Topics(scratch(spark, "topics"), "parquet"), scratch(spark, "error-totals")
+    checkpoint = scratch(spark, "checkpoint")
+    for n in range(3):
+        write_topic(log.where(F.pmod(F.xxhash64("value"), F.lit(3)) == n), topics, ERROR_TOPIC)
+        messages = stream_topic(spark, topics, ERROR_TOPIC)
+        stream_error_totals(messages, target, checkpoint).awaitTermination()
+    return running_totals(spark, target)
+
+
 # --- star schema -------------------------------------------------------------
 
 
@@ -454,6 +580,59 @@ def star_status_total(spark, sf_dir):
     return total.select("PeriodStatus", "AffiliateStatus", _cents("total"))
 
 
+def star_hot_total(spark, sf_dir):
+    """A third of the fact has one key of a large dimension, and many combinations."""
+    fact = _orders_as_fact(spark, sf_dir).select(
+        F.expr("CASE WHEN ID % 3 = 0 THEN 1 WHEN ID % 31 = 0 THEN NULL ELSE NumAff END").alias("NumAff"),
+        (F.col("ID") % 1000).alias("Lot"),
+        F.col("MontantDeclaration").alias("amount"),
+    )
+    lots = fact.groupBy("NumAff", "Lot").agg(F.sum("amount").alias("amount"))
+    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    joined = split_join(lots, customer, "NumAff", "c_custkey", keys_of=fact.select("NumAff"))
+    return joined.groupBy("Lot", "c_mktsegment").agg(F.round(F.sum("amount"), 2).alias("total"))
+
+
+def star_bucketed_total(spark, sf_dir):
+    """Fact and dimension written once, dealt by the key; the totals don't shuffle the fact."""
+    path = scratch(spark, "buckets")
+    fact = write_bucketed(
+        _orders_as_fact(spark, sf_dir), "tamis_fact", "NumAff", 8, path=f"{path}/fact"
+    )
+    customer = write_bucketed(
+        _table(spark, sf_dir, "customer"), "tamis_affiliate", "c_custkey", 8, path=f"{path}/affiliate"
+    )
+    total = star_total(
+        fact, "MontantDeclaration", [Dimension(customer, "NumAff", "c_custkey", ["c_mktsegment", "c_nationkey"])]
+    )
+    return total.select("c_mktsegment", "c_nationkey", _cents("total"))
+
+
+#: Merging totals by year: what a refresh adds up.
+YEARS = Totals(
+    {"Year": "substring(IDPeriode, 1, 4)"},
+    {
+        "TotalDeclaration": ("sum", "MontantDeclaration"),
+        "Declarations": ("count", "ID"),
+        "Largest": ("max", "MontantDeclaration"),
+    },
+    mapping_for("FactDeclaration"),
+)
+
+
+def gold_increment(spark, sf_dir):
+    """Totals refreshed after an appended run, a replaced one, and one whose rows are all rejected."""
+    lake, path = _lake(spark), scratch(spark, "totals")
+    messages, topic = DECLARATIONS.read(spark, sf_dir), DECLARATIONS.contract
+    steps = [("a", "key % 4 = 0"), ("b", "key % 4 = 1"), ("a", "key % 2 = 0"), ("c", "key % 10 = 0")]
+    spark.sql("DROP TABLE IF EXISTS tamis_years")
+    for run, part in steps:
+        ingest(messages.where(part), topic, lake, run=run)
+        promote_topic(spark, topic, lake)
+        totals = refresh_totals(spark, topic, lake, YEARS, "tamis_years", path=path)
+    return totals.select("Year", _cents("TotalDeclaration"), "Declarations", _cents("Largest"))
+
+
 def gold_table(spark, sf_dir):
     path = scratch(spark, "gold")
     for _ in range(2):  # the second time replaces the rows
@@ -505,4 +684,15 @@ QUERIES = {
     "star_period_total": star_period_total,
     "star_status_total": star_status_total,
     "gold_table": gold_table,
+    "error_topic_replaced": error_topic_replaced,
+    "star_hot_total": star_hot_total,
+    "star_bucketed_total": star_bucketed_total,
+    "gold_increment": gold_increment,
+    "stream_error_running": stream_error_running,
+    "topic_resent_batch": topic_resent_batch,
+    "topic_resent_stream": topic_resent_stream,
+    "declarations_ranked": declarations_ranked,
+    "sql_year_total_ordered": sql_year_total_ordered,
+    "sql_windows_and_sets": sql_windows_and_sets,
+    "csv_many_headers": csv_many_headers,
 }
