@@ -38,14 +38,16 @@ FEW, BROADCAST_RUNS = 1_000, 2_000_000
 ACCEPTED = {BRONZE: (OK, EXTRA_COLUMNS), SILVER: (OK,)}
 
 _RUN = re.compile(r"[A-Za-z0-9._-]+")
-_RECORD = "attempt string, written long, runs map<string, long>"
+_RECORD = "attempt string, written long, runs map<string, long>, made map<string, long>"
 
 
 @dataclass(frozen=True)
 class Live:
-    """The committed state of a run: its version, the attempt that holds it, and with how many."""
+    """The committed state of a run: its version, when its rows were made, and the attempt that
+    holds it, with how many runs."""
 
     version: int
+    made: int
     attempt: str
     runs: int
 
@@ -83,10 +85,12 @@ class Lake:
         runs: Mapping[str, int | None],
         *,
         written: int | None = None,
+        made: Mapping[str, int] | None = None,
     ) -> dict[str, int]:
         """Replace the given runs; ``table`` has a ``run`` column.
 
         ``runs`` says which version of each run the rows stand for; None is a new one.
+        ``made`` says since when these rows have been the run's, if that is not now.
         """
         for run in runs:
             if not _RUN.fullmatch(run):
@@ -105,6 +109,7 @@ class Lake:
             "attempt": attempt,
             "written": done if written is None else written,
             "runs": {run: done if version is None else version for run, version in runs.items()},
+            "made": dict(made or dict.fromkeys(runs, done)),
         }
         commits = f"{self.path(stage, contract.topic)}/_commits"
         store.put(table.sparkSession, f"{commits}/{attempt}.json", json.dumps(record))
@@ -122,7 +127,8 @@ class Lake:
         if attempts > 1:
             versions = {run: state.version for run, state in live.items()}
             rows = self.table(spark, stage, contract).hint("rebalance", "outcome")
-            self.write_runs(rows, stage, contract, versions, written=started)
+            made = {run: state.made for run, state in live.items()}
+            self.write_runs(rows, stage, contract, versions, written=started, made=made)
         return attempts
 
     def vacuum(
@@ -155,8 +161,9 @@ class Lake:
         contract: Contract,
         run: str | Collection[str] | None = None,
     ) -> DataFrame | None:
-        """``run, version, written, attempt, of``: the newest committed version of each run, and
-        how many runs its attempt was committed with; None where nothing was written yet."""
+        """``run, version, written, made, attempt, of``: the newest committed version of each run,
+        when its rows were made, and how many runs its attempt was committed with; None where
+        nothing was written yet."""
         path = f"{self.path(stage, contract.topic)}/_commits"
         try:
             records = spark.read.schema(_RECORD).json(path)
@@ -165,18 +172,18 @@ class Lake:
                 return None
             raise
         each = records.select(
-            "attempt", "written", F.size("runs").alias("of"), F.explode("runs").alias("run", "version")
-        )
+            "attempt", "written", "made", F.size("runs").alias("of"), F.explode("runs").alias("run", "version")
+        ).withColumn("made", F.col("made")[F.col("run")])
         if run is not None:
             each = each.where(F.col("run").isin([run] if isinstance(run, str) else list(run)))
-        state = F.max(F.struct("version", "written", "attempt", "of")).alias("state")
+        state = F.max(F.struct("version", "written", "made", "attempt", "of")).alias("state")
         return each.groupBy("run").agg(state).select("run", "state.*")
 
     def live(self, spark: SparkSession, stage: str, contract: Contract) -> dict[str, Live]:
         """The newest committed version of each run, for maintenance."""
         runs = self.runs(spark, stage, contract)
         found = [] if runs is None else runs.collect()
-        return {r.run: Live(r.version, r.attempt, r.of) for r in found}
+        return {r.run: Live(r.version, r.made, r.attempt, r.of) for r in found}
 
     def table(
         self,
@@ -210,7 +217,8 @@ class Lake:
         wanted = runs.select("attempt", "run").where(F.length("attempt") > 0)
         if runs.count() <= BROADCAST_RUNS:
             wanted = F.broadcast(wanted)
-        return rows.join(wanted, ["attempt", "run"], "left_semi").drop("attempt")
+        names = [name for name in rows.columns if name != "attempt"]
+        return rows.join(wanted, ["attempt", "run"], "left_semi").select(*names)
 
     def rows(
         self,

@@ -60,7 +60,8 @@ class Outbox:
         runs = self.lake.runs(spark, self.stage, self.contract, run)
         if runs is None:
             return {}
-        states, done = runs.select("run", "version"), self.published(spark)
+        # promoting a run again makes rows anew of the same version; compaction makes none
+        states, done = runs.select("run", F.col("made").alias("version")), self.published(spark)
         if done is None:
             return {r.run: (r.version, None) for r in states.collect()}
         done = done.select("run", F.col("version").alias("done"), "sent")

@@ -158,3 +158,47 @@ def test_write_modes(spark, folder):
         write_csv(rows, f"{folder}/o")
     write_csv(rows, f"{folder}/o", header=True, mode="overwrite")
     assert spark.read.option("header", True).csv(f"{folder}/o").collect() == rows.collect()
+
+
+def test_any_number_of_headers(spark, folder):
+    """No two of 130 files have the same header; names repeat, move and are absent."""
+    want = []
+    for n in range(130):
+        names = ["a", f"x{n}", "b"] if n % 2 else ["b", "a", "a", f"x{n}"]
+        cells = [f"1-{n}", f"2\n{n}", "", "4"][: len(names)]
+        with open(f"{folder}/{n:03}.csv", "w") as file:
+            file.write(",".join(names) + "\n" + ",".join(f'"{c}"' for c in cells) + "\n")
+        own = dict(zip(names, cells))
+        want.append((own.get("a"), own.get("b"), own.get(f"x{n}")))
+    rows = read_delimited_rows(spark, folder)
+    assert len(rows.columns) == 132 and {"a", "b", "x0", "x129"} <= set(rows.columns)
+    got = [
+        (r.a, r.b, next(v for name, v in r.asDict().items() if name[0] == "x" and v is not None))
+        for r in rows.collect()
+    ]
+    assert sorted(got) == sorted(want)
+
+
+def test_short_long_and_blank_records_of_several_headers(spark, folder):
+    with open(f"{folder}/1.csv", "w") as file:
+        file.write('a,b\n1\n2,"x\ny",3\n \n\n4,\n')
+    with open(f"{folder}/2.csv", "w") as file:
+        file.write("b,c,a\n5,6\n7,8,9,10\n")
+    rows = read_delimited_rows(spark, folder).select("a", "b", "c")
+    want = [("1", None, None), ("2", "x\ny", None), (" ", None, None), (None, None, None), ("4", "", None)]
+    want += [(None, "5", "6"), ("9", "7", "8")]
+    assert sorted(map(tuple, rows.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_more_splits_than_may_be_broadcast(spark, folder, monkeypatch):
+    records = [(str(i), f"line\n{i}" * (1 + i % 40)) for i in range(400)]
+    with open(f"{folder}/big.csv", "w") as file:
+        file.write("a,b\n" + "".join(f'{a},"{b}"\n' for a, b in records))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        for bound in (200_000, 0):
+            monkeypatch.setattr("tamis.sources.records._SMALL", bound)
+            got = sorted(map(tuple, read_delimited_rows(spark, folder).collect()))
+            assert got == sorted(records)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
