@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tamis.llm import vector_join
 from tests.llm.graphs import roots_of
@@ -97,3 +98,33 @@ def test_edge_cases(spark):
     assert (None, 0, None, False) in linked and (4, 0, 4, True) in linked
     more = _frame(spark, rows).selectExpr("*", "1 AS n", "2 AS rep", "'c' AS cell", "3 AS n_links", "4 AS h0")
     assert vector_join.near_duplicates(more).count() == len(rows)
+
+
+def _random(spark, count):
+    values = F.array(*(F.randn(n).cast("float") for n in range(16)))
+    return spark.range(count, numPartitions=8).select(F.col("id").alias("vec_id"), F.lit(1).alias("label"), values.alias("embedding"))
+
+
+@pytest.mark.parametrize("count", [5_000, 500_000])
+def test_copies_of_a_vector_do_not_grow_with_its_label(spark, count):
+    placed = vector_join._placed(vector_join._named(_random(spark, count)), 0.98)
+    counts = placed.groupBy(*vector_join.PLACE).agg(F.count("*").alias("vectors"))
+    rows = vector_join._chunked(placed, counts).agg(F.count("*"), F.max(F.length("steps"))).first()
+    assert rows[0] == 2 * vector_join.BLOCKS * count
+    assert rows[1] == 16 // vector_join.BLOCKS  # a byte for each dimension of the block
+
+
+@pytest.mark.parametrize("chunk", [1 << 14, 30])
+def test_a_dense_cluster_is_counted_whole(spark, monkeypatch, chunk):
+    """Two thousand different vectors, nearly all of which link with each other."""
+    monkeypatch.setattr(vector_join, "CHUNK", chunk * 10 if chunk > 30 else 300)
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=16)
+    base /= np.linalg.norm(base)
+    rows = [(i, (base + rng.normal(size=16) * 0.033).astype(np.float32), 3) for i in range(2000)]
+    rows += [(5000 + i, rng.normal(size=16).astype(np.float32), 3) for i in range(200)]
+    links, roots = _brute(rows)
+    assert 0.2 < sum(links.values()) / 2000**2 < 0.999
+    got = vector_join.near_duplicates(_frame(spark, rows)).collect()
+    assert {r.vec_id: r.n_links for r in got} == links
+    assert {r.vec_id: r.component_id for r in got} == roots
