@@ -1,13 +1,17 @@
 """Personal data: loose generators, boosted trees and calibrated thresholds.
 
 Base patterns with their checks (Luhn, octets, numbers of digits) always count.  Besides, loose
-generators propose spans that may overlap.  Each proposal has a few small features of its format
-and context, but none that says whether a check holds; it is positive if a base span of its kind
-overlaps it.  Boosted trees are fitted to the counts of positives and negatives in each cell of
-features, summed up over all documents; the cells are bounded by the bins of the features, not by
-the data.  For each kind, the lowest score at and above which proposals in the other half of the
-documents were right often enough selects the additional spans.  Everything that touches texts is column
-expressions; the trees are ``CASE`` expressions.
+generators propose spans that may overlap, among them the national part of a number with a country
+code.  A proposal has a few small features of its format and of what is beside it.  Whether it is
+right is told by evidence that is none of them: it lies where a base span of its kind does (whose sign
+or check digit the features don't show), or a cue word stands before it.  So trees that are fitted to
+what international numbers look like know national ones, which no base pattern finds.
+
+Boosted trees are fitted to the counts of right and wrong proposals in each cell of features, summed
+up over all documents; the cells are bounded by the bins of the features, not by the data.  For each
+kind, the lowest score at and above which proposals in the other half of the documents were right
+often enough selects the additional spans, those that no base span covers.  Everything that touches
+texts is column expressions; the trees are ``CASE`` expressions.
 
 Positions come from splitting a text at the matches: the lengths of the pieces add up.
 
@@ -47,15 +51,19 @@ LOOSE = {
 }
 #: Digits that a proposal may have.
 LOOSE_DIGITS = {"email": (0, 99), "ip": (4, 12), "card": (13, 19), "phone": (7, 15)}
-#: Words near a proposal that speak for its kind.
+#: Words before a proposal that speak for its kind, whatever they end in.
 CUES = {
-    "email": "(?i)mail|contact|write|contacto|correo|courriel|schreib",
-    "ip": r"(?i)\bip\b|addr|host|server|login|from",
-    "card": "(?i)card|visa|credit|pay|tarjeta|carte|karte",
-    "phone": "(?i)phone|tel|call|mobil|fax|llam|appel|anruf",
+    "email": "mail|contact|write|contacto|correo|courriel|schreib",
+    "ip": "ip|addr|host|server|login",
+    "card": "card|visa|credit|pay|tarjeta|carte|karte",
+    "phone": "phone|tel|call|mobil|fax|llam|appel|anruf",
 }
+#: A cue word, at most two short words, and marks.
+BEFORE = r"(?i)(?<!\p{L})(?:%s)\p{L}*+[^\p{L}0-9]{0,4}(?:\p{L}{1,6}[^\p{L}0-9]{1,3}){0,2}$"
+#: The country code of a number that has one.
+COUNTRY = r"^\+[0-9]{1,3}[\x20.-]{1,2}(?=\(?[0-9])"
 #: Bins of each feature; their product bounds the cells.
-BINS = {"kind": 4, "digits": 8, "groups": 5, "marks": 4, "plus": 2, "left": 4, "right": 4, "cue": 2}
+BINS = {"kind": 4, "digits": 8, "groups": 5, "marks": 4, "left": 4, "right": 4}
 CHUNK = 256
 
 
@@ -174,10 +182,10 @@ def _proposal(kind: str, m: Column) -> Column:
     match = m["match"]
     digits = F.length(_digits(match))
     marks = (
-        F.when(match.rlike(r"[()\[\]@]"), 3)
-        .when(match.rlike(r"[./,]"), 2)
-        .when(match.rlike(r"[ -]"), 1)
-        .otherwise(0)
+        F.when(match.rlike(r"[\[\]@]"), 3)
+        .when(match.rlike(r"[./,]"), 0)
+        .when(match.rlike(r"[() -]"), 2)
+        .otherwise(1)
     )
     return F.struct(
         m["start"].alias("start"),
@@ -186,10 +194,22 @@ def _proposal(kind: str, m: Column) -> Column:
         _bin(digits, 4, 7, 10, 12, 14, 16, 17).alias("digits"),
         _bin(F.regexp_count(match, F.lit("[0-9]+")), 2, 3, 4, 5).alias("groups"),
         marks.alias("marks"),
-        F.when(match.startswith("+"), 1).otherwise(0).alias("plus"),
         _beside(F.right(m["left"], F.lit(1))).alias("left"),
         _beside(m["next"]).alias("right"),
-        F.when(m["left"].rlike(CUES[kind]), 1).otherwise(0).alias("cue"),
+        m["left"].rlike(BEFORE % CUES[kind]).alias("cue"),
+    )
+
+
+def _national(m: Column) -> Column:
+    """A number without its country code."""
+    rest = F.regexp_replace(m["match"], COUNTRY, "")
+    cut = F.length(m["match"]) - F.length(rest)
+    return F.struct(
+        (m["start"] + cut).alias("start"),
+        m["end"].alias("end"),
+        rest.alias("match"),
+        F.right(F.left(m["match"], cut), F.lit(24)).alias("left"),
+        m["next"].alias("next"),
     )
 
 
@@ -197,7 +217,11 @@ def _proposals(text: Column) -> Column:
     def of(kind: str) -> Column:
         low, high = LOOSE_DIGITS[kind]
         fits = lambda m: F.length(_digits(m["match"])).between(low, high)
-        found = F.filter(_items(text, LOOSE[kind]), fits)
+        found = _items(text, LOOSE[kind])
+        if kind == "phone":
+            coded = lambda m: m["match"].rlike(COUNTRY)
+            found = let(found, lambda x: F.concat(x, F.transform(F.filter(x, coded), _national)))
+        found = F.filter(found, fits)
         if kind == "email":
             found = F.when(text.rlike(r"(?i)@|[(\[]at[)\]]"), found).otherwise(F.slice(found, 1, 0))
         return F.transform(found, lambda m: _proposal(kind, m))
@@ -226,7 +250,7 @@ def cells(docs: DataFrame) -> DataFrame:
         overlap = (b["start"] < F.col("p.end")) & (b["end"] > F.col("p.start"))
         return overlap & (b["kind"] == F.col("p.kind"))
 
-    right = F.exists("_base", same).cast("long")
+    right = (F.exists("_base", same) | F.col("p.cue")).cast("long")
     return rows.groupBy("half", *(F.col(f"p.{f}").alias(f) for f in BINS)).agg(
         F.sum(right).alias("right_"), F.sum(1 - right).alias("wrong")
     )
@@ -315,7 +339,7 @@ def fit(
         # by score from the top: all above a threshold, and those at it, must be right
         scores, level = np.unique(-total[own].round(9), return_inverse=True)
         hits, misses = (np.bincount(level, x[own], len(scores)) for x in (right, wrong))
-        above = hits.cumsum() / (hits.cumsum() + misses.cumsum() + 1)
+        above = hits.cumsum() / (hits.cumsum() + misses.cumsum() + 0.5)
         good = np.flatnonzero((above >= precision) & (2 * hits >= hits + misses + 1) & (scores < 0))
         if len(good):
             thresholds[kind] = float(-scores[good[-1]]) - 1e-6
@@ -332,7 +356,12 @@ def _text_of(spans: Column) -> Column:
 
 def _all(trees: Trees) -> Column:
     """Base and selected spans by start, then kind."""
-    more = F.filter("_more", trees.selects)
+
+    def new(p: Column) -> Column:
+        covered = F.exists("_base", lambda b: (b["start"] <= p["start"]) & (b["end"] >= p["end"]))
+        return trees.selects(p) & ~covered
+
+    more = F.filter("_more", new)
     own = F.transform(more, lambda p: F.struct(p["start"], p["kind"], p["end"]))
     return F.sort_array(F.concat("_base", own))
 

@@ -139,3 +139,42 @@ def test_edge_cases(spark, operator):
     more = rows.selectExpr("*", *CLASHING, "'b' AS base", "1 AS half")
     assert operator(more).count() == len(DOCS)
     assert pii.redact(more).columns == more.columns
+
+
+def _numbers(spark, count=200):
+    """International numbers, a few national ones after a cue, and digits that are no numbers."""
+    rows, rng = [], random.Random(11)
+    some = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    for i in range(count):
+        rows.append((i, f"{text_of(i, 5)} +1 ({some(3)}) 555-{some(4)} {text_of(i + 1, 4)}"))
+        rows.append((1000 + i, f"{text_of(i, 4)} {some(rng.choice([4, 5, 6, 8]))} {text_of(i, 3)} 20{some(2)}-{some(2)}-{some(2)}"))
+        rows.append((2000 + i, f"{text_of(i, 3)} {rng.randrange(1, 255)}.{rng.randrange(255)}.10.{rng.randrange(255)} and"))
+    return rows
+
+
+NATIONAL = ["phone (555) 123-4567", "call 555-123-4567", "tel 017 555-7713", "Tel.: (030) 555-0100"]
+
+
+def test_national_numbers_are_added_and_clean_texts_left_alone(spark):
+    rows = _numbers(spark)
+    planted = {5000 + n: f"{text_of(n, 6)} {cue} {text_of(n, 5)}" for n, cue in enumerate(NATIONAL)}
+    frame = documents(spark, [(i, t, "en", "s") for i, t in [*rows, *planted.items()]])
+    trees = pii.fit(pii.cells(frame))
+    assert pii.KINDS.index("phone") in trees.thresholds
+    got = {r.doc_id: r for r in pii.digest(pii.spans(frame, trees)).collect()}
+    for i, text in planted.items():
+        number = re.search(r"\(?\d[\d ()-]+\d", text)
+        assert got[i].n_phone == 0 and got[i].spans == f"phone:{number.start()}:{number.end()}"
+    for i, text in rows:  # nothing is added elsewhere, and base spans stay
+        assert got[i].spans == _text(_base(text))
+    clean = {r.doc_id: r.text for r in pii.redact(frame, trees).collect()}
+    assert all("<phone>" in clean[i] for i in planted)
+    assert all(clean[i] == text for i, text in rows if 1000 <= i < 2000)
+
+
+def test_evidence_is_no_feature(spark):
+    assert not {"plus", "cue"} & pii.BINS.keys()
+    frame = documents(spark, [(0, "ring +1 (017) 555-7713 now", "en", "s"), (1, "my card 1234567890123", "en", "s")])
+    found = {(r.kind, r.digits): (r.right_, r.wrong) for r in pii.cells(frame).collect()}
+    phone, card = (pii.KINDS.index(k) for k in ("phone", "card"))
+    assert found[phone, 3] == (1, 0) and found[card, 4] == (1, 0)  # the national part; told by its cue
