@@ -141,6 +141,14 @@ _LANDED = f"SELECT {', '.join(EVENTS.contract.names)} FROM checked WHERE outcome
 # Every seventh event is sent as two equal messages.
 _RESENT = f"WITH {_checked(EVENTS)} {_LANDED} UNION ALL {_LANDED} AND key % 7 = 0"
 
+_OUTCOMES = f"""WITH {_checked(EVENTS)},
+    runs AS (SELECT 'all' AS run, outcome FROM checked
+             UNION ALL SELECT 'clean', outcome FROM checked WHERE key % 10 > 5),
+    names AS (SELECT run, unnest(['ok', 'extra_columns', 'missing_columns', 'sent']) AS name
+              FROM (SELECT unnest(['all', 'clean']) AS run))
+    SELECT n.run, name AS outcome, count(outcome) AS messages FROM names n LEFT JOIN runs r
+    ON n.run = r.run AND (name = outcome OR name = 'sent' AND outcome <> 'ok') GROUP BY ALL"""
+
 ORACLE = {
     "topic_decode": f"SELECT {EVENTS.key} AS key, {EVENTS.sql} AS json_string FROM events",
     "contract_status": _status(EVENTS),
@@ -239,4 +247,5 @@ ORACLE = {
     "sql_windows_and_sets": f"WITH FactDeclaration AS ({_ORDERS_FACT}) {DECLARED.read_text()}",
     "csv_many_headers": """SELECT CAST(c_custkey AS VARCHAR) AS key, c_name || chr(10) AS name,
         'own' || c_custkey % 125 AS own, CAST(c_custkey % 125 AS VARCHAR) AS number FROM customer""",
+    "ingest_outcomes": _OUTCOMES,
 }

@@ -285,6 +285,19 @@ def error_topic_replaced(spark, sf_dir):
     return decode_messages(read_topic(spark, topics, ERROR_TOPIC))
 
 
+def ingest_outcomes(spark, sf_dir):
+    """What two runs land and send; the second has clean messages only, so it sends nothing."""
+    lake, topics = _lake(spark), Topics(scratch(spark, "topics"), "parquet")
+    messages, rows, before = EVENTS.read(spark, sf_dir), [], 0
+    for run, part in (("all", "true"), ("clean", "key % 10 > 5")):
+        counts = ingest(messages.where(part), EVENTS.contract, lake, run=run)
+        publish_errors(spark, EVENTS.contract, lake, BRONZE, topics, run=run)
+        sent = read_topic(spark, topics, ERROR_TOPIC).count()
+        rows += [(run, outcome, n) for outcome, n in counts.items()] + [(run, "sent", sent - before)]
+        before = sent
+    return spark.createDataFrame(rows, "run string, outcome string, messages long")
+
+
 def _resent(spark: SparkSession, sf_dir: str) -> Topics:
     """The events with ids, a part of them written again, as after a writer's second try."""
     topics, topic = Topics(scratch(spark, "topics"), "parquet"), EVENTS.contract.topic
@@ -695,4 +708,5 @@ QUERIES = {
     "sql_year_total_ordered": sql_year_total_ordered,
     "sql_windows_and_sets": sql_windows_and_sets,
     "csv_many_headers": csv_many_headers,
+    "ingest_outcomes": ingest_outcomes,
 }
