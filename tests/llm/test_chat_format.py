@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from tamis.llm import chat_format
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -45,15 +47,39 @@ def test_edge_cases(spark):
         (2, 0, "", "a"),  # null and empty differ
         (3, 0, None, None),
         (4, 0, None, ""),
-        (None, 0, "user", "x"),
+        (None, 0, "user", "x"),  # each a conversation of its own
         (None, None, "user", "y"),
+        (None, 7, "user", "y"),
+        (None, 7, "user", "t"),  # begins a longer one
+        (None, 7, "user", "a"),
+        (8, 3, "user", "a"),  # equals it
         (5, 0, "user", "t"),
         (5, 0, "user", "t"),  # a repeated turn is a turn
         (6, 0, "user", "t"),
         (7, 0, "user", "z" * 300_000),
     ]
     frame = spark.createDataFrame(rows, SCHEMA)
-    want = {1: 1, 2: 1, 3: 1, 4: 1, None: 2, 5: 2, 7: 1}
-    assert {r.conv_id: r.n_turns for r in chat_format.collapse(frame).collect()} == want
-    more = frame.selectExpr("*", "1 AS k", "2 AS n_turns", "'h' AS a", "3 AS _id")
-    assert chat_format.collapse(more).count() == 7
+    got = chat_format.collapse(frame).collect()
+    want = {(1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 1, 1), (5, 2, 1), (7, 1, 1), (8, 1, 2)}
+    assert {(r.conv_id, r.n_turns, r.n_copies) for r in got if r.conv_id is not None} == want
+    alone = sorted((r.n_turns, r.n_copies, r.rendered) for r in got if r.conv_id is None)
+    assert alone == [(1, 1, "<|user|>\nx\n<|end|>\n"), (1, 2, "<|user|>\ny\n<|end|>\n")]
+    more = frame.selectExpr("*", "1 AS k", "2 AS n_turns", "'h' AS a", "3 AS _id", "'r' AS rendered")
+    assert chat_format.collapse(more).count() == len(got) == 9
+
+
+@pytest.mark.parametrize("names", [chat_format.NAMES, 0])
+def test_texts_are_exchanged_once(spark, monkeypatch, names):
+    monkeypatch.setattr(chat_format, "NAMES", names)
+    rows = [(conv, turn, "user", f"{conv % 7} {turn}") for conv in range(50) for turn in range(1 + conv % 4)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = chat_format.collapse(spark.createDataFrame(rows, SCHEMA))
+        result.collect()
+        plan = result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    final = plan.split("== Initial Plan ==")[0]
+    of_ids = final.count("maximal-")  # scans of the settled ids are exchanged, too, but hold no text
+    assert final.count("Exchange hashpartitioning") <= 1 + of_ids
+    assert "BroadcastExchange" in final or names == 0
