@@ -1,11 +1,16 @@
 """Main text of pages by the maximum-scoring contiguous region.
 
 A linear scan turns a page into blocks of words.  Words score positive and tags negative; the
-blocks with the largest sum that follow one another are the content.  The weight of a tag is
-learned from labelled pages, those that mark their content themselves with ``<article>`` or
-``<main>``: the log-odds of the tag outside against inside.  A region that touches a marked
-element is widened to all of it.  Menus, page headers, footers, sidebars, notices, adverts, forms
-and reader comments count against the region and are left out of its text.
+blocks with the largest sum that follow one another are the content.  Weights are learned from
+labelled pages, those that mark their content themselves with ``<article>`` or ``<main>``: that of a
+tag is its log-odds outside against inside, that of a name in ``class`` or ``id`` the log-odds of the
+blocks that it encloses, and so is that of lying outside the marks of a page.  Words below a name that
+weighs ``OUT`` or less score negative and are left out of the region's text; so are those in elements
+that the HTML standard has for menus, footers, asides, forms and the like.  A region that touches a
+marked element is widened to all of it.
+
+Names that too few labelled pages show go by what they say (``NAMES``); labelled pages' own adverts,
+notices and reader comments that lie in the marked element are told by it, too, and count as outside.
 
 Defined cases: a null or empty page, and one without words, has an empty text; unclosed and
 stray tags are read as browsers do; pages are read one by one, so null ids, null urls, ties and
@@ -25,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamis.llm.common import settle
+
 # Fixed values of the HTML standard: elements by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea iframe xmp noembed noframes".split())
@@ -66,55 +73,78 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 
 #: Weights of a word, of a word in boilerplate or outside the page's marked elements, of a tag.
 WORD, AGAINST, PLAIN = 1.0, -2.0, -0.5
+#: A name of this weight or less is boilerplate; no weight is larger than ``MOST``.
+OUT, MOST = -2.0, 6.0
+#: Blocks that must show a name before it is learned, and names that are, the most frequent first.
+SHOWN, LEARNED = 5, 50_000
+#: What stands for any block, and for one outside the marks of its page.
+ANY, OUTSIDE = "*", "*outside"
 
 
 class Block:
-    """Words that no block element parts."""
+    """Words that no block element parts, and the names of the elements around it."""
 
-    __slots__ = ("text", "words", "tags", "boilerplate", "marked")
+    __slots__ = ("text", "words", "tags", "boilerplate", "marked", "names")
 
-    def __init__(self, text: str, tags: list[str], boilerplate: bool, marked: int):
+    def __init__(self, text: str, tags: list[str], boilerplate: bool, marked: int, names: list[str]):
         self.text, self.tags, self.boilerplate, self.marked = text, tags, boilerplate, marked
+        self.names = names
         self.words = text.count(" ") + 1 if text else 0
 
 
-def _is_boilerplate(tag: str, attributes: str, marked: bool) -> bool:
-    if tag in BOILERPLATE:
-        return True
-    if tag == "header" and not marked:
+def _names(tag: str, attributes: str) -> tuple[list[str], list[str]]:
+    """The names that an element has in ``class`` (.name) and ``id`` (#name), and its roles."""
+    names, roles = [], []
+    if attributes and tag not in ("html", "body", "main"):
+        for attribute, *values in ATTRIBUTE.findall(attributes):
+            kind = attribute.lower()
+            for value in "".join(values).split():
+                if kind == "role":
+                    roles.append(value.lower())
+                else:
+                    names.append(("." if kind == "class" else "#") + value)
+    return names, roles
+
+
+def _weight(name: str, weights: dict[str, float]) -> float:
+    learned = weights.get(name.lower())
+    if learned is not None:
+        return learned
+    return -MOST if NAMES.search(name[1:]) and not ABOUT.search(name[1:]) else 0.0
+
+
+def _is_boilerplate(tag: str, names: list[str], roles: list[str], marked: bool, weights: dict) -> bool:
+    if tag in BOILERPLATE or tag == "header" and not marked or not ROLES.isdisjoint(roles):
         return True
-    if not attributes or tag in ("html", "body", "main"):
-        return False
-    for name, *values in ATTRIBUTE.findall(attributes):
-        for value in "".join(values).split():
-            if name.lower() == "role":
-                if value.lower() in ROLES:
-                    return True
-            elif NAMES.search(value) and not ABOUT.search(value):
-                return True
-    return False
-
-
-def blocks(page: str) -> list[Block]:
-    """The page's blocks in order; ``marked`` numbers the outermost marked element, from 1."""
+    return any(_weight(name, weights) <= OUT for name in names)
+
+
+def blocks(page: str, weights: dict[str, float] | None = None, marks: bool = True) -> list[Block]:
+    """The page's blocks in order; ``marked`` numbers the outermost marked element, from 1.
+
+    Without ``marks`` the page's own marks are not looked at.
+    """
+    weights = weights or {}
     found: list[Block] = []
     text: list[str] = []
     tags: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, marked
+    stack: list[tuple[str, bool, bool, list[str]]] = []  # tag, boilerplate, marked, names
+    around: list[str] = []
     boilerplate = depth = marked = 0
 
     def flush() -> None:
         nonlocal text, tags
         words = " ".join(unescape("".join(text)).split())
         if words:
-            found.append(Block(words, tags, boilerplate > 0, marked if depth else 0))
+            found.append(Block(words, tags, boilerplate > 0, marked if depth else 0, around[:]))
             tags = []
         text = []
 
     def close(n: int) -> None:
         nonlocal boilerplate, depth
         while len(stack) > n:
-            _, ad, content = stack.pop()
+            _, ad, content, names = stack.pop()
+            del around[len(around) - len(names) :]
             boilerplate -= ad
             depth -= content
 
@@ -157,11 +187,13 @@ def blocks(page: str) -> list[Block]:
             ended(tag, frozenset(("ul", "ol", "dl", "table", "tbody", "thead", "select", "menu")))
         if tag in VOID or attributes.endswith("/") and not block:
             continue
-        ad = _is_boilerplate(tag, attributes, depth > 0)
-        content = tag in MARKED and not ad and not boilerplate
+        names, roles = _names(tag, attributes)
+        ad = _is_boilerplate(tag, names, roles, depth > 0, weights)
+        content = marks and tag in MARKED and not ad and not boilerplate
         if content and not depth:
             marked += 1
-        stack.append((tag, ad, content))
+        stack.append((tag, ad, content, names))
+        around += names
         boilerplate += ad
         depth += content
     text.append(page[at:])
@@ -171,7 +203,7 @@ def blocks(page: str) -> list[Block]:
 
 def region(found: list[Block], weights: dict[str, float]) -> tuple[int, int]:
     """First and last + 1 of the blocks with the largest sum, widened to marked elements."""
-    labelled = any(block.marked for block in found)
+    labelled = any(block.marked for block in found) and weights.get(OUTSIDE, -MOST) <= OUT
     best, span, total, first = 0.0, (0, 0), 0.0, 0
     for n, block in enumerate(found):
         against = block.boilerplate or labelled and not block.marked
@@ -187,49 +219,68 @@ def region(found: list[Block], weights: dict[str, float]) -> tuple[int, int]:
     touched = {block.marked for block in found[start:stop] if block.marked}
     if touched:
         inside = [n for n, block in enumerate(found) if block.marked in touched]
-        start, stop = inside[0], inside[-1] + 1
+        start, stop = min(start, inside[0]), max(stop, inside[-1] + 1)
     return start, stop
 
 
-def main_text(page: str, weights: dict[str, float]) -> str:
-    found = blocks(page)
+def main_text(page: str, weights: dict[str, float], marks: bool = True) -> str:
+    found = blocks(page, weights, marks)
     start, stop = region(found, weights)
     chosen = found[start:stop]
-    if any(block.marked for block in chosen):
+    if any(block.marked for block in chosen) and weights.get(OUTSIDE, -MOST) <= OUT:
         chosen = [block for block in chosen if block.marked]
     return "\n".join(block.text for block in chosen if not block.boilerplate)
 
 
 def learn(pages: DataFrame) -> dict[str, float]:
-    """The weight of each known element from all labelled pages."""
+    """The weights of elements and of names, from all labelled pages."""
     known = BLOCK | INLINE
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        inside: Counter[str] = Counter()
-        outside: Counter[str] = Counter()
+        counts: tuple[Counter[str], Counter[str]] = (Counter(), Counter())  # outside, inside
+
+        def rows() -> pa.RecordBatch:
+            outside, inside = counts
+            features = sorted(outside.keys() | inside.keys())
+            columns = [features, [inside[t] for t in features], [outside[t] for t in features]]
+            kinds = (pa.string(), pa.int64(), pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds)], ["tag", "inside", "outside"]
+            )
+
         for batch in batches:
             for page in batch.column(0):
                 found = blocks(page.as_py())
                 if any(block.marked for block in found):
                     for block in found:
-                        content = block.marked and not block.boilerplate
-                        (inside if content else outside).update(block.tags)
-        tags = sorted((inside.keys() | outside.keys()) & known)
-        columns = [tags, [inside[t] for t in tags], [outside[t] for t in tags]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()))],
-            ["tag", "inside", "outside"],
-        )
-
-    rows = (
+                        own = counts[bool(block.marked and not block.boilerplate)]
+                        own.update(t for t in block.tags if t in known)
+                        own.update({name.lower() for name in block.names} | {ANY})
+                        if not block.marked:
+                            own[OUTSIDE] += 1
+            if sum(map(len, counts)) > 200_000:
+                yield rows()
+                for own in counts:
+                    own.clear()
+        yield rows()
+
+    sums = (
         pages.select(F.coalesce("html", F.lit("")))
         .mapInArrow(counted, "tag string, inside long, outside long")
         .groupBy("tag")
         .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-        .collect()
     )
-    ratio = {r["tag"]: log((r["outside"] + 1) / (r["inside"] + 1)) for r in rows}
-    return {tag: -min(max(odds, 0.02), 6.0) for tag, odds in ratio.items()}
+    sums = settle(sums, "weights")  # read twice, counted once
+    of_name = F.col("tag").rlike(r"^[.#]")
+    names = sums.where(of_name & (F.col("inside") + F.col("outside") >= SHOWN))
+    names = names.orderBy(F.desc(F.col("inside") + F.col("outside")), "tag").limit(LEARNED)
+    ratio = {r["tag"]: log((r["outside"] + 1) / (r["inside"] + 1)) for r in sums.where(~of_name).collect()}
+    base = ratio.pop(ANY, 0.0)
+    weights = {OUTSIDE: base - ratio.pop(OUTSIDE)} if OUTSIDE in ratio else {}
+    weights |= {tag: -min(max(odds, 0.02), MOST) for tag, odds in ratio.items()}
+    for r in names.collect() if ratio else []:
+        weights[r["tag"]] = base - log((r["outside"] + 1) / (r["inside"] + 1))
+    return {name: min(max(w, -MOST), MOST) for name, w in weights.items()}
 
 
 def extract(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:

@@ -75,3 +75,48 @@ def test_edge_cases(spark):
     assert [r.text for r in got if r.page_id == 3] == [WORDS] * 2
     more = frame.selectExpr("*", "'t' AS text", "1 AS n_chars", "'p' AS tag", "2 AS inside")
     assert html_text.extract(more).count() == len(rows)
+
+
+def _pages(n, name="ad", marks=True):
+    """Pages whose only trace of an advert is its class, and their article."""
+    out = []
+    for i in range(n):
+        words = [f"{WORDS} {i} {k}" for k in range(3)]
+        article = "".join(f"<p>{w}</p>" for w in words)
+        inner = f"<article>{article}</article>" if marks else f"<div>{article}</div>"
+        advert = f"<div class='{name}'>Buy {i} now and save a lot of money today with this offer of ours</div>"
+        out.append((f"<body><nav>Home</nav>{advert}{inner}{advert}<footer>all rights</footer></body>", "\n".join(words)))
+    return out
+
+
+def _random_weights(weights, seed):
+    import random
+
+    rng = random.Random(seed)
+    return {name: rng.uniform(-6, 6) if name[0] in ".#*" else rng.uniform(-6, -0.02) for name in weights}
+
+
+def _share(pages, weights, marks):
+    return sum(html_text.main_text(html, weights, marks) == want for html, want in pages) / len(pages)
+
+
+@pytest.mark.parametrize("name", ["ad", "zq17"])
+def test_learned_weights_decide(spark, name):
+    """Names that no list has, and pages without marks: the weights find the text, random ones don't."""
+    rows = [(i, "u", html) for i, (html, _) in enumerate(_pages(40, name))]
+    weights = html_text.learn(spark.createDataFrame(rows, SCHEMA))
+    assert weights[f".{name}"] <= html_text.OUT and weights[html_text.OUTSIDE] <= html_text.OUT
+    for marked, look in ((True, True), (True, False), (False, True)):
+        pages = _pages(40, name, marked)
+        assert _share(pages, weights, look) == 1
+        by_chance = [_share(pages, _random_weights(weights, seed), look) for seed in range(40)]
+        assert sum(by_chance) / 40 < 0.8
+    assert _share(_pages(40, "zq17", False), {}, True) == 0  # nothing tells without weights
+
+
+def test_names_of_wrappers_are_not_boilerplate(spark):
+    """A name around all of the page says nothing; one that only labelled texts have speaks for them."""
+    rows = [(i, "u", f"<div class='page'>{html}</div>") for i, (html, _) in enumerate(_pages(30, "zq17"))]
+    weights = html_text.learn(spark.createDataFrame(rows, SCHEMA))
+    assert abs(weights[".page"]) < 0.1
+    assert len(html_text.learn(spark.createDataFrame(rows[:2], SCHEMA)).keys() & {".page", ".zq17"}) <= 2
