@@ -17,11 +17,11 @@ exactly there: intersections are a product of matrices, and each set is linked w
 one it reaches.  No pairs are written; what shares a block and may link is compared.
 
 Defined cases: a null text is an empty one; a document without words has an empty set and links
-with nothing; documents with fewer words than a shingle have one shingle of all their words; null
-ids are no one's smallest id unless all ids of a component are null, and a set that only rows
-without id have links with equal sets only; rows with one id are documents of their own; an empty
-table gives an empty result; extra columns are ignored by :func:`groups` and kept by
-:func:`distinct_documents`.  A document must fit in memory.
+with nothing; documents with fewer words than a shingle have one shingle of all their words; rows
+without id link as others do, but a null is no one's smallest id unless all ids of a component are
+null; rows with one id are documents of their own; an empty table gives an empty result; extra
+columns are ignored by :func:`groups` and kept by :func:`distinct_documents`.  A document must fit
+in memory.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamis.llm.common import settle, small
+from tamis.llm.common import WORD, settle, small
 from tamis.llm.components import components
 
 #: Upper to lower end of a size band.
@@ -47,7 +47,7 @@ BROADCAST = 500_000
 #: Sets of one chunk of a group, shingles in all of them, and columns of a matrix.
 CROWD, SHINGLES, COLUMNS = 1024, 1_000_000, 2048
 #: Chunks of a cluster that is compared as a whole, and rows of blocks that go to one group.
-CHUNKS, ROWS = 16, 5_000
+CHUNKS, ROWS = 16, 1_000
 
 
 @dataclass(frozen=True)
@@ -254,14 +254,14 @@ def meetings(rows: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, chosen: DataFrame, rule: Rule) -> DataFrame:
-    """``class`` and ``hashes`` of the chosen classes (class, doc_id)."""
+    """``class`` and ``hashes`` of the chosen classes (class, text: the hash of one that has it)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen = Shingles(rule), set()
         for batch in batches:
             names, sets = [], []
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                # rows with one id may differ, or be equal and many
+                # rows with this text may be many
                 if name not in seen and _class_of(hashes := shingles.of(text.as_py())) == name:
                     seen.add(name)
                     names.append(name)
@@ -270,7 +270,8 @@ def _sets(docs: DataFrame, chosen: DataFrame, rule: Rule) -> DataFrame:
                 [pa.array(names, pa.int64()), pa.array(sets, pa.binary())], ["class", "hashes"]
             )
 
-    rows = _texts(docs).join(small(chosen, BROADCAST), "doc_id").select("class", "text")
+    texts = docs.select(_text().alias("words"), F.xxhash64(_text()).alias("text"))
+    rows = texts.join(small(chosen, BROADCAST), "text").select("class", "words")
     return rows.mapInArrow(hashed, "class long, hashes binary")
 
 
@@ -403,7 +404,7 @@ def _compared(members: DataFrame, by: str, docs: DataFrame, names: DataFrame, ru
         return pa.table({"a": names[some], "b": root[some]})
 
     chosen = names.join(members.select("class").distinct(), "class", "left_semi")
-    chosen = settle(chosen.select("class", "doc_id").filter("doc_id is not null"), "chosen")
+    chosen = settle(chosen.select("class", "text"), "chosen")
     sets = _sets(docs, chosen, rule)
     rows = sets.join(small(members.select(by, "class", "i", "j"), BROADCAST), "class")
     return rows.groupBy(by, "i", "j").applyInArrow(joined, "a long, b long")
@@ -439,7 +440,7 @@ def links(docs: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
     met = settle(meetings(rows), "meetings")
     met_classes = met.select("class").distinct()
     names = rows.join(met_classes, "class", "left_semi").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.max("marks").alias("marks")
+        F.min("text").alias("text"), F.min("n_shingles").alias("n"), F.max("marks").alias("marks")
     )
     names = settle(names, "names")
     pairs = met.filter("size = 2 and class <> other")
@@ -488,10 +489,11 @@ def distinct_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id.
 
     Of several rows with that id in the component, one stays; rows with that id in other
-    components are documents of those.  Documents without an id, which nothing tells apart, all
-    stay.
+    components are documents of those.  Rows without an id go if their component has one with an
+    id, else one of them stays; those without words, which link with nothing, all stay.
     """
-    kept = _grouped(docs, rule).filter("doc_id = component_id")
+    kept = _grouped(docs, rule)
+    kept = kept.filter("doc_id <=> component_id and (root is not null or doc_id is not null)")
     # an empty set is a component of its own
     alone = [F.when(F.col("root").isNull(), F.col(c)).alias(f"_{c}") for c in ("doc_id", "text")]
     kept = kept.groupBy("root", *alone).agg(
@@ -499,11 +501,12 @@ def distinct_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     )
     kept = settle(kept.select("_id", "_hash", "n"), "kept")
     own = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", F.xxhash64(_text()).alias("hash"))
-    is_kept = (F.col("doc_id") == F.col("_id")) & (F.col("hash") == F.col("_hash"))
+    is_kept = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
     # up to BROADCAST documents' ids are sent to the texts, of more the texts are shuffled to them
     ids = settle(kept.filter("n = 1").select("_id", "_hash"), "ids")
     single = own.join(small(ids, BROADCAST), is_kept, "left_semi").select("_row")
     repeated = own.join(small(settle(kept.filter("n > 1"), "repeated")), is_kept, "left_semi")
     one = repeated.groupBy("doc_id", "hash").agg(F.min("_row").alias("_row")).select("_row")
-    nameless = own.filter("doc_id is null").select("_row")
+    empty = ~F.col("_row.text").rlike(WORD) | F.col("_row.text").isNull()
+    nameless = own.filter(F.col("doc_id").isNull() & empty).select("_row")
     return single.unionByName(one).unionByName(nameless).select("_row.*")

@@ -133,4 +133,18 @@ def test_edge_cases(spark):
     assert ngram_join.groups(more).count() == len(DOCS)
     kept = ngram_join.distinct_documents(more)
     assert kept.columns == more.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 2, 3, 5, 7, 8, None, None]
+    # the line without id is a copy of document 3, the row of nulls of none
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 2, 3, 5, 7, 8, None]
+
+
+def test_rows_without_id_link_and_go_as_others_do(spark):
+    a, far = text_of(31, 90), text_of(32, 90)
+    b = a + " end"
+    rows = [(1, a), (None, b), (None, b), (None, far), (None, far), (None, far + " x"), (None, ""), (None, None), (None, " ")]
+    frame = documents(spark, [(i, t, "en", "s") for i, t in rows])
+    got = {(r.n_shingles, r.component_id) for r in ngram_join.groups(frame).collect()}
+    assert got == {(86, 1), (87, 1), (86, None), (87, None), (0, None)}
+    kept = [(r.doc_id, r.text) for r in ngram_join.distinct_documents(frame).collect()]
+    assert kept.count((1, a)) == 1 and (None, b) not in kept
+    assert sum(t is not None and t.startswith(far) for _, t in kept) == 1
+    assert len(kept) == 5  # those without words all stay
