@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -12,8 +14,10 @@ from public_tokenizers import path
 from tokenizers import Tokenizer
 
 from tamis.llm import token_alignment
+from tamis.llm.queries import QUERIES
 from tests.llm.frames import CLASHING, DOCS, documents, text_of
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 PATHS = path("byte_bpe_50k.json"), path("piece_bpe_32k.model")
 
 
@@ -144,6 +148,13 @@ def test_summary_equals_the_plain_version(spark):
     assert _sorted(map(tuple, got.collect())) == _sorted(want)
 
 
+def test_query_equals_the_plain_version(spark):
+    """The registered query over the whole table."""
+    rows = pq.read_table(f"{SF_DIR}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    got = QUERIES["op12_token_alignment"](spark, SF_DIR).collect()
+    assert _sorted(map(tuple, got)) == _sorted(_brute([(r["doc_id"], r["text"]) for r in rows]))
+
+
 def test_edge_cases(spark):
     docs = documents(spark, DOCS)
     want = _brute([(i, t) for i, t, _, _ in DOCS])
