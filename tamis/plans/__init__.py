@@ -1,5 +1,6 @@
 """Jobs: operators wired to tables, topics and files."""
 
+from tamis.plans.bucketed import buckets_for, write_bucketed
 from tamis.plans.jobs import (
     compact_topics,
     ingest,
@@ -14,12 +15,17 @@ from tamis.plans.jobs import (
 )
 from tamis.plans.lake import BRONZE, SILVER, Lake
 from tamis.plans.medallion import medallion_errors, medallion_total
+from tamis.plans.outbox import Outbox
+from tamis.plans.totals import Totals, refresh_totals
 from tamis.plans.warehouse import materialise
 
 __all__ = [
     "BRONZE",
     "SILVER",
     "Lake",
+    "Outbox",
+    "Totals",
+    "buckets_for",
     "compact_topics",
     "ingest",
     "ingest_increment",
@@ -33,4 +39,6 @@ __all__ = [
     "promote_topics",
     "publish_csv",
     "publish_errors",
+    "refresh_totals",
+    "write_bucketed",
 ]
