@@ -12,8 +12,10 @@ first ``E(n) = D(n) + 1 + s``, in their own band and, as the smaller one, in the
 Blocks with the same sets count as one.  One byte of each block tells, by the Hamming distance of
 bytes, which of the sets that meet may link at all; these pairs, as rows for two sets and as a few
 links within larger blocks, make clusters.  A cluster's whole sets are sent to one group (a large
-one's to groups of two chunks each, a huge one's by the blocks in which they meet) and compared
-exactly there: intersections are a product of matrices, and each set is linked with the smallest
+one's to groups of two chunks each) and compared exactly there.  Those of a huge one are first compared
+with the cluster's smallest; who links with it is linked with all others that do, and only the rest
+meets all members, by the blocks that it shares with them.  Crowded blocks are treated alike, by their
+marks.  In a group intersections are a product of matrices, and each set is linked with the smallest
 one it reaches.  No pairs are written; what shares a block and may link is compared.
 
 Defined cases: a null text is an empty one; a document without words has an empty set and links
@@ -339,12 +341,74 @@ def _close_in_blocks(members: DataFrame, rule: Rule) -> DataFrame:
         a, b = (np.concatenate(side) for side in zip(*found))
         return pa.table({"a": a, "b": b})
 
-    chunks = F.ceil(F.col("size") / CROWD).cast("int")
-    rows = settle(_paired(members.withColumn("chunks", chunks)), "members")
+    members = settle(members, "members")
+    whole = members.filter(F.col("size") <= CROWD).withColumns({"i": F.lit(0), "j": F.lit(0)})
+    columns = ["key", "i", "j", "class", "n", "marks"]
+    rows, pivoted = whole.select(*columns), None
+    crowded = members.filter(F.col("size") > CROWD)
+    if not crowded.isEmpty():
+        pivoted = settle(_near_pivots(crowded, rule), "pivoted")
+        rows = rows.unionByName(settle(_uneven(pivoted, "key"), "uneven").select(*columns))
     groups = 1 + rows.count() // ROWS
     bucket = F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)).alias("bucket")
-    rows = rows.select("key", "i", "j", "class", "n", "marks", bucket)
-    return rows.groupBy("bucket").applyInArrow(close, "a long, b long")
+    found = rows.select(*columns, bucket).groupBy("bucket").applyInArrow(close, "a long, b long")
+    if pivoted is None:
+        return found
+    near = pivoted.filter("class <> label").select(F.col("class").alias("a"), F.col("label").alias("b"))
+    return found.unionByName(near)
+
+
+def _near_pivots(members: DataFrame, rule: Rule) -> DataFrame:
+    """Members of crowded blocks with their ``label``: the block's first set if their marks are close."""
+
+    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [batch.column(c).to_pylist() for c in ("n", "pivot_n", "marks", "pivot_marks")]
+            pivots = batch.column("pivot").to_pylist()
+            labels = [pivot if _close(rule, *row) else None for pivot, row in zip(pivots, zip(*own))]
+            columns = [batch.column(c) for c in ("key", "class", "n", "marks")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(labels, pa.int64())], ["key", "class", "n", "marks", "label"]
+            )
+
+    first = F.min_by(F.struct("class", "n", "marks"), "class").alias("p")
+    pivots = members.groupBy("key").agg(first).select(
+        "key", F.col("p.class").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.marks").alias("pivot_marks")
+    )
+    kinds = dict(members.dtypes)
+    kind = f"key long, class long, n {kinds['n']}, marks binary, label long"
+    return members.join(small(settle(pivots, "pivots")), "key").mapInArrow(labelled, kind)
+
+
+def _uneven(members: DataFrame, by: str) -> DataFrame:
+    """Members of groups with ``i`` and ``j``: who has another label than most of the group, or none,
+    meets all members, chunk by chunk.
+
+    Members with one label are linked already.  A group in which all have it is gone; the rows of
+    another grow with the number of the others, not with its square.
+    """
+    sizes = members.filter("label is not null").groupBy(by, "label").agg(F.count("*").alias("m"))
+    major = sizes.groupBy(by).agg(F.max_by("label", F.struct("m", "label")).alias("major"))
+    rows = members.join(small(settle(major, "major")), by, "left")
+    rows = settle(rows.withColumn("minor", ~F.coalesce(F.col("label") == F.col("major"), F.lit(False))), "minor")
+
+    def chunks(which: Column) -> Column:
+        count, shingles = F.sum(F.when(which, 1)), F.sum(F.when(which, F.col("n")))
+        return F.greatest(F.ceil(count / CROWD), F.ceil(shingles / SHINGLES)).cast("int")
+
+    counts = rows.groupBy(by).agg(chunks(F.col("minor")).alias("rows"), chunks(F.lit(True)).alias("columns"))
+    rows = rows.join(small(settle(counts.filter("rows > 0"), "counts")), by)
+    columns = [c for c in members.columns if c != "label"]
+
+    def own(of: str) -> Column:
+        return F.pmod(F.xxhash64("class"), F.col(of)).cast("int")
+
+    def every(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+
+    minor = rows.filter("minor").select(*columns, own("rows").alias("i"), every("columns").alias("j"))
+    met = rows.select(*columns, every("rows").alias("i"), own("columns").alias("j"))
+    return met.unionByName(minor)  # a class that is twice in a pair of chunks does no harm
 
 
 def _close_marks(rule: Rule, n: np.ndarray, marks: list[bytes]):
@@ -453,16 +517,43 @@ def links(docs: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
     clusters = settle(clusters.join(names.select("class", "n"), "class"), "clusters")
     groups = settle(_in_chunks(clusters, "root", CHUNKS), "groups")
     found = settle(_compared(groups, "root", docs, names, rule), "found")
-    huge = clusters.join(groups.select("class"), "class", "left_anti").select("class", "n")
+    huge = clusters.join(groups.select("class"), "class", "left_anti").select("class", "root", "n")
     huge = settle(huge, "huge")
     if huge.isEmpty():
         return found
+    pivoted = settle(_linked_to_roots(huge, docs, names, rule), "pivoted")
+    found = found.unionByName(
+        pivoted.filter("class <> label").select(F.col("class").alias("a"), F.col("label").alias("b"))
+    )
     two = near.select(F.xxhash64("a", "b").alias("key"), F.explode(F.array("a", "b")).alias("class"))
-    rest = met.select("key", "class").unionByName(two).distinct().join(huge, "class")
-    rest = settle(_in_chunks(rest, "key"), "rest")
+    rest = met.select("key", "class").unionByName(two).distinct().join(pivoted, "class")
+    rest = settle(_uneven(rest, "key"), "rest")
     return found.unionByName(settle(_compared(rest, "key", docs, names, rule), "found"))
 
 
+def _linked_to_roots(huge: DataFrame, docs: DataFrame, names: DataFrame, rule: Rule) -> DataFrame:
+    """``class``, ``n`` and ``label`` of the members of huge clusters: their cluster's smallest class
+    if they link with it."""
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels = []
+            for root, own, first in zip(*(batch.column(c) for c in ("root", "hashes", "first"))):
+                a, b = (np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in (own, first))
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                labels.append(root.as_py() if rule.linked(common, len(a), len(b)) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("class"), batch.column("n"), pa.array(labels, pa.int64())], ["class", "n", "label"]
+            )
+
+    chosen = settle(names.join(huge.select("class"), "class", "left_semi").select("class", "text"), "chosen")
+    sets = _sets(docs, chosen, rule).groupBy("class").agg(F.min("hashes").alias("hashes"))
+    sets = settle(sets.join(huge, "class"), "sets")
+    first = sets.filter("class = root").select("root", F.col("hashes").alias("first"))
+    kind = f"class long, n {dict(huge.dtypes)['n']}, label long"
+    return sets.join(first, "root").mapInArrow(compared, kind)
+
+
 def _grouped(docs: DataFrame, rule: Rule) -> DataFrame:
     """The sketched documents with the ``root`` class of their component, null for empty sets, and
     ``component_id``."""
