@@ -1,13 +1,25 @@
 from __future__ import annotations
 
+import os
+import zlib
+from collections import Counter
+
+import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registered
 import corpus_pipeline
-from tamis.llm import mixing, ngram_join, pii, quality_rules
+from tamis.llm import mixing, ngram_join, packing, pii, quality_rules
+from tamis.llm.oracle import ORACLE
 from tests.llm.frames import documents, text_of
+from tests.llm.test_ngram_join import _brute
+from tests.llm.test_pii import _base
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def _corpus():
@@ -46,6 +58,52 @@ def test_stages_work_on_what_the_one_before_kept(spark, folder):
     assert all(np.log2(n) % 1 == 0 for n in ends.values())
 
 
+def _plain_redaction(text):
+    """Base spans, overlapping ones as one, by the kind of the first."""
+    out, end = [], 0
+    for start, kind, stop in _base(text or ""):
+        if start >= end:
+            out += [text[end:start], f"<{pii.KINDS[kind]}>"]
+        end = max(end, stop)
+    return "".join(out) + text[end:] if out else text
+
+
+def test_run_equals_the_plain_versions(spark, folder):
+    """All stages over all given documents: DuckDB for the rules and the mix, brute force for near
+    copies, plain patterns for personal data, the tokenizer itself for the packed ids."""
+    rows = pq.read_table(f"{SF_DIR}/documents.parquet")
+
+    def judged(query):
+        pq.write_table(rows, f"{folder}/documents.parquet")
+        duck = duckdb.connect()
+        duck.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet')")
+        result = duck.execute(ORACLE[query])
+        names = [column[0] for column in result.description]
+        return [dict(zip(names, row)) for row in result.fetchall()]
+
+    clean = {r["doc_id"] for r in judged("op9_quality_rules") if r["kept"]}
+    rows = rows.filter(pa.array([i in clean for i in rows["doc_id"].to_pylist()]))
+    _, roots = _brute(dict(zip(rows["doc_id"].to_pylist(), rows["text"].to_pylist())), ngram_join.Rule(5, 80))
+    rows = rows.filter(pa.array([roots[i] == i for i in rows["doc_id"].to_pylist()]))
+    texts = [_plain_redaction(text) for text in rows["text"].to_pylist()]
+    rows = rows.set_column(1, "text", pa.array(texts)).set_column(4, "n_chars", pa.array([*map(len, texts)]))
+    copies = {r["doc_id"]: r["taken"] // r["size"] for r in judged("op1_mixing") if r["taken"]}
+    assert 20 < len(copies) < len(texts) < pq.read_metadata(f"{SF_DIR}/documents.parquet").num_rows
+
+    tokenizer = Tokenizer.from_file(path("word_bpe_49k.json"))
+    ids = {
+        i: np.array([*tokenizer.encode(t, add_special_tokens=False).ids, packing.END_ID], dtype="<u4")
+        for i, t in zip(rows["doc_id"].to_pylist(), texts)
+    }
+    held = Counter()
+    for r in corpus_pipeline.run(spark, SF_DIR).collect():
+        own = ids[r.doc_id]
+        assert r.doc_tokens == len(own)
+        assert r.ids_crc32 == zlib.crc32(own[r.start : r.start + r.length].tobytes())
+        held.update((r.doc_id, at) for at in range(r.start, r.start + r.length))
+    assert held == Counter({(i, at): n for i, n in copies.items() for at in range(len(ids[i]))})
+
+
 def test_the_stages_are_the_operators(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "ngram_join", "pii", "mixing", "packing"]
     assert registered.queries()["pipeline"] is corpus_pipeline.run
@@ -56,4 +114,4 @@ def test_the_stages_are_the_operators(spark):
 
 def test_every_operator_is_registered():
     names = [n for n in registered.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
