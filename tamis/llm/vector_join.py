@@ -29,6 +29,7 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -59,8 +60,7 @@ class Space:
     """The rotation, the blocks and their radii for vectors of one length."""
 
     def __init__(self, size: int, least: float):
-        rng = np.random.default_rng(size)
-        self.rotation = np.linalg.qr(rng.normal(size=(size, size)))[0]
+        self.size = size
         n = max(1, min(BLOCKS, size // 2))
         self.bounds = [(int(p[0]), int(p[-1]) + 1) for p in np.array_split(np.arange(size), n)]
         budget = 2 - 2 * least
@@ -70,6 +70,11 @@ class Space:
         dimensions = np.array([b - a for a, b in self.bounds])
         self.steps = UNIT * self.widths + np.sqrt(dimensions)
 
+    @cached_property
+    def rotation(self) -> np.ndarray:
+        rng = np.random.default_rng(self.size)
+        return np.linalg.qr(rng.normal(size=(self.size, self.size)))[0]
+
     def rotated(self, vectors: np.ndarray) -> np.ndarray:
         return unit(vectors) @ self.rotation
 
