@@ -206,8 +206,12 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def keep_clean(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass, with their own columns.
 
-    The measures are computed again instead of carrying the texts through a written table.
+    Documents are written once with their measures: reading them again costs less than measuring
+    them again.
     """
+    names = [r.name for r in rules]
     own = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang", "source")
-    limits = settle(cutoffs(measured(own), rules), "cutoffs")
-    return _judged(measured(own), limits, rules).filter("kept").select("_row.*")
+    rows = measured(own).select("_row", "lang", "source", "base_failed", *names)
+    rows = settle(rows, "measured")
+    limits = settle(cutoffs(rows, rules), "cutoffs")
+    return _judged(rows, limits, rules).filter("kept").select("_row.*")
