@@ -72,7 +72,8 @@ def star_total(
         d = dimensions[n]
         own = zip(d.attributes, attributes[n], strict=True)
         side = d.frame.select(F.col(d.key).alias("key"), *(F.col(x).alias(y) for x, y in own))
-        if n in large and split_hot:
+        # with nothing else to group by, a key is one row after the sum and can't be hot
+        if n in large and split_hot and (groups or len(dimensions) > 1):
             both = split_join(rows, side, f"k{n}", "key", how, keys_of=keys.select(f"k{n}"))
         else:
             both = rows.join(side, F.col(f"k{n}") == F.col("key"), how)
