@@ -22,10 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(frame: DataFrame, name: str) -> DataFrame:
+def settle(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows, written once to the shared folder and read back: lineage ends here."""
     path = scratch(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,8 +51,8 @@ BITS = 1 << 28
 #: Words of a shard, different segments of a key that stay whole, and occurrences of a segment that
 #: are joined by a shuffle.
 SHARD, CROWD, SPLIT = 100_000, 4_096, 20_000
-#: Words whose hashes a task keeps.
-CACHE = 500_000
+#: Bytes of texts whose windows are looked at together.
+TOGETHER = 128_000
 #: Bytes of spans that may be broadcast.
 SPANS = 32_000_000
 NOWHERE = 2**63 - 1
@@ -143,44 +143,74 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class Keys:
-    """The key of each window of a text."""
-
-    def __init__(self):
-        self._known: dict[bytes, bytes] = {}
-        places = np.arange(1, GRAM + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        self._factors = _mixed(places) | np.uint64(1)
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(words) < WINDOW:
-            return np.zeros(0, dtype=np.uint64)
-        known = self._known
-        if len(known) > CACHE:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh64_digest(word)
-        h = np.frombuffer(b"".join(map(known.__getitem__, words)), dtype=np.uint64)
-        grams = h[: len(h) - GRAM + 1] * self._factors[0]
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: What a byte adds to its word's hash, and the factor of its place in the word.
+BYTES = np.where(SPACE, np.uint64(0), _mixed(np.arange(1, 257, dtype=np.uint64)))
+PLACES = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, dtype=np.uint64))
+FACTORS = _mixed(np.arange(1, GRAM + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
+
+
+class Windows:
+    """The words and the windows' keys of some texts, all at once.
+
+    ``first`` and ``end`` are the bytes of each word in ``joined``, ``starts`` the number of each
+    text's first word.  A text of ``n`` words has the ``keys`` from its start on for
+    ``n - WINDOW + 1`` windows.  Keys only choose where windows meet: that different ones may be
+    equal does no harm.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        self.joined = b"\n".join([*texts, b""])
+        raw = np.frombuffer(self.joined, dtype=np.uint8)
+        space = np.concatenate([[True], SPACE[raw], [True]])
+        edges = np.flatnonzero(space[1:] != space[:-1])
+        self.first, self.end = edges[::2], edges[1::2]
+        offsets = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        self.starts = np.searchsorted(self.first, offsets)
+        self.keys = np.zeros(0, dtype=np.uint64)
+        if len(self.first) < WINDOW:
+            return
+        low = self.first[0]
+        place = np.arange(low, len(raw)) - np.repeat(self.first, np.diff(self.first, append=len(raw)))
+        values = BYTES[raw[low:]] * PLACES[place & 4095]
+        h = _mixed(np.add.reduceat(values, self.first - low))
+        grams = h[: len(h) - GRAM + 1] * FACTORS[0]
         for n in range(1, GRAM):
-            grams += h[n : n + len(grams)] * self._factors[n]
+            grams += h[n : n + len(grams)] * FACTORS[n]
         least, width = _mixed(grams), 1
         while width < WINDOW - GRAM + 1:
             more = min(width, WINDOW - GRAM + 1 - width)
             least = np.minimum(least[:-more], least[more:])
             width += more
-        return least
-
-
-def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First window and number of windows of each segment."""
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    sizes = np.diff(starts, append=len(keys))
+        self.keys = least
+
+
+def _pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``TOGETHER`` bytes of text, or one longer text."""
+    sizes = np.cumsum(pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    low = 0
+    while low < batch.num_rows:
+        before = sizes[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(sizes, before + TOGETHER, side="right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
+def runs(keys: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first window (counted over all texts) and number of windows of each segment."""
+    counts = np.maximum(np.diff(starts) - WINDOW + 1, 0)
+    text = np.repeat(np.arange(len(counts)), counts)
+    at = np.arange(len(text)) + np.repeat(starts[:-1] - np.cumsum(counts) + counts, counts)
+    own = keys[at]
+    fresh = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (text[1:] != text[:-1])])[: len(own)])
+    sizes = np.diff(fresh, append=len(own))
     if (sizes > RUN).any():
         parts = -(-sizes // RUN)
         inner = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        starts = np.repeat(starts, parts) + RUN * inner
-        sizes = np.diff(starts, append=len(keys))
-    return starts, sizes
+        ends = np.repeat(fresh + sizes, parts)
+        fresh = np.repeat(fresh, parts) + RUN * inner
+        sizes = np.minimum(ends - fresh, RUN)
+    return text[fresh], at[fresh], sizes
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -192,11 +222,15 @@ def shared_keys(texts: DataFrame) -> DataFrame:
     """``key`` of windows that occur in two documents or more (rows, here)."""
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = Keys()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                found = [np.unique(keys.of(t.as_py().split())) for t in batch.column(0).slice(at, 256)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["key"])
+            for part in _pieces(batch, 0):
+                windows = Windows([t.as_py() for t in part.column(0)])
+                text, first, _ = runs(windows.keys, windows.starts)
+                found = windows.keys[first]
+                order = np.lexsort((found, text))  # a key is one of its text
+                found, text = found[order], text[order]
+                once = np.concatenate([[True], (found[1:] != found[:-1]) | (text[1:] != text[:-1])])[: len(found)]
+                yield pa.RecordBatch.from_arrays([pa.array(found[once].view(np.int64))], ["key"])
 
     keys = texts.select("text").mapInArrow(own, "key long")
     return keys.groupBy("key").count().filter("count > 1").select("key")
@@ -231,29 +265,25 @@ def segments(texts: DataFrame, bits: np.ndarray) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(bits)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, own = Keys(), shared.value
+        own = shared.value
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                columns: list[list] = [[] for _ in range(5)]
-                for doc, text, name in zip(*(part.column(n) for n in range(3))):
-                    words = text.as_py().split()
-                    found = keys.of(words)
-                    if not len(found):
-                        continue
-                    starts, sizes = runs(found)
-                    some = np.flatnonzero(_set(own, found[starts]))
-                    at = starts[some].tolist()
-                    columns[0] += [doc.as_py()] * len(at)
-                    columns[1] += [name.as_py()] * len(at)
-                    columns[2] += at
-                    columns[3] += found[starts[some]].view(np.int64).tolist()
-                    columns[4] += [
-                        b" ".join(words[a : a + n + WINDOW - 1]) for a, n in zip(at, sizes[some].tolist())
-                    ]
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+            for part in _pieces(batch, 1):
+                windows = Windows([t.as_py() for t in part.column(1)])
+                text, first, sizes = runs(windows.keys, windows.starts)
+                some = np.flatnonzero(_set(own, windows.keys[first])) if len(first) else first
+                text, first, sizes = text[some], first[some], sizes[some]
+                low = windows.first[first].tolist()
+                high = windows.end[first + sizes + WINDOW - 2].tolist() if len(first) else []
+                joined = windows.joined
+                place = pa.array(text)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, kind) for c, kind in zip(columns, kinds)],
+                    [
+                        part.column(0).take(place),
+                        part.column(2).take(place),
+                        pa.array((first - windows.starts[text]).astype(np.int32)),
+                        pa.array(windows.keys[first].view(np.int64)),
+                        pa.array([b" ".join(joined[a:b].split()) for a, b in zip(low, high)], pa.binary()),
+                    ],
                     [field.split()[0] for field in _SEGMENT.split(", ")],
                 )
 
@@ -353,7 +383,7 @@ def spans(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``name`` (a hash of the text) and ``spans``: starts and ends of the word ranges
     that go, in turn; of documents that lose words."""
     texts = _texts(docs)
-    found = settle(segments(texts, bitmap(shared_keys(texts))), "segments")
+    found = settle(segments(texts, bitmap(shared_keys(texts))), "segments", compression="zstd")
     rows = found.select("key", "words", *(F.col("doc_id").alias(c) for c in ("first", "last")), F.lit(1).alias("n"))
     different = settle(_first(rows), "different")
     counts = different.groupBy("key").agg(F.count("*").alias("m"))
@@ -389,8 +419,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
+            for part in _pieces(batch, 1):
                 sizes, removed, texts = [], [], []
                 for text, ranges in zip(part.column(1), part.column(2)):
                     words = text.as_py().split()

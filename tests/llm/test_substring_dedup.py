@@ -62,15 +62,31 @@ def test_automaton_tells_where_each_window_is_first(texts, probe, size):
 
 def test_equal_windows_have_equal_keys():
     rng = random.Random(1)
-    own = [rng.choice([b"x", b"y", b"z"]) for _ in range(400)]
-    keys = substring_dedup.Keys()
+    texts = [[rng.choice([b"x", b"y", b"zz\xff"]) for _ in range(n)] for n in (400, 0, 12, 13, 14, 150, 3)]
+    spaces = [b" ", b"\n\t", b"  ", b"\x0b\x0c\r"]
+    own = substring_dedup.Windows([rng.choice(spaces) + b"".join(w + rng.choice(spaces) for w in t) for t in texts])
+    assert [own.joined[a:b] for a, b in zip(own.first, own.end)] == [w for t in texts for w in t]
     by_window = {}
-    for n, (key, window) in enumerate(zip(keys.of(own).tolist(), _windows(own))):
-        assert by_window.setdefault(window, key) == key
-        assert keys.of(own[n : n + WINDOW]).tolist() == [key]
-    starts, sizes = substring_dedup.runs(keys.of([b"w"] * 500))
-    assert sizes.max() <= substring_dedup.RUN and sizes.sum() == 500 - WINDOW + 1
-    assert (np.diff(starts) == sizes[:-1]).all()
+    for words, start in zip(texts, own.starts.tolist()):
+        for n, window in enumerate(_windows(words)):
+            key = own.keys[start + n]
+            assert by_window.setdefault(window, key) == key
+            assert substring_dedup.Windows([b" ".join(window)]).keys.tolist() == [key]
+    text, first, sizes = substring_dedup.runs(own.keys, own.starts)
+    covered = [(t, w) for t, a, n in zip(text, first - own.starts[text], sizes) for w in range(a, a + n)]
+    assert covered == [(t, w) for t, words in enumerate(texts) for w in range(len(_windows(words)))]
+    assert all(len(set(own.keys[a : a + n])) == 1 for a, n in zip(first, sizes))
+    assert len({*own.keys.tolist()}) > 50
+
+
+def test_runs_are_short_and_texts_apart():
+    own = substring_dedup.Windows([b"w " * 500, b"w " * 500])
+    text, first, sizes = substring_dedup.runs(own.keys, own.starts)
+    assert sizes.max() <= substring_dedup.RUN and sizes.sum() == 2 * (500 - WINDOW + 1)
+    assert (np.diff(first)[text[1:] == text[:-1]] == sizes[:-1][text[1:] == text[:-1]]).all()
+    for texts in ([], [b""], [b"w " * 12], [b"w " * 6, b"w " * 7], [b" \n"]):
+        own = substring_dedup.Windows(texts)
+        assert [len(x) for x in substring_dedup.runs(own.keys, own.starts)] == [0, 0, 0]
 
 
 def _corpus():
