@@ -34,9 +34,9 @@ TIERS = (2048, 1024, 512, 256)
 END_ID = 1
 #: Tokens that are packed together, and those of a training step.
 BLOCK, STEP = 4_000_000, 65_536
-#: Words whose ids a process keeps.
-CACHE = 800_000
-MARKS = ".,!?;:#*$%&|"
+#: Words whose ids a process keeps, and bytes in these words.
+CACHE, CACHE_BYTES = 1_600_000, 64_000_000
+MARKS = b".,!?;:#*$%&|"
 #: Letters below are in composed form.
 PLAIN_END = "\u0180"
 
@@ -72,30 +72,33 @@ class WordIds:
         self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._known: dict[bytes, bytes] = {}
-        self._parts: dict[str, bytes] = {}
+        self._parts: dict[bytes, bytes] = {b"": b""}
+        self._held = 0
 
     def of(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         known, parts = self._known, self._parts
-        if len(known) > CACHE:
+        if len(known) > CACHE or self._held > CACHE_BYTES:
             known.clear()
             parts.clear()
+            parts[b""] = b""
+            self._held = 0
         split = [text.split() for text in texts]
         fresh = {word: _parts(word) for word in set().union(*split).difference(known)}
-        wanted = {part for some in fresh.values() for part in some}.difference(parts)
-        plain = [p for p in wanted if p.isalpha() and p == p.lower() and max(p) < PLAIN_END]
-        self._encode_plain(plain)
-        others = list(wanted.difference(plain))
-        for part, code in zip(others, self._whole.encode_batch(others, add_special_tokens=False)):
+        self._encode_plain([*{letters for letters, _ in fresh.values()}.difference(parts)])
+        others = [*{marks for _, marks in fresh.values()}.difference(parts)]
+        codes = self._whole.encode_batch([x.decode("utf-8", "replace") for x in others], add_special_tokens=False)
+        for part, code in zip(others, codes):
             parts[part] = array("I", code.ids).tobytes()
-        for word, some in fresh.items():
-            known[word] = b"".join([parts[part] for part in some])
+        for word, (letters, marks) in fresh.items():
+            known[word] = parts[letters] + parts[marks]
+        self._held += sum(map(len, fresh))
         return [b"".join(map(known.__getitem__, text)) for text in split]
 
-    def _encode_plain(self, words: list[str]) -> None:
+    def _encode_plain(self, words: list[bytes]) -> None:
         for at in range(0, len(words), 1000):
             some = words[at : at + 1000]
-            code = self._plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
+            code = self._plain.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0]
             ids = np.array(code.ids, dtype="<u4")
             raw, start = ids.tobytes(), 0
             for word, end in zip(some, (4 * np.flatnonzero(self._ends[ids]) + 4).tolist()):
@@ -113,18 +116,20 @@ def _coder(path: str) -> WordIds:
     return coders[path]
 
 
-def _parts(word: bytes) -> tuple[str, ...]:
-    """What a word is encoded as: letters in lower case and marks behind them apart.
+def _parts(word: bytes) -> tuple[bytes, bytes]:
+    """What a word is encoded as: letters in lower case, and the marks behind them.
 
-    The tokenizer does both itself; so fewer different strings are encoded.  Any other word is
-    left as it is.
+    The tokenizer does both itself; so fewer different strings are encoded.  Any other word has
+    no such letters and is left as it is.
     """
-    text = word.decode("utf-8", "replace")
-    letters = text.rstrip(MARKS)
-    lower = letters.lower()
-    if not lower.isalpha() or max(letters) >= PLAIN_END:
-        return (text,)
-    return (lower, text[len(letters) :]) if len(letters) < len(text) else (lower,)
+    letters = word.rstrip(MARKS)
+    if letters.isalpha():  # ASCII letters
+        return letters.lower(), word[len(letters) :]
+    if not letters.isascii():
+        lower = letters.decode("utf-8", "replace").lower()
+        if lower.isalpha() and max(lower) < PLAIN_END:
+            return lower.encode(), word[len(letters) :]
+    return b"", word
 
 
 class Block:
