@@ -148,22 +148,3 @@ def test_rows_without_id_link_and_go_as_others_do(spark):
     assert kept.count((1, a)) == 1 and (None, b) not in kept
     assert sum(t is not None and t.startswith(far) for _, t in kept) == 1
     assert len(kept) == 5  # those without words all stay
-
-
-def test_rows_of_a_crowded_group_grow_with_those_that_are_not_linked(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "CROWD", 100)
-    members = spark.range(3000).selectExpr(
-        "id % 3 AS key", "id AS class", "10 AS n",
-        "CASE WHEN id % 3 = 0 THEN 0 WHEN id % 3 = 1 AND id % 100 <> 1 THEN 1 END AS label",
-    )
-    rows = ngram_join._uneven(members.withColumn("label", members["label"].cast("long")), "key")
-    counts = {r["key"]: r["count"] for r in rows.groupBy("key").count().collect()}
-    assert 0 not in counts  # all have one label
-    others = 10
-    assert counts[1] == 1000 + others * 10  # one chunk of others meets ten of all
-    assert counts[2] == 1000 * 10 * 2  # no one has a label: as pairs of chunks
-    met = {}
-    for r in rows.filter("key = 1").collect():
-        met.setdefault((r.i, r.j), set()).add(r["class"])
-    alone = [c for c in range(3000) if c % 3 == 1 and c % 100 == 1]
-    assert all(any({a, b} <= group for group in met.values()) for a in alone for b in range(1, 3000, 3))
